@@ -50,7 +50,7 @@ def fields(c: Column, names: list[str]) -> Column:
     return F.when(is_json_object(c), F.get(_as_array(c, element), F.lit(0)))
 
 
-def _is_text(c: Column, name: str) -> Column:
+def is_text(c: Column, name: str) -> Column:
     path = "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
     kind = F.schema_of_variant(F.variant_get(F.try_parse_json(c), path, "variant"))
     return F.coalesce(kind == "STRING", F.lit(False))
@@ -63,7 +63,7 @@ def truthy(c: Column, name: str, value: Column) -> Column:
     look falsy are checked against the parsed document.
     """
     looks_falsy = value.isin(*FALSY_JSON)
-    return F.when(looks_falsy & ~_is_text(c, name), F.lit("")).otherwise(text.or_empty(value))
+    return F.when(looks_falsy & ~is_text(c, name), F.lit("")).otherwise(text.or_empty(value))
 
 
 def unfence(raw: Column) -> Column:
@@ -120,9 +120,9 @@ def conforms(raw: Column, labels: list[str]) -> Column:
     return F.coalesce(
         is_json_object(raw)
         & (F.array_sort(keys) == F.array(F.lit("category"), F.lit("date"), F.lit("title")))
-        & _is_text(raw, "title")
-        & _is_text(raw, "category")
-        & _is_text(raw, "date")
+        & is_text(raw, "title")
+        & is_text(raw, "category")
+        & is_text(raw, "date")
         & members.getField("category").isin(*labels)
         & picks.is_year_month(members.getField("date")),
         F.lit(False),

@@ -8,8 +8,8 @@ STR, LONG, INT, BOOL = T.StringType(), T.LongType(), T.IntegerType(), T.BooleanT
 
 POST_FIELDS = ("title", "content", "category", "author", "date_gmt", "source_id", "content_hash")
 
-#: A prepared post: seven strings, none of them null.
-POST = T.StructType([T.StructField(name, STR, False) for name in POST_FIELDS])
+#: A prepared post: seven strings. None is ever null, which files cannot promise.
+POST = T.StructType([T.StructField(name, STR) for name in POST_FIELDS])
 
 #: One cached transform result, valid only for the signature it was made under.
 CACHE = T.StructType([T.StructField("sig", STR), T.StructField("post", POST)])

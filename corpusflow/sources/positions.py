@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import tempfile
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-FILE_COLUMNS = ("_path", "_block")
+
+def row_key() -> Column:
+    """A key that is unique per row of a Parquet scan and the same on every re-read,
+    however the files are split among tasks."""
+    path, index = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    return F.concat(F.hex(F.xxhash64(path)), F.lit(":"), index.cast("string"))
 
 
 def with_file_columns(scan: DataFrame) -> DataFrame:
@@ -17,29 +24,57 @@ def with_file_columns(scan: DataFrame) -> DataFrame:
     )
 
 
-def file_row_key(path: Column, index: Column) -> Column:
-    """A key that is unique per row and the same on every re-read of the files."""
-    return F.concat(F.hex(F.xxhash64(path)), F.lit(":"), index.cast("string"))
+def _offsets(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows before each file or split, in file order. One row per file or split."""
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
 
 
-def with_position(df: DataFrame, out: str = "position") -> DataFrame:
-    """Number rows from 0 in file order (by path, then place in the file).
+def parquet_position(scan: DataFrame, out: str = "position") -> DataFrame:
+    """Number the rows of a Parquet scan from 0, by path and then place in the file.
 
-    ``df`` is a file scan with file columns, optionally filtered, before any
-    shuffle. Rows do not move: each split is counted, the counts are summed up in
-    file order, and every row adds its place in its split. What is joined is one
-    row per split.
+    Rows do not move: files are counted, and each row adds its own index to the
+    rows of the files before.
     """
-    numbered = df.withColumn("_n", F.monotonically_increasing_id())
-    splits = numbered.groupBy(*FILE_COLUMNS).agg(
-        F.min("_n").alias("_first"), F.count(F.lit(1)).alias("_rows")
+    path = F.col("_metadata.file_path").alias("_path")
+    counts = scan.select(path).groupBy("_path").agg(F.count(F.lit(1)).alias("_rows"))
+    indexed = scan.select("*", path, F.col("_metadata.row_index").alias("_index"))
+    return (
+        indexed.join(_offsets(counts, ["_path"]), "_path")
+        .withColumn(out, F.col("_offset") + F.col("_index"))
+        .drop("_path", "_index", "_rows", "_offset")
     )
-    before = Window.orderBy(*FILE_COLUMNS).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        *FILE_COLUMNS, "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Use the shared folder named by ``spark.checkpoint.dir``; without one (a local
+    trial) take a temporary folder."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="corpusflow-"))
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+def line_position(rows: DataFrame, out: str = "position") -> DataFrame:
+    """Number rows of a text scan from 0 in file order, those filtered out not counted.
+
+    ``rows`` carries file columns and has not been shuffled. A line has no index of
+    its own, and files may be split otherwise when read again, so the rows are
+    checkpointed with their place in their split; splits are then counted and
+    summed up in file order.
+    """
+    keys = ["_path", "_block"]
+    placed = checkpointed(rows.withColumn("_n", F.monotonically_increasing_id()))
+    counts = placed.groupBy(*keys).agg(
+        F.min("_n").alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
     return (
-        numbered.join(offsets, list(FILE_COLUMNS))
+        placed.join(_offsets(counts, keys), keys)
         .withColumn(out, F.col("_offset") + F.col("_n") - F.col("_first"))
-        .drop("_n", "_first", "_offset")
+        .drop("_n", "_first", "_rows", "_offset", *keys)
     )

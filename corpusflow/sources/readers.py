@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions import strict_json
 from ..functions.text import or_empty, py_strip
-from .positions import file_row_key, with_file_columns, with_position
+from .positions import line_position, parquet_position, row_key, with_file_columns
 
 ID_FALLBACKS = ("hash", "position")
 FILE_FORMATS = ("parquet", "orc")
@@ -25,21 +25,14 @@ def _fallback_id(fields: list[str]) -> Column:
     return F.md5(packed)
 
 
-def _finish(
-    df: DataFrame, fields: list[str], id_fallback: str, row_key: Column | None
-) -> DataFrame:
+def _finish(df: DataFrame, fields: list[str], id_fallback: str) -> DataFrame:
+    """Put an id on rows without one: a hash of their fields, or their position."""
     if id_fallback not in ID_FALLBACKS:
         raise ValueError(f"id_fallback={id_fallback!r}; known: {', '.join(ID_FALLBACKS)}")
-    if id_fallback == "position":
-        df = with_position(df, "_position")
-        fallback = F.col("_position").cast("string")
-    else:
-        fallback = _fallback_id(fields)
-    out = [F.coalesce(F.col("_id"), fallback).alias("source_id")]
-    out += [F.col(f"`{name}`") for name in fields]
-    if row_key is not None:
-        out.append(row_key.alias("row_key"))
-    return df.select(*out)
+    fallback = F.col("_position").cast("string") if id_fallback == "position" else _fallback_id(fields)
+    keep = ["row_key"] if "row_key" in df.columns else []
+    id_ = F.coalesce(F.col("_id"), fallback).alias("source_id")
+    return df.select(id_, *[F.col(f"`{name}`") for name in fields], *keep)
 
 
 def parse_lines(lines: DataFrame, members: dict[str, str], value: str = "value") -> DataFrame:
@@ -90,12 +83,14 @@ def line_counts(lines: DataFrame, value: str = "value") -> DataFrame:
 def read_jsonl(spark: SparkSession, cfg: dict) -> DataFrame:
     """JSON lines under ``path``; one object per line, any schema."""
     id_field, fields = split_field_map(cfg.get("field_map"))
-    scan = with_file_columns(spark.read.text(cfg["path"]))
-    rows = parse_lines(scan, {"_id": id_field, **fields})
-    key = None
-    if cfg.get("row_key"):
-        key = file_row_key(F.col("_path"), F.monotonically_increasing_id())
-    return _finish(rows, list(fields), cfg.get("id_fallback", "hash"), key)
+    fallback = cfg.get("id_fallback", "hash")
+    scan = spark.read.text(cfg["path"])
+    if fallback == "position":
+        rows = parse_lines(with_file_columns(scan), {"_id": id_field, **fields})
+        rows = line_position(rows, "_position")
+    else:
+        rows = parse_lines(scan, {"_id": id_field, **fields})
+    return _finish(rows, list(fields), fallback)
 
 
 def as_text(df: DataFrame, column: str) -> Column:
@@ -132,9 +127,22 @@ def map_fields(df: DataFrame, field_map: dict[str, str], keep: tuple[str, ...] =
     )
 
 
+def is_parquet(cfg: dict) -> bool:
+    """Whether a source is Parquet files, whose rows have stable places."""
+    return (
+        cfg.get("type") == "table"
+        and bool(cfg.get("path"))
+        and cfg.get("format", "parquet") == "parquet"
+    )
+
+
 def read_table(spark: SparkSession, cfg: dict) -> DataFrame:
-    """A columnar dataset: ``path`` (with optional ``split`` folder) or catalog ``name``."""
-    _, fields = split_field_map(cfg.get("field_map"))
+    """A columnar dataset: ``path`` (with optional ``split`` folder) or catalog ``name``.
+
+    ``row_key`` adds a unique key per row; it and positional ids need Parquet files.
+    """
+    field_map = cfg.get("field_map") or {}
+    _, fields = split_field_map(field_map)
     fallback = cfg.get("id_fallback", "hash")
     if cfg.get("path"):
         file_format = cfg.get("format", "parquet")
@@ -146,15 +154,15 @@ def read_table(spark: SparkSession, cfg: dict) -> DataFrame:
         scan = spark.table(cfg["name"])
         if cfg.get("split"):
             scan = scan.filter(F.col("split") == cfg["split"])
+    if (cfg.get("row_key") or fallback == "position") and not is_parquet({"type": "table", **cfg}):
+        raise ValueError("row_key and positional ids need a Parquet path")
     keep: tuple = ()
-    key = None
     if cfg.get("row_key"):
-        if cfg.get("format", "parquet") != "parquet" or not cfg.get("path"):
-            raise ValueError("row_key needs a parquet path")
-        index = F.col("_metadata.row_index")
-        keep += (file_row_key(F.col("_metadata.file_path"), index).alias("_row_key"),)
-        key = F.col("_row_key")
+        keep += (row_key().alias("row_key"),)
     if fallback == "position":
-        scan = with_file_columns(scan)
-        keep += ("_path", "_block")
-    return _finish(map_fields(scan, cfg.get("field_map") or {}, keep), list(fields), fallback, key)
+        # the key is taken where the scan's metadata is at hand, before the join
+        scan = scan.select("*", *keep) if keep else scan
+        keep = ("row_key",) if keep else ()
+        scan = parquet_position(scan, "_position")
+        keep += ("_position",)
+    return _finish(map_fields(scan, field_map, keep), list(fields), fallback)

@@ -1,9 +1,13 @@
+import os
 import sys
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+HERE = Path(__file__).resolve().parent
+sys.path.insert(0, str(HERE.parent))
+# stub clients of the tests are pickled by name, so workers need this folder
+os.environ["PYTHONPATH"] = os.pathsep.join([str(HERE), os.environ.get("PYTHONPATH", "")])
 
 
 @pytest.fixture(scope="session")
@@ -22,6 +26,9 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    from corpusflow.shipping import ship
+
+    ship(session)
     yield session
     session.stop()
 

@@ -46,12 +46,11 @@ def test_jsonl_is_strict(spark, jsonl):
 
 
 def test_positional_ids_count_parsed_rows(spark, jsonl):
-    cfg = {"type": "jsonl", "path": jsonl, "field_map": {"body": "content"}, "id_fallback": "position", "row_key": True}
+    cfg = {"type": "jsonl", "path": jsonl, "field_map": {"body": "content"}, "id_fallback": "position"}
     rows = read_corpus(spark, cfg).collect()
     assert {r.source_id: r.body for r in rows} == {
         "a": "x", "1": "", "2": "no id", "x": '{"q":1}', "6": "", "0": "", "z": "0",
     }
-    assert len({r.row_key for r in rows}) == len(rows)
 
 
 def test_positions_follow_file_order_over_many_splits(spark, tmp_path):
@@ -92,6 +91,19 @@ def test_table_source_maps_types(spark, tmp_path):
     assert len({r.row_key for r in rows}) == 2
 
 
+def test_parquet_positions(spark, tmp_path):
+    path = str(tmp_path / "p")
+    spark.range(900).select(F.format_string("%04d", "id").alias("s")).orderBy("s").repartitionByRange(4, "s").sortWithinPartitions("s").write.parquet(path)
+    cfg = {"type": "table", "path": path, "field_map": {"body": "s"}, "id_fallback": "position", "row_key": True}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        rows = read_corpus(spark, cfg).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert all(int(r.source_id) == int(r.body) for r in rows)
+    assert len({r.row_key for r in rows}) == 900
+
+
 def test_catalog_table_with_split(spark):
     spark.sql("select 'train' split, 'a' id, 'x' s union all select 'test', 'b', 'y'").createOrReplaceTempView("corpus_t")
     cfg = {"type": "table", "name": "corpus_t", "split": "train", "field_map": {"body": "s"}}
