@@ -7,7 +7,7 @@ trailing text then spoils the array.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,7 @@ STRICT = {"allowSingleQuotes": "false"}
 FALSY_JSON = ("0", "0.0", "-0", "-0.0", "0e0", "false", "[]", "{}")
 
 FENCE = "```"
+INNERMOST = r"(?s)\{[^{}]*\}"
 
 
 def _as_array(c: Column, element: str | T.DataType) -> Column:
@@ -66,17 +67,6 @@ def truthy(c: Column, name: str, value: Column) -> Column:
     return F.when(looks_falsy & ~is_text(c, name), F.lit("")).otherwise(text.or_empty(value))
 
 
-def unfence(raw: Column) -> Column:
-    """Strip, and drop a code fence with its optional ``json`` tag."""
-    body = text.py_strip(text.or_empty(raw))
-    inner = F.trim(body, F.lit("`"))
-    inner = F.when(
-        F.lower(F.left(inner, F.lit(4))) == "json",
-        text.py_lstrip(F.substr(inner, F.lit(5))),
-    ).otherwise(inner)
-    return F.when(F.startswith(body, F.lit(FENCE)), inner).otherwise(body)
-
-
 def match_label(category: Column, labels: list[str]) -> Column:
     """The first label equal to or contained in ``category``, ignoring case."""
     hit = F.filter(
@@ -86,30 +76,51 @@ def match_label(category: Column, labels: list[str]) -> Column:
     return F.when(category == "", F.lit("")).otherwise(text.or_empty(F.try_element_at(hit, F.lit(1))))
 
 
-def object_text(raw: Column) -> Column:
-    """The JSON text to read: the whole output when it is valid JSON, else the
-    first innermost ``{...}`` in it."""
-    body = unfence(raw)
-    return F.when(is_json(body), body).otherwise(F.regexp_extract(body, r"(?s)\{[^{}]*\}", 0))
+def parse_output(
+    df: DataFrame, raw: str, labels: list[str], title_limit: int, out: str = "parsed"
+) -> DataFrame:
+    """Read model output in column ``raw`` into ``out``: struct(title, category, date_ym).
 
+    Code fences, talk around the object and missing members are tolerated; each
+    member is empty when it cannot be used, and nothing raises. Text that is not
+    one JSON value as a whole falls back to the first innermost ``{...}`` in it.
 
-def parse_output(raw: Column, labels: list[str], title_limit: int) -> Column:
-    """Read model output into ``struct(title, category, date_ym)``.
-
-    Each member is empty when missing or unusable; nothing raises.
+    The steps are columns of their own, so that each text is parsed once and not
+    once per use.
     """
-    src = object_text(raw)
-    members = fields(src, ["title", "category", "date"])
-
-    def member(name: str) -> Column:
-        return text.py_strip(truthy(src, name, members.getField(name)))
-
-    date = member("date")
-    return F.struct(
-        text.clean_title(member("title"), title_limit).alias("title"),
-        match_label(member("category"), labels).alias("category"),
-        F.when(picks.is_year_month(date), date).otherwise(F.lit("")).alias("date_ym"),
+    body = F.col("_body")
+    names = ["title", "category", "date"]
+    element = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    inner = F.trim(body, F.lit("`"))
+    tagged = F.lower(F.left(F.col("_inner"), F.lit(4))) == "json"
+    untagged = text.py_lstrip(F.substr(F.col("_inner"), F.lit(5)))
+    staged = (
+        df.withColumn("_body", text.py_strip(text.or_empty(F.col(raw))))
+        .withColumn("_inner", F.when(F.startswith(body, F.lit(FENCE)), inner))
+        .withColumn("_body", F.when(tagged, untagged).otherwise(F.coalesce("_inner", "_body")))
+        .withColumn("_whole", is_json(body))
+        .withColumn(
+            "_src", F.when(F.col("_whole"), body).otherwise(F.regexp_extract(body, INNERMOST, 0))
+        )
+        .withColumn("_list", _as_array(F.col("_src"), element))
+        .withColumn(
+            "_object",
+            F.when(
+                (F.size("_list") == 1) & F.startswith(F.col("_src"), F.lit("{")),
+                F.get(F.col("_list"), F.lit(0)),
+            ),
+        )
+    )
+    src = F.col("_src")
+    for name in names:
+        value = F.col("_object").getField(name)
+        staged = staged.withColumn(f"_{name}", text.py_strip(truthy(src, name, value)))
+    parsed = F.struct(
+        text.clean_title(F.col("_title"), title_limit).alias("title"),
+        match_label(F.col("_category"), labels).alias("category"),
+        F.when(picks.is_year_month(F.col("_date")), F.col("_date")).otherwise("").alias("date_ym"),
     )
+    return staged.select(*[F.col(f"`{c}`") for c in df.columns], parsed.alias(out))
 
 
 def conforms(raw: Column, labels: list[str]) -> Column:

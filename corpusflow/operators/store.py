@@ -29,8 +29,15 @@ def _read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self._version: int | None = None
 
     def version(self) -> int:
+        """The current version, looked up once; a table has one writer at a time."""
+        if self._version is None:
+            self._version = self._stored_version()
+        return self._version
+
+    def _stored_version(self) -> int:
         history = _read_if_exists(self.spark, f"{self.path}/versions", T.StructType().add("version", T.IntegerType()))
         return history.agg(F.max("version")).first()[0] or 0
 
@@ -66,6 +73,7 @@ class VersionedTable:
         self._write(df, version, batch)
         row = self.spark.createDataFrame([(version,)], "version int")
         row.coalesce(1).write.mode("append").parquet(f"{self.path}/versions")
+        self._version = version
 
     def truncate(self) -> None:
         self.replace(self.spark.createDataFrame([], self.schema), "empty")

@@ -50,6 +50,10 @@ def _field(df: DataFrame, name: str | None) -> Column:
     return text.or_empty(F.col(f"`{name}`")) if name and name in df.columns else F.lit("")
 
 
+#: What a completion reports besides its text.
+CALL_COLUMNS = ("error", "input_tokens", "output_tokens", "retries")
+
+
 @dataclass
 class Completing:
     """What the synth transform calls: ``make_client(schema)`` builds a client on an
@@ -138,21 +142,20 @@ class Synth:
                 partial(calls.make_client, schema),
                 calls.policy,
             ),
+        ).select(
+            "*",
+            F.col("_call.raw").alias("raw_output"),
+            *[F.col(f"_call.{name}").alias(name) for name in CALL_COLUMNS],
         )
-        return self.from_output(answered, F.col("_call.raw"), F.col("_body")).select(
-            *POST_FIELDS,
-            F.col("_call.error").alias("error"),
-            F.col("_call.input_tokens").alias("input_tokens"),
-            F.col("_call.output_tokens").alias("output_tokens"),
-            F.col("_call.retries").alias("retries"),
-        )
+        kept = answered.withColumnRenamed("_body", "cleaned_body").drop("_call")
+        return self.from_output(kept, "raw_output", F.col("cleaned_body"), CALL_COLUMNS)
 
-    def from_output(self, df: DataFrame, raw: Column, body: Column) -> DataFrame:
+    def from_output(
+        self, df: DataFrame, raw: str, body: Column, keep: tuple[str, ...] = ()
+    ) -> DataFrame:
         """Posts from raw model output, with a fallback for everything missing in it."""
-        read = df.withColumn(
-            "_parsed", strict_json.parse_output(raw, self.labels, self.title_limit)
-        )
-        parsed, id_ = F.col("_parsed"), F.col("source_id")
+        read = strict_json.parse_output(df, raw, self.labels, self.title_limit)
+        parsed, id_ = F.col("parsed"), F.col("source_id")
         summary = text.title_from_summary(_field(df, self.summary_field), self.title_limit)
         fallback = text.or_else(F.col("category_fallback"), F.lit(self.labels[0]))
         date = picks.date_from_year_month(
@@ -164,13 +167,12 @@ class Synth:
             "category": text.or_else(parsed.category, fallback),
             "date_gmt": F.coalesce(date, F.col("date_gmt")),
         }
-        kept = [c for c in df.columns if c.startswith("_")]
-        return _post_columns(read, made, kept)
+        return _post_columns(read, made, keep)
 
 
-def _post_columns(df: DataFrame, made: dict[str, Column], keep: list[str] | None = None) -> DataFrame:
+def _post_columns(df: DataFrame, made: dict[str, Column], keep: tuple[str, ...] = ()) -> DataFrame:
     fields = [(made[f] if f in made else F.col(f)).alias(f) for f in POST_FIELDS]
-    return df.select(*fields, *(keep or []))
+    return df.select(*fields, *keep)
 
 
 def _build_passthrough(transform: dict, cfg: dict, completing: Completing | None) -> Passthrough:

@@ -20,7 +20,7 @@ from ..functions.picks import sample_key
 from ..operators import publish
 from ..operators.dedup import HASH, dedup_content, resume_filter, with_content_hash
 from ..operators.ledger import first_hash, latest, published_entries
-from ..operators.store import VersionedTable
+from ..operators.store import VersionedTable, arrival
 from ..plans.runs import PUBLISHED, published_rows
 from ..plans.transforms import with_picks
 from ..schemas import POST_FIELDS
@@ -115,7 +115,7 @@ class StreamSink:
         )
         byline = bool((load.get("author") or {}).get("prepend_to_content"))
         status = load.get("post_status", "publish")
-        self.target.append(published_rows(created, status, byline, top + 1), batch)
+        self.target.append(published_rows(created, status, byline, arrival()), batch)
 
 
 def _resolved_schema() -> T.StructType:

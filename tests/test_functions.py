@@ -202,9 +202,11 @@ OUTPUTS = [
 
 
 def test_parse_output(spark):
-    parse = lambda c: strict_json.parse_output(c, ["News", "Tech", "World"], 40)
-    got = column(spark, [raw for raw, _ in OUTPUTS], parse)
-    assert [tuple(row) for row in got] == [want for _, want in OUTPUTS]
+    df = spark.createDataFrame([(i, raw) for i, (raw, _) in enumerate(OUTPUTS)], "i int, raw string")
+    parsed = strict_json.parse_output(df, "raw", ["News", "Tech", "World"], 40)
+    assert parsed.columns == ["i", "raw", "parsed"]
+    got = [tuple(r.parsed) for r in sorted(parsed.collect())]
+    assert got == [want for _, want in OUTPUTS]
 
 
 def test_response_schema(spark):
