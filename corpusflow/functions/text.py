@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,13 +14,20 @@ WHITESPACE = (
     "    　"
 )
 
-# A blank-line break between paragraphs, the line ends inside one,
-# and the block markup around one paragraph.
-PARAGRAPH_BREAK = r"(?U)(?:\r?\n[\s\x1c-\x1f]*){2,}"
-LINE_BREAK = r"\r\n|[\n\x0b\f\r\x1c\x1d\x1e\x85  ]"
+# The block markup around one paragraph.
 BLOCK_OPEN = "<!-- wp:paragraph -->\n<p>"
 BLOCK_CLOSE = "</p>\n<!-- /wp:paragraph -->"
 
+# A run of blanks with two line feeds parts paragraphs; blanks before the first one
+# are trimmed off later. Inside a paragraph a run of line ends, and blanks between
+# them, is one break. Neither backs up, so long runs of blanks cost only their length.
+BLANKS = r"[\s\x1c-\x1f]"
+INLINE = r"[\s\x1c-\x1f&&[^\n]]"
+LINE_ENDS = r"[\n\x0b\f\r\x1c\x1d\x1e\x85  ]"
+NO_END = r"[\s\x1c-\x1f&&[^\n\x0b\f\r\x1c\x1d\x1e\x85  ]]"
+PARAGRAPH_BREAK = rf"(?U)\n{INLINE}*+\n{BLANKS}*+"
+LINE_BREAK = rf"(?U){LINE_ENDS}(?:{NO_END}*+{LINE_ENDS})*+"
+
 # HTML entities, ampersand first so that it is not escaped twice.
 HTML_ENTITIES = (
     ("&", "&amp;"),
@@ -30,9 +39,11 @@ HTML_ENTITIES = (
 
 # What counts as a credential-like token, and its stand-in.
 TOKEN_RUN = "[A-Za-z0-9+/_-]{32,}={0,2}"
+TOKEN_START = "(?<![A-Za-z0-9+/_-])"  # a run matches from its start or not at all
 REDACTED = "[redacted]"
 
 UNTITLED = "Untitled"
+EMPTY_MD5 = hashlib.md5(b"").hexdigest()
 
 
 def or_empty(c: Column) -> Column:
@@ -55,8 +66,8 @@ def py_lstrip(c: Column) -> Column:
 
 def content_hash(c: Column) -> Column:
     """MD5 of the stripped text; blank or missing text has the empty hash."""
-    body = py_strip(or_empty(c))
-    return F.when(body == "", F.lit("")).otherwise(F.md5(body))
+    # the digest of nothing stands for blank, so that a text is stripped only once
+    return or_empty(F.nullif(F.md5(py_strip(c)), F.lit(EMPTY_MD5)))
 
 
 def truncate_words(c: Column, limit: int) -> Column:
@@ -79,7 +90,7 @@ def clean_title(c: Column, limit: int) -> Column:
 
 def title_from_summary(c: Column, limit: int) -> Column:
     """The first sentence of a summary, or ``Untitled``."""
-    sentence = py_strip(F.substring_index(py_strip(or_empty(c)), ".", 1))
+    sentence = py_strip(F.substring_index(or_empty(c), ".", 1))
     return or_else(truncate_words(sentence, limit), F.lit(UNTITLED))
 
 
@@ -90,18 +101,18 @@ def html_escape(c: Column) -> Column:
 
 
 def block_content(c: Column) -> Column:
-    """Plain text to paragraph blocks; single line ends become ``<br/>``."""
+    """Plain text to paragraph blocks; single line ends become ``<br/>``.
 
-    def lines(paragraph: Column) -> Column:
-        kept = F.filter(F.split(paragraph, LINE_BREAK), lambda s: py_strip(s) != "")
-        return F.array_join(F.transform(kept, html_escape), "<br/>")
+    Blank lines go and other lines keep their blanks, so two substitutions over the
+    escaped text say it all; nothing is taken apart line by line.
+    """
+    paragraphs = F.split(html_escape(py_strip(c)), PARAGRAPH_BREAK)
 
-    paragraphs = F.transform(F.split(c, PARAGRAPH_BREAK), lambda p: lines(py_strip(p)))
-    blocks = F.transform(
-        F.filter(paragraphs, lambda p: p != ""),
-        lambda p: F.concat(F.lit(BLOCK_OPEN), p, F.lit(BLOCK_CLOSE)),
-    )
-    return F.array_join(blocks, "\n\n")
+    def block(p: Column) -> Column:
+        lines = F.regexp_replace(F.rtrim(p, F.lit(WHITESPACE)), LINE_BREAK, "<br/>")
+        return F.concat(F.lit(BLOCK_OPEN), lines, F.lit(BLOCK_CLOSE))
+
+    return F.array_join(F.transform(F.filter(paragraphs, lambda p: p != ""), block), "\n\n")
 
 
 def with_byline(content: Column, author: Column) -> Column:
@@ -116,7 +127,7 @@ def redact(c: Column, limit: int = 300) -> Column:
 
     The excerpt length belongs to error reports; ``limit=0`` keeps the whole text.
     """
-    hidden = F.regexp_replace(c, TOKEN_RUN, REDACTED)
+    hidden = F.regexp_replace(c, TOKEN_START + TOKEN_RUN, REDACTED)
     return F.left(hidden, F.lit(limit)) if limit else hidden
 
 
