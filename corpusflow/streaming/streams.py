@@ -18,12 +18,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.picks import sample_key
 from ..operators import publish
-from ..operators.dedup import HASH, dedup_content, resume_filter, with_content_hash
+from ..operators.dedup import HASH, select_rows, with_content_hash
 from ..operators.ledger import first_hash, latest, published_entries
 from ..operators.store import VersionedTable, arrival
 from ..plans.runs import PUBLISHED, published_rows
 from ..plans.transforms import with_picks
 from ..schemas import POST_FIELDS
+from ..sources.positions import row_key
 from ..sources.readers import map_fields, parse_lines, split_field_map
 
 
@@ -97,18 +98,20 @@ class StreamSink:
         load = self.cfg.get("load") or {}
         body = (self.cfg.get("transform") or {}).get("body_field") or "body"
         batch = f"{_stream_id(spark, self.checkpoint)}-{batch_id}"
+        # read the source once; the stage holds one micro-batch and is reused
+        hashed = with_content_hash(rows, body).withColumn("sample_key", sample_key(F.col("source_id")))
+        arrived = self._stage("arrived", hashed).select("*", row_key().alias("row_key"))
         # everything but this batch's own folder, which a replay writes anew
         there = self.target.read(without=batch)
         entries = published_entries(there)
-        keyed = with_content_hash(rows, body).withColumn("sample_key", sample_key(F.col("source_id")))
-        fresh = dedup_content(resume_filter(keyed, latest(entries)), first_hash(entries))
+        fresh = select_rows(arrived, latest(entries), first_hash(entries))
         made = self.posts(with_picks(fresh, self.cfg)).filter(F.col("error").isNull())
-        resolved = publish.with_author(
-            publish.with_category(made.select(*POST_FIELDS), self.categories), self.authors
+        resolved = self._stage(
+            "resolved",
+            publish.with_author(
+                publish.with_category(made.select(*POST_FIELDS), self.categories), self.authors
+            ),
         )
-        staged = VersionedTable(spark, f"{self.target.path}/staged", _resolved_schema())
-        staged.append(resolved, batch)
-        resolved = staged.read(only=batch)
         top = there.agg(F.max("post_id")).first()[0] or 0
         created = publish.created_posts(
             resolved, publish.assign_ids(resolved, latest(entries), top)
@@ -117,10 +120,10 @@ class StreamSink:
         status = load.get("post_status", "publish")
         self.target.append(published_rows(created, status, byline, arrival()), batch)
 
-
-def _resolved_schema() -> T.StructType:
-    ids = [T.StructField("category_id", T.LongType()), T.StructField("author_id", T.LongType())]
-    return T.StructType([*[T.StructField(f, T.StringType()) for f in POST_FIELDS], *ids])
+    def _stage(self, name: str, df: DataFrame) -> DataFrame:
+        path = f"{self.target.path}/staged/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stream_publish(
