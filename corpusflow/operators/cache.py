@@ -68,9 +68,12 @@ def usable(entries: DataFrame, sig: str) -> DataFrame:
     return entries.filter(F.col("sig") == sig).filter(_is_usable(sig))
 
 
-def lookup(entries: DataFrame, sig: str) -> DataFrame:
-    """One post per source id; the last entry wins."""
+def lookup(entries: DataFrame, sig: str, rows: DataFrame | None = None) -> DataFrame:
+    """One post per source id; the last entry wins. Given the ``rows`` in question,
+    posts of others are left out before they are moved."""
     flat = usable(entries, sig).select("post.*", "seq")
+    if rows is not None:
+        flat = flat.join(rows.select("source_id"), "source_id", "left_semi")
     last = first_per_key(flat, "source_id", [F.desc("seq"), F.desc("content_hash")])
     return last.select(*POST_FIELDS)
 
@@ -103,7 +106,7 @@ def with_cache(
     returns the post fields, ``error`` and any of the usage columns; rows with an
     error yield no post and are not cached.
     """
-    hits, misses = split_by_cache(rows, lookup(cache.read(without=batch), sig))
+    hits, misses = split_by_cache(rows, lookup(cache.read(without=batch), sig, rows))
     done = transform(misses)
     usage = [
         (F.col(f.name) if f.name in done.columns else F.lit(None).cast(f.dataType)).alias(f.name)

@@ -8,7 +8,7 @@ hash, which are all kept, never share a key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import content_hash
@@ -16,6 +16,9 @@ from ..functions.text import content_hash
 HASH = "content_hash"
 ORDER = ("sample_key", "source_id")
 
+#: Row keys are some 30 bytes, so this many make a hash table of about 100 MB.
+BROADCAST_ROWS = 1_000_000
+
 
 def with_content_hash(df: DataFrame, body: str = "body") -> DataFrame:
     """Hash the raw body, before any cleaning."""
@@ -67,29 +70,49 @@ def dedup_content(
     return kept.select(*df.columns).unionByName(df.filter(F.col(HASH) == ""))
 
 
+def selection_keys(df: DataFrame, order: tuple[str, ...] = ORDER) -> DataFrame:
+    """The columns that decide which rows are kept; narrow beside a text."""
+    return df.select(*dict.fromkeys(["source_id", HASH, *_order(df, order)]))
+
+
 def select_rows(
     df: DataFrame,
     ledger: DataFrame | None = None,
     known: DataFrame | None = None,
     order: tuple[str, ...] = ORDER,
+    keys: DataFrame | None = None,
+    counts: Row | None = None,
 ) -> DataFrame:
-    """Resume filter plus content dedup, deciding on keys and moving text once.
+    """Resume filter plus content dedup, deciding on keys and moving text at most once.
 
     The wide way shuffles every text by id for the ledger and again by hash. Here
-    only ``(source_id, content_hash, row_key)`` goes through those joins; the rows
-    to keep are then picked by ``row_key``, which is unique and so cannot be
-    skewed. When few rows are left to do, Spark's runtime filters also spare the
-    texts of the others that last shuffle. Needs ``row_key``.
+    only ``selection_keys`` goes through those joins; the rows to keep are then
+    picked by ``row_key``, which is unique and so cannot be skewed. ``keys`` may be
+    a stored copy of the selection keys.
+
+    With ``counts``, the row of a funnel, the pick takes the cheapest form: nothing
+    when nothing is dropped; a broadcast of the keys kept or dropped when one of the
+    two is at most ``BROADCAST_ROWS`` long, and texts stay where they were read;
+    else a shuffle. Needs ``row_key``.
     """
-    fields = [HASH, *_order(df, order)]
-    keys = df.select(*dict.fromkeys(["source_id", *fields]))
-    if ledger is not None:
-        keys = resume_filter(keys, ledger)
+    keys = selection_keys(df, order) if keys is None else keys
+    fresh = keys if ledger is None else resume_filter(keys, ledger)
     first = F.min(F.struct(*_order(df, order))).getField("row_key").alias("row_key")
-    winners = keys.groupBy(dedup_key().alias("_key")).agg(first)
+    winners = fresh.groupBy(dedup_key().alias("_key")).agg(first)
     if known is not None:
         winners = winners.join(known.select(F.col(HASH).alias("_key")), "_key", "left_anti")
-    return df.join(winners.select("row_key"), "row_key", "left_semi")
+    kept = winners.select("row_key")
+    if counts is not None:
+        n_kept = counts["after_content_dedup"]
+        n_dropped = counts["fetched"] - n_kept
+        if n_dropped == 0:
+            return df
+        if n_kept <= BROADCAST_ROWS:
+            return df.join(F.broadcast(kept), "row_key", "left_semi")
+        if n_dropped <= BROADCAST_ROWS:
+            dropped = keys.select("row_key").join(kept, "row_key", "left_anti")
+            return df.join(F.broadcast(dropped), "row_key", "left_anti")
+    return df.join(kept, "row_key", "left_semi")
 
 
 def row_funnel(

@@ -32,7 +32,8 @@ class VersionedTable:
         self._version: int | None = None
 
     def version(self) -> int:
-        """The current version, looked up once; a table has one writer at a time."""
+        """The current version as this object first saw it, or made it. Open the table
+        anew to see a version another writer put in place."""
         if self._version is None:
             self._version = self._stored_version()
         return self._version

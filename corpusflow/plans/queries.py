@@ -386,7 +386,7 @@ def cache_entries(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def cache_lookup(spark: SparkSession, sf: str) -> DataFrame:
     rows = dedup.with_content_hash(corpus(spark, sf))
-    hits, misses = split_by_cache(rows, lookup(cache_entries(spark, sf), "now"))
+    hits, misses = split_by_cache(rows, lookup(cache_entries(spark, sf), "now", rows))
     return hits.unionByName(_passthrough(misses).drop("error"))
 
 

@@ -11,7 +11,13 @@ from pyspark.sql import types as T
 
 from ..operators import cost, dimensions, publish
 from ..operators.cache import CACHE_TABLE, cache_stats, with_cache
-from ..operators.dedup import resume_filter, row_funnel, select_rows, with_content_hash
+from ..operators.dedup import (
+    resume_filter,
+    row_funnel,
+    select_rows,
+    selection_keys,
+    with_content_hash,
+)
 from ..operators.ledger import Known, published_entries, reconcile
 from ..operators.sampling import sample_rows
 from ..operators.store import VersionedTable, arrival
@@ -51,12 +57,15 @@ def _body_field(cfg: dict) -> str:
     return (cfg.get("transform") or {}).get("body_field") or "body"
 
 
-def sampled_rows(spark: SparkSession, cfg: dict, stage: str, dry_run: bool) -> DataFrame:
-    """The sample, each row with its key, its order and (unless dry) its hash.
+def sampled_rows(
+    spark: SparkSession, cfg: dict, run_dir: str, dry_run: bool
+) -> tuple[DataFrame, DataFrame]:
+    """The sample, each row with its key, order and (unless dry) hash; and its keys.
 
-    Parquet sources are read where they are. Other sources are costly to parse and
-    their rows have no stable place, so their sample is written to ``stage`` once
-    and read from there, by columns, ever after.
+    Parquet sources are read where they are, and only the selection keys are
+    written down. Other sources are costly to parse and their rows have no stable
+    place, so their sample is written once and read from there, by columns. Either
+    way a corpus is read twice at most: once for keys, once for what is kept.
     """
     source, dataset = dict(cfg["source"]), cfg.get("dataset") or {}
     in_place = is_parquet(source)
@@ -69,22 +78,32 @@ def sampled_rows(spark: SparkSession, cfg: dict, stage: str, dry_run: bool) -> D
         rows = rows.withColumn("content_hash", F.lit(""))
     else:
         rows = with_content_hash(rows, body)
-    if in_place or "row_key" in rows.columns or dry_run:
-        return rows
-    rows.write.mode("overwrite").parquet(stage)
-    staged = spark.read.schema(rows.schema).parquet(stage)
-    return staged.select("*", row_key().alias("row_key"))
-
-
-def prepare_rows(rows: DataFrame, cfg: dict, known: Known | None, dry_run: bool) -> Prepared:
+    if dry_run:
+        return rows, rows
+    if in_place or "row_key" in rows.columns:
+        keys = selection_keys(rows)
+        keys.write.mode("overwrite").parquet(f"{run_dir}/keys")
+        return rows, spark.read.schema(keys.schema).parquet(f"{run_dir}/keys")
+    rows.write.mode("overwrite").parquet(f"{run_dir}/rows")
+    staged = spark.read.schema(rows.schema).parquet(f"{run_dir}/rows")
+    rows = staged.select("*", row_key().alias("row_key"))
+    return rows, selection_keys(rows)
+
+
+def prepare_rows(
+    rows: DataFrame, keys: DataFrame, cfg: dict, known: Known | None, dry_run: bool
+) -> Prepared:
     """Drop what is published or repeated. A dry run keeps every row and hashes none."""
     if dry_run or known is None:
         return Prepared(rows, None)
     if not (cfg.get("dataset") or {}).get("dedup_content", True):
         fresh = resume_filter(rows, known.posts)
         return Prepared(fresh.withColumn("content_hash", F.lit("")), None)
-    funnel = row_funnel(rows, known.posts, known.hashes)
-    return Prepared(select_rows(rows, known.posts, known.hashes), funnel)
+    funnel = row_funnel(keys, known.posts, known.hashes)
+    counts = funnel.first()
+    kept = select_rows(rows, known.posts, known.hashes, keys=keys, counts=counts)
+    # the counts are final: the ledger grows while the run goes on
+    return Prepared(kept, rows.sparkSession.createDataFrame([counts], funnel.schema))
 
 
 def published_rows(created: DataFrame, status: str, byline: bool, seq: int) -> DataFrame:
@@ -132,6 +151,7 @@ def _dimension(spark: SparkSession, path: str, extra: tuple[str, ...] = ()) -> V
     return VersionedTable(spark, path, T.StructType(fields))
 
 
+BROADCAST_NAMES = 100_000
 AUTHOR_COLUMNS = ("username", "email", "first_name", "last_name")
 
 
@@ -141,19 +161,27 @@ def resolve_dimensions(
     """Category and author ids, making the missing ones on the target side."""
     load = cfg["load"]
     author_cfg = load.get("author") or {}
-    labels = spark.createDataFrame([(x,) for x in labels_of(cfg["transform"])], "name string")
+    names = labels_of(cfg["transform"])
+    labels = spark.createDataFrame([(x,) for x in names], "name string")
     categories = _dimension(spark, f"{load['target']}/categories")
     found = dimensions.ensure_categories(categories.read(without=batch), labels)
     categories.append(found.created, batch)
     authors, pool = None, _pool(cfg)
     if author_cfg.get("create_users", True) and pool:
         table = _dimension(spark, f"{load['target']}/authors", AUTHOR_COLUMNS)
-        names = spark.createDataFrame([(x,) for x in pool], "name string")
+        people = spark.createDataFrame([(x,) for x in pool], "name string")
         domain = author_cfg.get("email_domain", "example.invalid")
-        made = dimensions.ensure_authors(table.read(without=batch), names, domain)
+        made = dimensions.ensure_authors(table.read(without=batch), people, domain)
         table.append(made.created, batch)
-        authors = made.mapping
-    return found.mapping, authors
+        authors = _bounded(made.mapping, len(pool))
+    return _bounded(found.mapping, len(names)), authors
+
+
+def _bounded(mapping: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a mapping with as many rows as a configured list, unless that is long.
+
+    Spark cannot see how short it is, and would shuffle all posts by category."""
+    return F.broadcast(mapping) if rows <= BROADCAST_NAMES else mapping
 
 
 @dataclass
@@ -207,8 +235,8 @@ def run(
         there = published_entries(target.read(without=batch))
         known = reconcile(ledger, there, mode, f"fill-{arrival()}", without=batch)
 
-    rows = sampled_rows(spark, cfg, f"{run_dir}/rows", dry_run)
-    prepared = prepare_rows(rows, cfg, known, dry_run)
+    rows, keys = sampled_rows(spark, cfg, run_dir, dry_run)
+    prepared = prepare_rows(rows, keys, cfg, known, dry_run)
     transform = build_transform(cfg, completing)
     ready = with_picks(prepared.rows, cfg)
 

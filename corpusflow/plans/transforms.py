@@ -57,11 +57,14 @@ CALL_COLUMNS = ("error", "input_tokens", "output_tokens", "retries")
 @dataclass
 class Completing:
     """What the synth transform calls: ``make_client(schema)`` builds a client on an
-    executor; ``schema`` is the response schema, or None when not ``structured``."""
+    executor; ``schema`` is the response schema, or None when not ``structured``.
+    ``partitions`` bounds how many tasks call at once (each ``policy.concurrency``
+    wide), for endpoints that limit their callers."""
 
     make_client: Callable[[dict | None], Client]
     model: str = ""
     structured: bool = False
+    partitions: int | None = None
     policy: CallPolicy = field(default_factory=CallPolicy)
 
 
@@ -131,6 +134,8 @@ class Synth:
         calls = self.completing
         system = prompts.system_prompt(self.template, self.labels, self.range_start, self.range_end)
         schema = prompts.response_schema(self.labels) if calls.structured else None
+        if calls.partitions:
+            df = df.repartition(calls.partitions, "source_id")
         cleaned = df.withColumn(
             "_body", text.py_strip(apply_cleaners(_field(df, self.body_field), self.cleaners))
         )

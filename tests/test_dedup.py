@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.functions.picks import sample_key
+from corpusflow.operators import dedup
 from corpusflow.operators.dedup import (
     dedup_content,
     hash_coverage,
@@ -53,7 +54,7 @@ CORPUS = (
 
 
 @pytest.mark.parametrize("with_known", [True, False])
-def test_dedup_matches_brute_force(spark, with_known):
+def test_dedup_matches_brute_force(spark, monkeypatch, with_known):
     df = rows_of(spark, CORPUS).repartition(6).cache()
     published = ["p1", "p2", "u7", "absent"]
     ledger = spark.createDataFrame([(p, 1) for p in published], "source_id string, post_id long")
@@ -66,6 +67,10 @@ def test_dedup_matches_brute_force(spark, with_known):
     keys = lambda frame: sorted(r.row_key for r in frame.collect())
     assert keys(dedup_content(fresh, known)) == kept
     assert keys(select_rows(df, ledger, known)) == kept
+    for bound in (0, 1000, len(kept)):
+        monkeypatch.setattr(dedup, "BROADCAST_ROWS", bound)
+        row = row_funnel(df, ledger, known).first()
+        assert keys(select_rows(df, ledger, known, counts=row)) == kept
     # without row keys copies alike in id and text may swap, their number may not
     plain = dedup_content(fresh.drop("row_key"), known)
     assert plain.count() == len(kept)
@@ -100,3 +105,21 @@ def test_hot_hashes_shrink_before_the_shuffle(spark, sf_dir):
     plan = plan_of(dedup_content(with_content_hash(df)))
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert "Python" not in plan
+
+
+def test_texts_stay_put_when_little_is_dropped(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    df = with_content_hash(
+        docs.select(
+            F.col("doc_id").cast("string").alias("source_id"),
+            F.col("text").alias("body"),
+            F.concat(F.lit("k"), F.col("doc_id")).alias("row_key"),
+        )
+    )
+    counts = row_funnel(df).first()
+    plan = plan_of(select_rows(df, counts=counts))
+    assert "BroadcastHashJoin" in plan
+    assert "SortMergeJoin [row_key" not in plan.split("BroadcastExchange")[0]
+    distinct = df.dropDuplicates(["content_hash"])
+    same = row_funnel(distinct).first()
+    assert select_rows(distinct, counts=same) is distinct

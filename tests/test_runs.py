@@ -71,7 +71,6 @@ def test_run_resume_and_repeat(spark, tmp_path):
         "<!-- wp:paragraph -->\n<p>more</p>\n<!-- /wp:paragraph -->"
     )
     assert posts["blank"].title == "Untitled"
-    authors = VersionedTable(spark, str(tmp_path / "site/authors"), LEDGER)
     raw = spark.read.parquet(str(tmp_path / "site/authors/data/v=0")).collect()
     assert {(r.username, r.first_name, r.last_name) for r in raw} == {
         ("ana-maria-paz", "Ana", "Maria Paz"), ("bo", "Bo", ""),
@@ -99,6 +98,7 @@ def test_run_resume_and_repeat(spark, tmp_path):
     ledger.append(spark.createDataFrame([("ghost", 99, None, 1)], LEDGER), "ghost")
     third = run(spark, config(tmp_path, mode="verify"), str(tmp_path / "out3"), run_id="three")
     assert third.drift.first().asDict() == {"only_in_log": 1, "only_on_target": 0, "differing": 0}
+    ledger = VersionedTable(spark, str(tmp_path / "site/ledger"), LEDGER)
     assert ledger.read().filter("source_id = 'ghost'").isEmpty()
     assert third.summary.first().posts_created == 0
 
@@ -171,6 +171,17 @@ class Stub:
         return Completion(json.dumps({"title": body[:20], "category": "the opinion pages", "date": "2020-02"}), 10, 2)
 
 
+def test_parquet_source_is_read_in_place(spark, tmp_path):
+    write_corpus(tmp_path, ROWS)
+    cfg = config(tmp_path)
+    spark.read.json(str(tmp_path / "corpus.jsonl")).write.parquet(str(tmp_path / "corpus.parquet"))
+    cfg["source"].update(type="table", path=str(tmp_path / "corpus.parquet"))
+    s = run(spark, cfg, str(tmp_path / "out"), run_id="one").summary.first()
+    assert (s.posts_created, s.posts_skipped_existing, s.posts_failed) == (21, 2, 1)
+    assert s.content_dedup.within_run == 5
+    assert not (tmp_path / "out/rows").exists() and (tmp_path / "out/keys").exists()
+
+
 def test_synth_run_caches_and_isolates_failures(spark, tmp_path):
     calls = tmp_path / "calls"
     calls.mkdir()
