@@ -57,15 +57,13 @@ def read_cache_jsonl(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _is_usable(sig: str) -> Column:
-    ok = F.col("sig") == sig
-    for name in REQUIRED:
-        ok = ok & F.col(f"post.{name}").isNotNull()
-    return F.coalesce(ok, F.lit(False))
+    # a post is whole or null, so its id tells; no text is read to find out
+    return F.coalesce((F.col("sig") == sig) & F.col("post.source_id").isNotNull(), F.lit(False))
 
 
 def usable(entries: DataFrame, sig: str) -> DataFrame:
     """Well-formed entries made under ``sig``; stale ones are left in the scan."""
-    return entries.filter(F.col("sig") == sig).filter(_is_usable(sig))
+    return entries.filter(F.col("sig") == sig).filter(F.col("post.source_id").isNotNull())
 
 
 def lookup(entries: DataFrame, sig: str, rows: DataFrame | None = None) -> DataFrame:
@@ -78,18 +76,19 @@ def lookup(entries: DataFrame, sig: str, rows: DataFrame | None = None) -> DataF
     return last.select(*POST_FIELDS)
 
 
-def split_by_cache(rows: DataFrame, posts: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_by_cache(rows: DataFrame, entries: DataFrame, sig: str) -> tuple[DataFrame, DataFrame]:
     """(cached posts of these rows, rows without one).
 
-    Of the rows with a cached post only id and hash are read. A cached post keeps
-    its author and date; an empty hash is filled from the row.
+    Of the rows with a cached post only id and hash are read, and of the cached posts
+    of the others nothing but their ids. A cached post keeps its author and date; an
+    empty hash is filled from the row.
     """
     stamp = rows.select("source_id", F.col("content_hash").alias("_hash"))
     fields: list[Column] = [F.col(f) for f in POST_FIELDS[:-1]]
     hash_ = or_else(F.col("content_hash"), or_empty(F.col("_hash"))).alias("content_hash")
-    hits = posts.join(stamp, "source_id").select(*fields, hash_)
-    misses = rows.join(posts.select("source_id"), "source_id", "left_anti")
-    return hits, misses
+    hits = lookup(entries, sig, rows).join(stamp, "source_id").select(*fields, hash_)
+    ids = usable(entries, sig).select(F.col("post.source_id").alias("source_id"))
+    return hits, rows.join(ids, "source_id", "left_anti")
 
 
 def with_cache(
@@ -106,7 +105,7 @@ def with_cache(
     returns the post fields, ``error`` and any of the usage columns; rows with an
     error yield no post and are not cached.
     """
-    hits, misses = split_by_cache(rows, lookup(cache.read(without=batch), sig, rows))
+    hits, misses = split_by_cache(rows, cache.read(without=batch), sig)
     done = transform(misses)
     usage = [
         (F.col(f.name) if f.name in done.columns else F.lit(None).cast(f.dataType)).alias(f.name)

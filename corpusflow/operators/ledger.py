@@ -99,6 +99,11 @@ def target_entries(target: DataFrame, seq: Column | None = None) -> DataFrame:
     )
 
 
+def source_ids(target: DataFrame) -> DataFrame:
+    """Only the source-id index of a target."""
+    return latest(target_entries(target))
+
+
 def published_entries(published: DataFrame) -> DataFrame:
     """Ledger entries of a published-posts table that keeps meta as columns."""
     return valid_entries(published.select("source_id", "post_id", "content_hash", "seq"))
@@ -150,6 +155,25 @@ def changes(ledger: DataFrame, mapping: DataFrame, hashes: DataFrame | None = No
     )
 
 
+def replace(
+    ledger: VersionedTable, mapping: DataFrame, hashes: DataFrame | None = None, batch: str = "replace"
+) -> int:
+    """Rebuild the ledger from ``mapping``; entries it does not have are gone. Returns
+    the number of entries."""
+    rows = replacement(mapping, hashes).withColumn("seq", F.lit(arrival()))
+    ledger.replace(rows, batch)
+    return ledger.read(only=batch).count()
+
+
+def merge(
+    ledger: VersionedTable, mapping: DataFrame, hashes: DataFrame | None = None, batch: str = "merge"
+) -> int:
+    """Append what ``mapping`` changes; returns the number of entries written."""
+    rows = changes(ledger.read(without=batch), mapping, hashes)
+    ledger.append(rows.withColumn("seq", F.lit(arrival())), batch)
+    return ledger.read(only=batch).count()
+
+
 def overlay(left: DataFrame, right: DataFrame, key: str = "source_id") -> DataFrame:
     """Union of two maps; the right side wins."""
     return right.unionByName(left.join(right.select(key), key, "left_anti"))
@@ -222,10 +246,8 @@ def reconcile(
     # the report compares with the ledger as it was, so it is taken before the write
     report = spark.createDataFrame(report.collect(), report.schema)
     if mode == "verify":
-        rows = replacement(posts, hashes)
-        ledger.replace(rows.withColumn("seq", F.lit(arrival())), batch)
+        replace(ledger, posts, hashes, batch)
         return Known(posts, hashes, report)
-    rows = changes(entries, posts, hashes)
     merged = Known(overlay(latest(entries), posts), fill(first_hash(entries), hashes), report)
-    ledger.append(rows.withColumn("seq", F.lit(arrival())), batch)
+    merge(ledger, posts, hashes, batch)
     return merged

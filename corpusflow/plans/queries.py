@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import picks, strict_json, text
 from ..functions.cleaners import apply_cleaners
 from ..operators import cost, dedup, dimensions, ledger, publish
-from ..operators.cache import cache_stats, lookup, split_by_cache
+from ..operators.cache import cache_stats, split_by_cache
 from ..operators.completion import Completion
 from ..operators.sampling import sample_rows
 from ..schemas import POST_FIELDS
@@ -386,7 +386,7 @@ def cache_entries(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def cache_lookup(spark: SparkSession, sf: str) -> DataFrame:
     rows = dedup.with_content_hash(corpus(spark, sf))
-    hits, misses = split_by_cache(rows, lookup(cache_entries(spark, sf), "now", rows))
+    hits, misses = split_by_cache(rows, cache_entries(spark, sf), "now")
     return hits.unionByName(_passthrough(misses).drop("error"))
 
 
@@ -583,14 +583,17 @@ def _conversations(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     existing = turns.filter("role = 'system'").select(
         id_text("conv_id").alias("source_id"), (F.col("conv_id") + 1).alias("post_id")
     ).distinct()
-    author_ids = spark.createDataFrame([(POOL[0], 1), (POOL[1], 2)], "name string, id bigint")
-    posts = conversation_posts(spark, sf)
-    resolved = publish.with_author(
-        publish.with_category(posts, _categories(spark, sf)), author_ids
-    )
+    resolved = publish.with_category(conversation_posts(spark, sf), _categories(spark, sf))
     return resolved, publish.assign_ids(resolved, existing, 1_000_000)
 
 
+def _created(spark: SparkSession, sf: str) -> DataFrame:
+    """Created posts with author ids; the author list is short, so it is broadcast."""
+    ids = spark.createDataFrame([(POOL[0], 1), (POOL[1], 2)], "name string, id bigint")
+    created = publish.created_posts(*_conversations(spark, sf))
+    return publish.with_author(created, F.broadcast(ids))
+
+
 @query
 def publish_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     outcomes = publish.publish_outcomes(*_conversations(spark, sf))
@@ -599,14 +602,16 @@ def publish_outcomes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def created_posts(spark: SparkSession, sf: str) -> DataFrame:
-    created = publish.created_posts(*_conversations(spark, sf))
-    return created.select("post_id", "source_id", "title", "content", "category_id", "author_id")
+    return _created(spark, sf).select(
+        "post_id", "source_id", "title", "content", "category_id", "author_id"
+    )
 
 
 @query
 def payload(spark: SparkSession, sf: str) -> DataFrame:
-    created = publish.created_posts(*_conversations(spark, sf))
-    return created.select("post_id", publish.payload("draft", byline=True).alias("request"))
+    return _created(spark, sf).select(
+        "post_id", publish.payload("draft", byline=True).alias("request")
+    )
 
 
 @query
@@ -616,7 +621,7 @@ def dry_run_outcomes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def dry_run_category_ids(spark: SparkSession, sf: str) -> DataFrame:
-    ids = dimensions.dry_run_categories(spark, LABELS)
+    ids = F.broadcast(dimensions.dry_run_categories(spark, LABELS))
     resolved = publish.with_category(_passthrough(dedup.with_content_hash(corpus(spark, sf))), ids)
     return resolved.select("source_id", "category", "category_id")
 

@@ -264,11 +264,14 @@ def run(
         outcomes = publish.dry_run_outcomes(posts).unionByName(failed)
     else:
         categories, authors = resolve_dimensions(spark, cfg, batch)
-        resolved = publish.with_author(publish.with_category(posts, categories), authors)
+        resolved = publish.with_category(posts, categories)
         here = target.read(without=batch)
         top = here.agg(F.max("post_id")).first()[0] or 0
-        assigned = publish.assign_ids(resolved, known.posts, top)
-        created = publish.created_posts(resolved, assigned)
+        # written once: both the posts and the outcomes go by it
+        ids = publish.assign_ids(resolved, known.posts, top)
+        ids.write.mode("overwrite").parquet(f"{run_dir}/assigned")
+        assigned = spark.read.schema(ids.schema).parquet(f"{run_dir}/assigned")
+        created = publish.with_author(publish.created_posts(resolved, assigned), authors)
         author_cfg = load.get("author") or {}
         target.append(
             published_rows(

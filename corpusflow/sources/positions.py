@@ -15,6 +15,13 @@ def row_key() -> Column:
     return F.concat(F.hex(F.xxhash64(path)), F.lit(":"), index.cast("string"))
 
 
+def place() -> Column:
+    """File name and row number of a row of a Parquet scan; as an id it outlives a
+    move of the dataset to another folder."""
+    index = F.col("_metadata.row_index").cast("string")
+    return F.concat(F.col("_metadata.file_name"), F.lit(":"), index)
+
+
 def with_file_columns(scan: DataFrame) -> DataFrame:
     """Add the file and split of each row. ``scan`` must come straight from a reader."""
     return scan.select(

@@ -8,9 +8,9 @@ from pyspark.sql import types as T
 
 from ..functions import strict_json
 from ..functions.text import or_empty, py_strip
-from .positions import line_position, parquet_position, row_key, with_file_columns
+from .positions import line_position, parquet_position, place, row_key, with_file_columns
 
-ID_FALLBACKS = ("hash", "position")
+ID_FALLBACKS = ("place", "hash", "position")
 FILE_FORMATS = ("parquet", "orc")
 
 
@@ -26,10 +26,14 @@ def _fallback_id(fields: list[str]) -> Column:
 
 
 def _finish(df: DataFrame, fields: list[str], id_fallback: str) -> DataFrame:
-    """Put an id on rows without one: a hash of their fields, or their position."""
+    """Put an id on rows without one: their place in their file, a hash of their
+    fields, or their position in the corpus."""
     if id_fallback not in ID_FALLBACKS:
         raise ValueError(f"id_fallback={id_fallback!r}; known: {', '.join(ID_FALLBACKS)}")
-    fallback = F.col("_position").cast("string") if id_fallback == "position" else _fallback_id(fields)
+    if id_fallback == "hash":
+        fallback = _fallback_id(fields)
+    else:
+        fallback = F.col(f"_{id_fallback}").cast("string")
     keep = ["row_key"] if "row_key" in df.columns else []
     id_ = F.coalesce(F.col("_id"), fallback).alias("source_id")
     return df.select(id_, *[F.col(f"`{name}`") for name in fields], *keep)
@@ -113,7 +117,9 @@ def as_text(df: DataFrame, column: str) -> Column:
     return or_empty(text)
 
 
-def map_fields(df: DataFrame, field_map: dict[str, str], keep: tuple[str, ...] = ()) -> DataFrame:
+def map_fields(
+    df: DataFrame, field_map: dict[str, str], keep: tuple[Column, ...] = ()
+) -> DataFrame:
     """Project a typed table to ``_id`` plus logical text fields; drop the rest.
 
     A mapped column the table does not have reads as ``""``.
@@ -139,11 +145,14 @@ def is_parquet(cfg: dict) -> bool:
 def read_table(spark: SparkSession, cfg: dict) -> DataFrame:
     """A columnar dataset: ``path`` (with optional ``split`` folder) or catalog ``name``.
 
-    ``row_key`` adds a unique key per row; it and positional ids need Parquet files.
+    ``row_key`` adds a unique key per row; it needs Parquet files, as do ids by place
+    or position. A row without an id gets its place in its file, which unlike a hash
+    does not make every scan for ids read the texts as well.
     """
     field_map = cfg.get("field_map") or {}
     _, fields = split_field_map(field_map)
-    fallback = cfg.get("id_fallback", "hash")
+    parquet = is_parquet({"type": "table", **cfg})
+    fallback = cfg.get("id_fallback") or ("place" if parquet else "hash")
     if cfg.get("path"):
         file_format = cfg.get("format", "parquet")
         if file_format not in FILE_FORMATS:
@@ -154,15 +163,16 @@ def read_table(spark: SparkSession, cfg: dict) -> DataFrame:
         scan = spark.table(cfg["name"])
         if cfg.get("split"):
             scan = scan.filter(F.col("split") == cfg["split"])
-    if (cfg.get("row_key") or fallback == "position") and not is_parquet({"type": "table", **cfg}):
-        raise ValueError("row_key and positional ids need a Parquet path")
-    keep: tuple = ()
+    if (cfg.get("row_key") or fallback != "hash") and not parquet:
+        raise ValueError("row_key and ids by place or position need a Parquet path")
+    keep = {}
     if cfg.get("row_key"):
-        keep += (row_key().alias("row_key"),)
+        keep["row_key"] = row_key()
+    if fallback == "place":
+        keep["_place"] = place()
     if fallback == "position":
-        # the key is taken where the scan's metadata is at hand, before the join
-        scan = scan.select("*", *keep) if keep else scan
-        keep = ("row_key",) if keep else ()
-        scan = parquet_position(scan, "_position")
-        keep += ("_position",)
-    return _finish(map_fields(scan, field_map, keep), list(fields), fallback)
+        # taken where the scan's metadata is at hand, before the join
+        scan = parquet_position(scan.select("*", *[c.alias(n) for n, c in keep.items()]), "_position")
+        keep = {name: F.col(name) for name in (*keep, "_position")}
+    kept = tuple(c.alias(name) for name, c in keep.items())
+    return _finish(map_fields(scan, field_map, kept), list(fields), fallback)

@@ -108,14 +108,11 @@ class StreamSink:
         made = self.posts(with_picks(fresh, self.cfg)).filter(F.col("error").isNull())
         resolved = self._stage(
             "resolved",
-            publish.with_author(
-                publish.with_category(made.select(*POST_FIELDS), self.categories), self.authors
-            ),
+            publish.with_category(made.select(*POST_FIELDS), self.categories),
         )
         top = there.agg(F.max("post_id")).first()[0] or 0
-        created = publish.created_posts(
-            resolved, publish.assign_ids(resolved, latest(entries), top)
-        )
+        assigned = publish.assign_ids(resolved, latest(entries), top)
+        created = publish.with_author(publish.created_posts(resolved, assigned), self.authors)
         byline = bool((load.get("author") or {}).get("prepend_to_content"))
         status = load.get("post_status", "publish")
         self.target.append(published_rows(created, status, byline, arrival()), batch)

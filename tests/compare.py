@@ -32,9 +32,8 @@ def in_order(names, rows):
     return [names[i] for i in order], sorted(rows, key=repr)
 
 
-def difference(spark, con, sf, query, sql):
+def difference(con, df, sql):
     """None when both give the same rows; else what differs."""
-    df = query(spark, sf)
     got = in_order(df.columns, [tuple(r) for r in df.collect()])
     result = con.execute(sql)
     want = in_order([d[0] for d in result.description], result.fetchall())
@@ -65,7 +64,7 @@ def main(sf, names):
             continue
         started = time.time()
         try:
-            problem = difference(spark, con, sf, query, entry.oracle_sql()[name])
+            problem = difference(con, query(spark, sf), entry.oracle_sql()[name])
         except Exception as e:
             problem = f"{type(e).__name__}: {e}"[:1500]
         failed += problem is not None

@@ -95,7 +95,7 @@ def test_meta_shapes(spark):
     got = L.target_entries(as_list)
     assert pairs(L.latest(got)) == {("0", 4)} and pairs(L.first_hash(got)) == {("h", 1)}
     as_map = spark.createDataFrame([(5, {"source_id": "m"}), (6, {})], "id long, meta map<string,string>")
-    assert pairs(L.latest(L.target_entries(as_map))) == {("m", 5)}
+    assert pairs(L.source_ids(as_map)) == {("m", 5)}
     other = spark.createDataFrame([(5, "text")], "id long, meta string")
     assert L.target_entries(other).isEmpty()
 
@@ -146,6 +146,15 @@ def test_versioned_table(spark, tmp_path):
     assert VersionedTable(spark, str(tmp_path / "t"), LEDGER).read().isEmpty()
 
 
+def test_merge_and_replace_count_what_they_write(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "ledger"), LEDGER)
+    assert L.merge(t, mapping(spark, {"a": 1, "b": 2}), hash_map(spark, {"h": 1}), "one") == 2
+    assert L.merge(t, mapping(spark, {"a": 1, "b": 3}), None, "two") == 1
+    assert pairs(L.latest(t.read())) == {("a", 1), ("b", 3)}
+    assert L.replace(t, mapping(spark, {"b": 3, "c": 0})) == 1
+    assert pairs(L.latest(t.read())) == {("b", 3)} and L.first_hash(t.read()).isEmpty()
+
+
 def post(source_id, **kw):
     base = dict(title="t", content="c", category="n", author="a", date_gmt="d", source_id=source_id)
     return {**base, **kw}
@@ -170,7 +179,7 @@ def test_cache_import_and_lookup(spark, tmp_path):
     assert [(r.source_id, r.title, r.content_hash) for r in found] == [("x", "later", "")]
 
     rows = spark.createDataFrame([("x", "from-row"), ("z", "hz"), ("x", "from-row")], "source_id string, content_hash string")
-    hits, misses = split_by_cache(rows, lookup(cached, "S"))
+    hits, misses = split_by_cache(rows, cached, "S")
     assert hits.columns == list(POST_FIELDS)
     assert [(r.source_id, r.content_hash) for r in hits.collect()] == [("x", "from-row")] * 2
     assert [r.source_id for r in misses.collect()] == ["z"]
