@@ -54,10 +54,13 @@ def read_ledger_jsonl(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def named_entries(ledger: DataFrame) -> DataFrame:
+    return valid_entries(ledger).filter(or_empty(F.col("source_id")) != "")
+
+
 def latest(ledger: DataFrame) -> DataFrame:
     """``source_id -> post_id``; the last entry wins."""
-    named = valid_entries(ledger).filter(or_empty(F.col("source_id")) != "")
-    return named.groupBy("source_id").agg(F.max_by("post_id", "seq").alias("post_id"))
+    return named_entries(ledger).groupBy("source_id").agg(F.max_by("post_id", "seq").alias("post_id"))
 
 
 def first_hash(ledger: DataFrame) -> DataFrame:
@@ -237,7 +240,7 @@ def reconcile(
     if mode == "skip":
         return Known(latest(empty), first_hash(empty))
     entries = ledger.read(without=without) if ledger else empty
-    if mode == "trust_ledger" and not latest(entries).isEmpty():
+    if mode == "trust_ledger" and not named_entries(entries).isEmpty():
         return Known(latest(entries), first_hash(entries))
     posts, hashes = latest(target), first_hash(target)
     report = drift(latest(entries), posts)

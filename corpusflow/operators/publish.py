@@ -14,7 +14,7 @@ from .numbering import number_rows
 COPY_CHUNK = 1_000_000
 
 
-def _outcome(df: DataFrame, **given: Column) -> DataFrame:
+def outcome_rows(df: DataFrame, **given: Column) -> DataFrame:
     """Rows in the outcome schema; what is not given is null."""
     return df.select(
         *[
@@ -25,13 +25,13 @@ def _outcome(df: DataFrame, **given: Column) -> DataFrame:
 
 
 def dry_run_outcomes(posts: DataFrame) -> DataFrame:
-    return _outcome(posts, source_id=F.col("source_id"), ok=F.lit(True), dry_run=F.lit(True))
+    return outcome_rows(posts, source_id=F.col("source_id"), ok=F.lit(True), dry_run=F.lit(True))
 
 
 def error_outcomes(errors: DataFrame, stage: str) -> DataFrame:
     """``(source_id, error)`` rows as failed outcomes of a stage; the run goes on."""
     text = F.concat(F.lit(f"{stage}: "), or_empty(F.col("error")))
-    return _outcome(errors, source_id=F.col("source_id"), ok=F.lit(False), error=text)
+    return outcome_rows(errors, source_id=F.col("source_id"), ok=F.lit(False), error=text)
 
 
 def with_category(posts: DataFrame, categories: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def with_author(posts: DataFrame, authors: DataFrame | None) -> DataFrame:
 def category_errors(resolved: DataFrame) -> DataFrame:
     """Failed outcomes of posts without a category id."""
     error = F.concat(F.lit("category not in mapping: '"), F.col("category"), F.lit("'"))
-    return _outcome(
+    return outcome_rows(
         resolved.filter(F.col("category_id").isNull()),
         source_id=F.col("source_id"),
         ok=F.lit(False),
@@ -111,7 +111,7 @@ def publish_outcomes(resolved: DataFrame, assigned: DataFrame) -> DataFrame:
     """
     copies = _repeat(assigned, F.col("copies"), "_copy")
     skipped = ~F.col("created") | (F.col("_copy") > 0)
-    done = _outcome(
+    done = outcome_rows(
         copies,
         source_id=F.col("source_id"),
         ok=F.lit(True),
@@ -139,7 +139,7 @@ def recover(outcomes: DataFrame, target_index: DataFrame) -> DataFrame:
     def pick(name: str, value: Column) -> Column:
         return F.when(hit, value).otherwise(F.col(name))
 
-    return _outcome(
+    return outcome_rows(
         joined,
         source_id=F.col("source_id"),
         ok=F.col("ok") | hit,

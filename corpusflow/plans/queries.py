@@ -637,7 +637,7 @@ def transform_errors(spark: SparkSession, sf: str) -> DataFrame:
 def _sink_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as sink outcomes: finished ones failed, others were created."""
     failed = F.col("o_orderstatus") == "F"
-    return publish._outcome(
+    return publish.outcome_rows(
         table(spark, sf, "orders"),
         source_id=id_text("o_orderkey"),
         ok=~failed,

@@ -27,7 +27,7 @@ from ..sources.positions import row_key
 from ..sources.readers import is_parquet
 from .config import validate_config
 from .summary import run_summary
-from .transforms import Completing, _pool, build_transform, labels_of, with_picks
+from .transforms import Completing, author_pool, build_transform, labels_of, with_picks
 
 #: A post as it stands on the target.
 PUBLISHED = T.StructType(
@@ -166,7 +166,7 @@ def resolve_dimensions(
     categories = _dimension(spark, f"{load['target']}/categories")
     found = dimensions.ensure_categories(categories.read(without=batch), labels)
     categories.append(found.created, batch)
-    authors, pool = None, _pool(cfg)
+    authors, pool = None, author_pool(cfg)
     if author_cfg.get("create_users", True) and pool:
         table = _dimension(spark, f"{load['target']}/authors", AUTHOR_COLUMNS)
         people = spark.createDataFrame([(x,) for x in pool], "name string")

@@ -16,7 +16,7 @@ from ..schemas import POST_FIELDS
 from . import prompts
 
 
-def _pool(cfg: dict) -> list[str]:
+def author_pool(cfg: dict) -> list[str]:
     """The transform's author pool, or else the load side's."""
     for part in ("transform", "load"):
         pool = ((cfg.get(part) or {}).get("author") or {}).get("pool")
@@ -40,7 +40,7 @@ def with_picks(df: DataFrame, cfg: dict) -> DataFrame:
         date = picks.pick_date(id_, dates["range_start"], dates["range_end"], seed)
     return df.select(
         "*",
-        picks.pick_author(id_, _pool(cfg), seed).alias("author"),
+        picks.pick_author(id_, author_pool(cfg), seed).alias("author"),
         date.alias("date_gmt"),
         F.lit(labels[0] if labels else "").alias("category_fallback"),
     )

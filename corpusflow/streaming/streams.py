@@ -23,7 +23,7 @@ from ..operators.ledger import first_hash, latest, published_entries
 from ..operators.store import VersionedTable, arrival
 from ..plans.runs import PUBLISHED, published_rows
 from ..plans.transforms import with_picks
-from ..schemas import POST_FIELDS
+from ..schemas import OUTCOME, POST_FIELDS
 from ..sources.positions import row_key
 from ..sources.readers import map_fields, parse_lines, split_field_map
 
@@ -92,6 +92,7 @@ class StreamSink:
     posts: Callable[[DataFrame], DataFrame]
     categories: DataFrame
     authors: DataFrame | None = None
+    results: VersionedTable | None = None
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
@@ -105,17 +106,23 @@ class StreamSink:
         there = self.target.read(without=batch)
         entries = published_entries(there)
         fresh = select_rows(arrived, latest(entries), first_hash(entries))
-        made = self.posts(with_picks(fresh, self.cfg)).filter(F.col("error").isNull())
-        resolved = self._stage(
-            "resolved",
-            publish.with_category(made.select(*POST_FIELDS), self.categories),
-        )
+        # the transform runs once per row; its failures become results, not lost rows
+        made = self.posts(with_picks(fresh, self.cfg)).select(*POST_FIELDS, "error")
+        made = self._stage("made", made)
+        good = made.filter(F.col("error").isNull()).select(*POST_FIELDS)
+        resolved = publish.with_category(good, self.categories)
         top = there.agg(F.max("post_id")).first()[0] or 0
         assigned = publish.assign_ids(resolved, latest(entries), top)
         created = publish.with_author(publish.created_posts(resolved, assigned), self.authors)
         byline = bool((load.get("author") or {}).get("prepend_to_content"))
         status = load.get("post_status", "publish")
         self.target.append(published_rows(created, status, byline, arrival()), batch)
+        if self.results is not None:
+            errors = made.filter(F.col("error").isNotNull()).select("source_id", "error")
+            done = publish.publish_outcomes(resolved, assigned)
+            self.results.append(
+                done.unionByName(publish.error_outcomes(errors, "transform")), batch
+            )
 
     def _stage(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.target.path}/staged/{name}"
@@ -131,16 +138,18 @@ def stream_publish(
     posts: Callable[[DataFrame], DataFrame],
     categories: DataFrame,
     authors: DataFrame | None = None,
+    results: VersionedTable | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Publish a stream of rows, each source id and each content once.
 
     A restart with the same ``checkpoint`` goes on where the stream stopped.
+    With ``results`` each micro-batch also records the outcome of every post.
     ``trigger`` defaults to working off what is there and stopping. Row counts of
     every micro-batch show up in the query's progress as the ``rows`` metrics.
     """
     observed = rows.observe("rows", *_metrics(F.col("source_id")))
-    sink = StreamSink(target, checkpoint, cfg, posts, categories, authors)
+    sink = StreamSink(target, checkpoint, cfg, posts, categories, authors, results)
     return (
         observed.writeStream.foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
@@ -153,5 +162,9 @@ def _metrics(id_: Column) -> list[Column]:
     return [F.count(F.lit(1)).alias("fetched"), F.count_if(id_ == "").alias("empty_ids")]
 
 
+def results_table(spark: SparkSession, path: str) -> VersionedTable:
+    return VersionedTable(spark, path, OUTCOME)
+
+
 def published_table(spark: SparkSession, path: str) -> VersionedTable:
     return VersionedTable(spark, path, PUBLISHED)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.plans.transforms import Passthrough
 from corpusflow.streaming import read_stream, stream_publish
-from corpusflow.streaming.streams import StreamSink, published_table
+from corpusflow.streaming.streams import StreamSink, published_table, results_table
 
 CFG = {
     "dataset": {"seed": 1},
@@ -18,6 +18,26 @@ def put(folder, name, rows):
     (folder / name).write_text("".join(json.dumps(r) + "\n" for r in rows))
 
 
+class Failing(Passthrough):
+    """Posts of rows that mention a failure carry an error."""
+
+    def posts(self, df):
+        made = super().posts(df)
+        return made.withColumn("error", F.when(F.col("content").contains("fail"), F.lit("boom")))
+
+
+def test_results_of_a_stream(spark, tmp_path):
+    put(tmp_path / "in", "a.jsonl", [{"id": "x", "text": "ok"}, {"id": "y", "text": "fail"}, {"id": "x", "text": "two"}, {"id": "o", "text": "q", "title": "t"}])
+    cats = spark.createDataFrame([("N", 1)], "name string, id long")
+    target, results = published_table(spark, str(tmp_path / "posts")), results_table(spark, str(tmp_path / "results"))
+    rows = read_stream(spark, str(tmp_path / "in"), FIELDS)
+    stream_publish(rows, target, str(tmp_path / "ckpt"), CFG, Failing().posts, cats, results=results).awaitTermination()
+    got = sorted((r.source_id, r.ok, r.skipped, r.error) for r in results.read().collect() if r.source_id != "x")
+    assert got == [("o", True, None, None), ("y", False, None, "transform: boom")]
+    assert {(r.ok, r.skipped) for r in results.read().filter("source_id = 'x'").collect()} == {(True, None), (True, True)}
+    assert {r.source_id for r in target.read().collect()} == {"x", "o"}
+
+
 def run(spark, folder, target, ckpt, cats, **kw):
     job = stream_publish(
         read_stream(spark, str(folder), FIELDS, max_files=1), target, str(ckpt), CFG, Passthrough().posts, cats, **kw
