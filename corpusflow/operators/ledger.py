@@ -17,6 +17,7 @@ from ..functions.text import or_empty
 from ..schemas import LEDGER
 from ..sources.positions import line_position, with_file_columns
 from ..sources.readers import parse_lines
+from .dedup import BROADCAST_ROWS
 from .store import VersionedTable, arrival
 
 MODES = ("trust_ledger", "verify", "skip")
@@ -69,6 +70,18 @@ def first_hash(ledger: DataFrame) -> DataFrame:
     return hashed.groupBy("content_hash").agg(F.min_by("post_id", "seq").alias("post_id"))
 
 
+def only_for(index: DataFrame, wanted: DataFrame, key: str, rows: int) -> DataFrame:
+    """The part of an index that ``wanted`` (of ``rows`` rows) asks about.
+
+    A small batch against a long ledger: the batch's keys are broadcast, the ledger is
+    filtered where it is read, below its aggregate, and only matches are shuffled. A
+    large batch leaves the index whole, to be joined by a shuffle.
+    """
+    if rows > BROADCAST_ROWS:
+        return index
+    return index.join(F.broadcast(wanted.select(key).distinct()), key, "left_semi")
+
+
 def find_post(ledger: DataFrame, source_id: str) -> DataFrame:
     """The post of one source id: at most one row. The filter reaches the scan."""
     return latest(ledger.filter(F.col("source_id") == source_id))

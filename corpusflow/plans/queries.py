@@ -10,8 +10,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +26,7 @@ from ..shipping import ship
 from ..sources import read_corpus
 from ..sources.readers import line_counts, parse_lines
 from ..streaming.streams import published_table, read_stream, stream_dedup, stream_publish, transform_stream
+from ..workdir import workspace
 from .prompts import system_prompt
 from .summary import run_summary
 from .transforms import Completing, Passthrough, Synth, with_picks
@@ -742,12 +741,6 @@ def summary_report(spark: SparkSession, sf: str) -> DataFrame:
 # --- streaming ---------------------------------------------------------------------
 
 
-def workspace(spark: SparkSession) -> str:
-    """A fresh folder in the shared place of the cluster; a temporary one without."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared or tempfile.mkdtemp(prefix='corpusflow-')}/work-{uuid.uuid4().hex}"
-
-
 def document_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = table(spark, sf, "documents").schema
     return read_stream(spark, sf, FIELD_MAP, schema, glob="documents.parquet")

@@ -18,7 +18,7 @@ from ..operators.dedup import (
     selection_keys,
     with_content_hash,
 )
-from ..operators.ledger import Known, published_entries, reconcile
+from ..operators.ledger import Known, only_for, published_entries, reconcile
 from ..operators.sampling import sample_rows
 from ..operators.store import VersionedTable, arrival
 from ..schemas import DIMENSION, LEDGER, POST, POST_FIELDS
@@ -236,6 +236,10 @@ def run(
         known = reconcile(ledger, there, mode, f"fill-{arrival()}", without=batch)
 
     rows, keys = sampled_rows(spark, cfg, run_dir, dry_run)
+    if known is not None:
+        n = keys.count()
+        known.posts = only_for(known.posts, keys, "source_id", n)
+        known.hashes = only_for(known.hashes, keys, "content_hash", n)
     prepared = prepare_rows(rows, keys, cfg, known, dry_run)
     transform = build_transform(cfg, completing)
     ready = with_picks(prepared.rows, cfg)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..workdir import checkpointed
+
 
 def row_key() -> Column:
     """A key that is unique per row of a Parquet scan and the same on every re-read,
@@ -53,20 +53,6 @@ def parquet_position(scan: DataFrame, out: str = "position") -> DataFrame:
     )
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by ``spark.checkpoint.dir``; without one (a local
-    trial) take a temporary folder."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="corpusflow-"))
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def line_position(rows: DataFrame, out: str = "position") -> DataFrame:
     """Number rows of a text scan from 0 in file order, those filtered out not counted.
 

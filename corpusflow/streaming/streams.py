@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.picks import sample_key
 from ..operators import publish
 from ..operators.dedup import HASH, select_rows, with_content_hash
-from ..operators.ledger import first_hash, latest, published_entries
+from ..operators.ledger import first_hash, latest, only_for, published_entries
 from ..operators.store import VersionedTable, arrival
 from ..plans.runs import PUBLISHED, published_rows
 from ..plans.transforms import with_picks
@@ -68,11 +68,11 @@ def stream_dedup(rows: DataFrame, body: str = "body") -> DataFrame:
 
     State grows by one hash per distinct text and is never dropped, so give it the
     RocksDB state store, or use ``stream_publish``, which asks the target instead.
-    Rows with an empty hash pass: their key is their id.
+    Rows with an empty hash all pass, on a branch without state.
     """
     hashed = with_content_hash(rows, body)
-    key = F.when(F.col(HASH) == "", F.concat(F.lit("id:"), F.col("source_id"))).otherwise(F.col(HASH))
-    return hashed.withColumn("_key", key).dropDuplicates(["_key"]).drop("_key")
+    distinct = hashed.filter(F.col(HASH) != "").dropDuplicates([HASH])
+    return distinct.unionByName(hashed.filter(F.col(HASH) == ""))
 
 
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -105,14 +105,17 @@ class StreamSink:
         # everything but this batch's own folder, which a replay writes anew
         there = self.target.read(without=batch)
         entries = published_entries(there)
-        fresh = select_rows(arrived, latest(entries), first_hash(entries))
+        n = arrived.count()
+        posts = only_for(latest(entries), arrived, "source_id", n)
+        hashes = only_for(first_hash(entries), arrived, HASH, n)
+        fresh = select_rows(arrived, posts, hashes)
         # the transform runs once per row; its failures become results, not lost rows
         made = self.posts(with_picks(fresh, self.cfg)).select(*POST_FIELDS, "error")
         made = self._stage("made", made)
         good = made.filter(F.col("error").isNull()).select(*POST_FIELDS)
         resolved = publish.with_category(good, self.categories)
         top = there.agg(F.max("post_id")).first()[0] or 0
-        assigned = publish.assign_ids(resolved, latest(entries), top)
+        assigned = publish.assign_ids(resolved, posts, top)
         created = publish.with_author(publish.created_posts(resolved, assigned), self.authors)
         byline = bool((load.get("author") or {}).get("prepend_to_content"))
         status = load.get("post_status", "publish")

@@ -71,6 +71,16 @@ def test_merge_writes_only_changes(spark):
     assert again.isEmpty()
 
 
+def test_small_batches_filter_the_ledger_where_it_is_read(spark):
+    led = entries(spark, [("a", 1, "ha"), ("b", 2, None), ("a", 3, None)])
+    wanted = spark.createDataFrame([("a",), ("a",), ("z",)], "source_id string")
+    small = L.only_for(L.latest(led), wanted, "source_id", 3)
+    assert pairs(small) == {("a", 3)}
+    plan = small._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")
+    assert pairs(L.only_for(L.latest(led), wanted, "source_id", 10**9)) == {("a", 3), ("b", 2)}
+
+
 def test_replace_and_sets(spark):
     got = L.replacement(mapping(spark, {"a": 1, "b": 2, "n": -1}), hash_map(spark, {"h1": 1, "h2": 1}))
     assert pairs(got) == {("a", 1, "h2"), ("b", 2, None)}
