@@ -8,23 +8,14 @@ from pyspark.sql import functions as F
 from corpusflow.shipping import ship
 from corpusflow.workdir import workspace
 
-#: Bytes of one Arrow batch. A batch holds ten thousand rows otherwise, which is too
-#: much for a worker when the texts are long.
-BATCH_BYTES = 16 << 20
-
-_BYTES_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def python_ready(spark: SparkSession) -> SparkSession:
-    """Make the package importable in Python workers and bound the size of Arrow
-    batches, unless the session has a bound of its own."""
+    """Make the package importable in Python workers. Arrow batches are bounded by the
+    session itself, in rows and in bytes (64 MB unless set otherwise)."""
     ship(spark)
-    if int(spark.conf.get(_BYTES_CONF, "0") or 0) in (0, 2**31 - 1, -1):
-        spark.conf.set(_BYTES_CONF, str(BATCH_BYTES))
     return spark
 
 
