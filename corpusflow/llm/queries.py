@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, packing, simhash
+from corpusflow.llm import bpe, merkle, packing, simhash
 from corpusflow.llm.common import table
+from corpusflow.llm.oracle import ORACLE  # noqa: F401
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +23,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
 
 
+def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edit_report(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False)
@@ -30,7 +35,6 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op7_packing": op7_packing,
+    "op9_merkle": op9_merkle,
     "op10_bpe": op10_bpe,
 }
-
-ORACLE: dict[str, str] = {}
