@@ -33,4 +33,20 @@ SELECT doc_id, n_chars, edited_sha256,
 FROM leaves
 """
 
-ORACLE = {"op9_merkle": OP9}
+_ESCAPED = r"regexp_replace({0}, '<(\\*)\|', '<\\\1|', 'g')"
+
+OP1 = f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -1, n, role, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(n, role)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(24 + length(replace({_ESCAPED.format("role")}, chr(10), '<|nl|>')) + length({_ESCAPED.format("text")}))::BIGINT AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
+
+ORACLE = {"op1_chat": OP1, "op9_merkle": OP9}
