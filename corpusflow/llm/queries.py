@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, chat, merkle, packing, simhash
+from corpusflow.llm import bpe, chat, merkle, packing, quality, simhash
 from corpusflow.llm.common import table
 from corpusflow.llm.oracle import ORACLE  # noqa: F401
 
@@ -30,6 +30,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
@@ -47,6 +52,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op4_simhash": op4_simhash,
+    "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op9_merkle": op9_merkle,
     "op10_bpe": op10_bpe,
