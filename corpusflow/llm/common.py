@@ -41,15 +41,15 @@ def free_name(df: DataFrame, wanted: str) -> str:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, per_class: int, longest: int
+    docs: DataFrame, labels: DataFrame, label: str, per_class: tuple[int, int], longest: int
 ) -> DataFrame:
-    """Up to ``per_class`` labelled texts of each class 0 and 1, as (doc_id, text, label).
+    """Up to so many labelled texts of class 0 and class 1, as (doc_id, text, label).
 
     The rows of smallest hash are taken, so the choice depends on neither order nor
     partitioning. Texts of over ``longest`` characters don't serve for learning. Ids
     that repeat among documents or carry both labels are left out. Only ids are joined
     and ranked; the texts of the few chosen ids are fetched by a broadcast of at most
-    ``2 * per_class`` ids.
+    ``sum(per_class)`` ids.
     """
     marked = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
@@ -70,6 +70,6 @@ def labelled_sample(
     both = marked.join(known, "doc_id")
     chosen = None
     for value in (0, 1):
-        part = both.where(F.col("label") == value).orderBy(*order).limit(per_class)
+        part = both.where(F.col("label") == value).orderBy(*order).limit(per_class[value])
         chosen = part if chosen is None else chosen.unionByName(part)
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")

@@ -97,7 +97,7 @@ def fit(texts: list[str], labels: np.ndarray, share: float) -> QualityModel:
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, longest: int = LONGEST) -> QualityModel:
     """Learn from a bounded sample of rows with a quality label: at most ``2 * per_class``
     texts of at most ``longest`` characters come to the driver."""
-    rows = labelled_sample(docs, labels, "quality", per_class, longest).orderBy("doc_id").collect()
+    rows = labelled_sample(docs, labels, "quality", (per_class, per_class), longest).orderBy("doc_id").collect()
     seen = {r["quality"]: r["count"] for r in labels.where("quality in (0, 1)").groupBy("quality").count().collect()}
     share = seen.get(1, 0) / max(sum(seen.values()), 1)
     return fit([r.text for r in rows], np.array([r.label for r in rows], dtype=np.int64), share)

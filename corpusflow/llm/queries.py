@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, chat, merkle, packing, quality, simhash
-from corpusflow.llm.common import table
+from corpusflow.llm import bpe, chat, merkle, packing, quality, simhash, toxicity
+from corpusflow.llm.common import fold_of, table
 from corpusflow.llm.oracle import ORACLE  # noqa: F401
 
 
@@ -40,6 +40,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (fold_of(F.col("doc_id")) == 1).alias("held_out"), "score", "predicted")
+
+
 def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edit_report(table(spark, sf_dir, "documents"))
 
@@ -54,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
+    "op8_toxicity": op8_toxicity,
     "op9_merkle": op9_merkle,
     "op10_bpe": op10_bpe,
 }
