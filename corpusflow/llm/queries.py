@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, chat, merkle, packing, quality, simhash, toxicity
+from corpusflow.llm import bpe, chat, langid, merkle, packing, quality, simhash, toxicity
 from corpusflow.llm.common import fold_of, table
 from corpusflow.llm.oracle import ORACLE  # noqa: F401
 
@@ -25,6 +25,13 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(chat.turn_events(rows)))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = fold_of(F.col("doc_id"))
+    found = langid.identify(docs, langid.train(docs.where(fold != 1)))
+    return found.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
@@ -43,7 +50,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
-    return scored.select("doc_id", (fold_of(F.col("doc_id")) == 1).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", F.coalesce(fold_of(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +64,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
+    "op2_language": op2_language,
     "op4_simhash": op4_simhash,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
