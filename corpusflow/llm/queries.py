@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, chat, langid, merkle, packing, quality, simhash, toxicity
+from corpusflow.llm import bpe, chat, langid, merkle, packing, quality, secrets, simhash, toxicity
 from corpusflow.llm.common import fold_of, table
 from corpusflow.llm.oracle import ORACLE  # noqa: F401
 
@@ -32,6 +32,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("findings")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
@@ -65,6 +69,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_language": op2_language,
+    "op3_secrets": op3_secrets,
     "op4_simhash": op4_simhash,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
