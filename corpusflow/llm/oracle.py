@@ -1,5 +1,7 @@
 """SQL twins of the operators' queries, for DuckDB over the same tables."""
 
+from corpusflow.llm.license import CUE, LEAST_COSINE, LICENCE_SHARE, TEMPLATES, TOKEN
+
 _LEAVES = r"""list_transform(string_split({0}, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)),
     lambda p: list_transform(list_filter(regexp_extract_all(p, '[^.!?]{{0,40}}(?:[.!?]+|[^ \t]*[ \t]*)'), lambda x: x <> ''), lambda x: md5(x))))"""
 _ROOT = """sha256(array_to_string(list_transform({0}, lambda s: sha256(array_to_string(list_transform(s,
@@ -33,6 +35,64 @@ SELECT doc_id, n_chars, edited_sha256,
 FROM leaves
 """
 
+_TEMPLATES = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(TEMPLATES))
+_TOKENS = f"regexp_extract_all(lower({{0}}), '{TOKEN}')"
+
+OP5 = f"""
+WITH files AS (
+  SELECT doc_id AS file, text, concat_ws('/', source, lang, doc_id || '.txt') AS path FROM documents
+), lines AS (
+  SELECT file, unnest(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{CUE}'))) AS line
+  FROM files WHERE regexp_matches(text, '{CUE}')
+), passages AS (
+  SELECT file, array_to_string({_TOKENS.format("line")}, ' ') AS key, len({_TOKENS.format("line")}) AS n FROM lines
+), distincts AS (
+  SELECT key, count(*) AS copies FROM passages WHERE n > 0 GROUP BY key
+), counted AS (
+  SELECT key, token, count(*) AS tf, any_value(copies) AS copies
+  FROM (SELECT key, copies, unnest(string_split(key, ' ')) AS token FROM distincts) GROUP BY key, token
+), forms AS (
+  SELECT template, license, token, count(*) AS tf FROM (
+    SELECT template, license, unnest({_TOKENS.format("text")}) AS token FROM (VALUES {_TEMPLATES}) AS t(template, license, text)
+  ) GROUP BY ALL
+), total AS (
+  SELECT coalesce(sum(copies), 0) AS total FROM distincts
+), weights AS (
+  SELECT token, ln((1.0 + total) / (1.0 + coalesce(df, 0))) + 1 AS idf
+  FROM (SELECT DISTINCT token FROM forms) LEFT JOIN (SELECT token, sum(copies) AS df FROM counted GROUP BY token) USING (token), total
+), vectors AS (
+  SELECT license, template, token, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS tw FROM forms JOIN weights USING (token)
+), weighed AS (
+  SELECT key, token, tf * coalesce(idf, ln(1.0 + total) + 1) AS w FROM counted LEFT JOIN weights USING (token), total
+), norms AS (
+  SELECT key, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY key
+), near AS (
+  SELECT key, license, round(sum(w * tw) / any_value(norm), 6) AS cosine
+  FROM weighed JOIN vectors USING (token) JOIN norms USING (key) GROUP BY key, template, license
+), best AS (
+  SELECT key, license, cosine FROM near WHERE cosine >= {LEAST_COSINE}
+  QUALIFY row_number() OVER (PARTITION BY key ORDER BY cosine DESC, license) = 1
+), own AS (
+  SELECT file, license, cosine, sum(n) OVER (PARTITION BY file) AS n FROM passages JOIN best USING (key)
+  QUALIFY row_number() OVER (PARTITION BY file ORDER BY cosine DESC, license) = 1
+), placed AS (
+  SELECT f.file, f.path, regexp_extract(f.path, '^(.*)/[^/]*$', 1) AS dir, o.license, o.cosine,
+    o.n >= {LICENCE_SHARE} * len({_TOKENS.format("f.text")}) AS licence_file
+  FROM files f LEFT JOIN own o USING (file)
+), licensed AS (
+  SELECT dir, license FROM placed WHERE licence_file
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY cosine DESC, license) = 1
+), above AS (
+  SELECT d.dir, l.license, l.dir AS licence_dir
+  FROM (SELECT DISTINCT dir FROM placed) d JOIN licensed l ON l.dir = '' OR l.dir = d.dir OR starts_with(d.dir, l.dir || '/')
+  QUALIFY row_number() OVER (PARTITION BY d.dir ORDER BY length(l.dir) DESC) = 1
+)
+SELECT p.file AS doc_id, p.path, coalesce(p.license, a.license) AS license, p.cosine,
+  CASE WHEN p.license IS NOT NULL THEN 'header' WHEN a.license IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+  CASE WHEN p.license IS NULL THEN a.licence_dir END AS licence_dir
+FROM placed p LEFT JOIN above a USING (dir)
+"""
+
 _ESCAPED = r"regexp_replace({0}, '<(\\*)\|', '<\\\1|', 'g')"
 
 OP1 = f"""
@@ -49,4 +109,4 @@ SELECT conv_id, count(*) AS n_turns,
 FROM rows GROUP BY conv_id
 """
 
-ORACLE = {"op1_chat": OP1, "op9_merkle": OP9}
+ORACLE = {"op1_chat": OP1, "op5_license": OP5, "op9_merkle": OP9}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, chat, langid, merkle, packing, quality, secrets, simhash, toxicity
+from corpusflow.llm import bpe, chat, langid, license, merkle, packing, quality, secrets, simhash, toxicity
 from corpusflow.llm.common import fold_of, table
 from corpusflow.llm.oracle import ORACLE  # noqa: F401
 
@@ -41,6 +41,13 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    found = license.scan(docs.select(F.col("doc_id").alias("file"), path.alias("path"), "text"))
+    return found.withColumnRenamed("file", "doc_id")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -71,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op3_secrets": op3_secrets,
     "op4_simhash": op4_simhash,
+    "op5_license": op5_license,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_toxicity": op8_toxicity,
