@@ -83,7 +83,7 @@ def changed_paragraphs(old: Column, new: Column) -> Column:
             F.coalesce(lines, F.transform(F.coalesce(pair["a"]["paragraphs"], pair["b"]["paragraphs"]), lambda p: F.struct(p.alias("a"), F.lit(None).cast(p_type).alias("b"))))
         )
         places = F.transform(lines, lambda l, j: F.struct(i.alias("section"), j.alias("paragraph"), l["a"]["hash"].eqNullSafe(l["b"]["hash"]).alias("same")))
-        return F.filter(places, lambda x: ~x["same"])
+        return F.transform(F.filter(places, lambda x: ~x["same"]), lambda x: F.struct(x["section"].alias("section"), x["paragraph"].alias("paragraph")))
 
     p_type = "struct<hash:string,leaves:array<string>>"
     found = F.flatten(F.transform(pairs, below))
