@@ -40,11 +40,15 @@ MEMO_ENTRIES = 400_000
 class Ids:
     """Token ids of whole texts by the tokenizers library.
 
-    The vocabulary drops white space and no token reaches over it, so the ids of a
-    text are those of its words; words repeat, and the library is asked for new ones
-    only. ``across_space=True`` (a vocabulary that keeps white space) asks for texts.
+    The vocabulary drops white space, puts text in lower case and lets no token reach
+    over white space, so the ids of a text are those of its words. Words repeat: their ids
+    are kept, and the library is asked for new ones only, many at a time.
+    ``across_space=True`` (a vocabulary that keeps white space) asks for whole texts.
     """
 
+    #: A word that stands between asked ones, and marks that form tokens of their own.
+    BETWEEN, MARKS = "~", (b".", b",")
+
     def __init__(self, spec: bytes, across_space: bool = False):
         from tokenizers import Tokenizer
 
@@ -53,22 +57,69 @@ class Ids:
         self.tokenizer.no_padding()
         self.across_space = across_space
         self.known: dict[bytes, bytes] = {}
-
-    def _ask(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        if not across_space:
+            self.between = self._ask(self.BETWEEN)
+            self.marks = {m: self._ask(m.decode()).tobytes() for m in self.MARKS}
+
+    def _ask(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    @staticmethod
+    def _words(text: str) -> list[bytes]:
+        raw = text.encode()
+        # in lower case early, where neither special tokens nor marks above letters can
+        # make a difference: it leaves fewer words to tell apart
+        if "<|" not in text and (text.isascii() or _latin(text)):
+            raw = raw.lower()
+        return raw.split()
+
+    def _ask_words(self, words: list[bytes]) -> dict[bytes, bytes]:
+        apart = [w for w in words if self.BETWEEN.encode() in w]
+        found = {w: self._ask(w.decode()).tobytes() for w in apart}
+        words = [w for w in words if w not in found]
+        for low in range(0, len(words), 2000):
+            some = words[low : low + 2000]
+            ids = self._ask(f" {self.BETWEEN} ".join(w.decode() for w in some))
+            cuts = np.flatnonzero(ids == self.between[0])
+            if len(self.between) != 1 or len(cuts) != len(some) - 1:
+                found.update((w, self._ask(w.decode()).tobytes()) for w in some)
+                continue
+            starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
+            found.update((w, ids[a:b].tobytes()) for w, a, b in zip(some, starts, ends))
+        return found
+
+    def _new(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of unknown words; a full stop or comma behind a letter is a token of its own."""
+        marked = {w: w[:-1] for w in words if w[-1:] in self.marks and w[-2:-1].isalpha()}
+        bare = set(marked.values())
+        found = {w: self.known[w] for w in bare if w in self.known}
+        found |= self._ask_words(sorted((words - marked.keys()) | (bare - found.keys())))
+        found |= {w: found[b] + self.marks[w[-1:]] for w, b in marked.items()}
+        return found
 
     def of(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if self.across_space:
-            return self._ask(texts)
-        split = [t.encode().split() for t in texts]
-        new = list({w for words in split for w in words if w not in self.known})
-        if len(self.known) + len(new) > MEMO_ENTRIES:
-            self.known = {}
-            new = list({w for words in split for w in words})
-        self.known.update(zip(new, self._ask([w.decode() for w in new])))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+            return [self._ask(t).tobytes() for t in texts]
+        split = [self._words(t) for t in texts]
+        get = self.known.get
+        got = [list(map(get, words)) for words in split]
+        new = {w for words, ids in zip(split, got) if None in ids for w, x in zip(words, ids) if x is None}
+        if new:
+            found = self._new(new)
+            got = [[found[w] if x is None else x for w, x in zip(words, ids)] if None in ids else ids for words, ids in zip(split, got)]
+            if len(self.known) + len(found) > MEMO_ENTRIES:
+                self.known.clear()
+            self.known.update(found)
+        return [b"".join(ids) for ids in got]
+
+
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 class Packer:
