@@ -6,10 +6,12 @@ chain is checked when the plan is built, never per row.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.errors import PySparkException as SparkException
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from . import regex
@@ -69,9 +71,22 @@ def apply_cleaners(c: Column, specs: list[dict] | None) -> Column:
     return c
 
 
+@functools.cache
+def _runs(java: str) -> bool:
+    """Whether Spark's own engine takes a pattern; asked once, when the plan is built."""
+    spark = SparkSession.active()
+    try:
+        spark.range(1).select(F.lit("").rlike(java)).collect()
+    except SparkException:
+        return False
+    return True
+
+
 def _substitute(c: Column, pattern: str, replacement: str, count: int, ignore_case: bool) -> Column:
     compiled = regex.compile_python(pattern, ignore_case)
     java = regex.to_java(pattern, ignore_case)
+    if java and not _runs(java):
+        java = None
     template = regex.template_to_java(replacement, compiled.groups)
     if java and template and not regex.may_match_empty(pattern):
         java_replacement, refers = template

@@ -49,8 +49,7 @@ def pick_date(id_: Column, start: str, end: str, seed: int = 42) -> Column:
     wide = F.shiftleft(draw(id_, "date_hi", seed).bitwiseAND(F.lit(0x3FFFFFFF)), 32).bitwiseOR(
         draw(id_, "date", seed)
     )
-    h = wide if span >= 2**32 else draw(id_, "date", seed)
-    offset = F.pmod(h, F.lit(span + 1))
+    offset = F.pmod(wide, F.lit(span + 1))
     origin = F.lit(first.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     return _iso(F.timestamp_add("SECOND", offset, origin))
 

@@ -17,6 +17,7 @@ _CLASSES = {
     "w": r"\p{L}\p{N}_",
     "d": r"\d",
 }
+_QUANTIFIER = re.compile(r"\{(\d*)(?:(,)(\d*))?\}")
 _PLAIN_ESCAPES = set("nrtfvabB") | {"\n"}
 _NAME = re.compile(r"[A-Za-z][A-Za-z0-9]*\Z")
 
@@ -35,7 +36,7 @@ def may_match_empty(pattern: str) -> bool:
 
 def to_java(pattern: str, ignore_case: bool = False) -> str | None:
     compile_python(pattern, ignore_case)
-    out, i, in_class, class_start = [], 0, False, 0
+    out, i, in_class, class_start, negated = [], 0, False, 0, False
     while i < len(pattern):
         ch = pattern[i]
         if ch == "\\":
@@ -43,8 +44,8 @@ def to_java(pattern: str, ignore_case: bool = False) -> str | None:
             if nxt in _CLASSES:
                 out.append(_CLASSES[nxt] if in_class else f"[{_CLASSES[nxt]}]")
             elif nxt.lower() in _CLASSES:
-                if in_class:
-                    return None
+                if in_class and negated:
+                    return None  # Java negates before it joins
                 out.append(f"[^{_CLASSES[nxt.lower()]}]")
             elif nxt == "Z":
                 out.append(r"\z")
@@ -82,10 +83,18 @@ def to_java(pattern: str, ignore_case: bool = False) -> str | None:
         elif ch == "[":
             in_class = True
             out.append(ch)
-            if pattern[i + 1 : i + 2] == "^":
+            negated = pattern[i + 1 : i + 2] == "^"
+            if negated:
                 out.append("^")
                 i += 1
             class_start = i + 1
+        elif ch in "{}":
+            counts = _QUANTIFIER.match(pattern, i)
+            if counts and counts[0] != "{}":
+                out.append("{" + (counts[1] or "0") + (counts[2] or "") + (counts[3] or "") + "}")
+                i = counts.end()
+                continue
+            out.append("\\" + ch)  # a brace that counts nothing is itself
         elif pattern.startswith("(?P<", i):
             name = pattern[i + 4 : pattern.index(">", i)]
             if not _NAME.match(name):

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import strict_json
-from ..functions.text import or_else, or_empty, py_strip
+from ..functions.text import or_else, or_empty, py_strip, redact
 from ..schemas import CACHE, POST_FIELDS
 from ..sources.positions import line_position, with_file_columns
+from ..workdir import workspace
 from .dedup import first_per_key
-from .store import VersionedTable, arrival
+from .store import VersionedTable
 
 #: A stored cache row: the entry, its arrival order, and what making it took. A
 #: row whose transform failed has no post, so a later run tries it again.
@@ -26,6 +27,7 @@ CACHE_TABLE = T.StructType(
         T.StructField("input_tokens", T.LongType()),
         T.StructField("output_tokens", T.LongType()),
         T.StructField("retries", T.IntegerType()),
+        T.StructField("rate_limited", T.IntegerType()),
     ]
 )
 
@@ -97,29 +99,54 @@ def with_cache(
     sig: str,
     transform: Callable[[DataFrame], DataFrame],
     batch: str,
+    slice_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(posts of ``rows``, what was made now), transforming only rows not cached.
 
     New results are written to the cache first and read back, so an expensive
     transform runs once per row whatever is done with the posts later. ``transform``
     returns the post fields, ``error`` and any of the usage columns; rows with an
-    error yield no post and are not cached.
+    error yield no post and are not cached, but asked again next time.
+
+    With ``slice_rows`` the missing rows are dealt by a hash of their ids into slices
+    of about so many, each committed to the cache when it is done. Whatever is there
+    counts, also what an earlier attempt of the same ``batch`` left.
     """
-    hits, misses = split_by_cache(rows, cache.read(without=batch), sig)
-    done = transform(misses)
-    usage = [
-        (F.col(f.name) if f.name in done.columns else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in CACHE_TABLE.fields[3:]
-    ]
-    post = F.when(F.col("error").isNull(), F.struct(*POST_FIELDS)).alias("post")
-    cache.append(done.select(F.lit(sig).alias("sig"), post, F.lit(arrival()).alias("seq"), *usage), batch)
-    made = cache.read(only=batch)
+    hits, misses = split_by_cache(rows, cache.read(), sig)
+    stamp = cache.next_seq()
+    parts = [misses]
+    if slice_rows:
+        slices = max(1, -(-misses.count() // slice_rows))
+        if slices > 1:
+            folder = workspace(rows.sparkSession)
+            dealt = F.pmod(F.xxhash64("source_id"), F.lit(slices)).cast("int")
+            misses.withColumn("_slice", dealt).write.partitionBy("_slice").parquet(folder)
+            shape = T.StructType([*misses.schema.fields, T.StructField("_slice", T.IntegerType())])
+            staged = rows.sparkSession.read.schema(shape).parquet(folder)
+            parts = [staged.filter(F.col("_slice") == k).drop("_slice") for k in range(slices)]
+    names = []
+    for k, part in enumerate(parts):
+        done = transform(part)
+        usage = [
+            (F.col(f.name) if f.name in done.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in CACHE_TABLE.fields[3:]
+        ]
+        post = F.when(F.col("error").isNull(), F.struct(*POST_FIELDS)).alias("post")
+        result = done.select(F.lit(sig).alias("sig"), post, F.lit(stamp).alias("seq"), *usage)
+        names.append(f"{batch}-{stamp}-{k:05d}")
+        cache.append(result.withColumn("error", redact(F.col("error"))), names[-1])
+    made = cache.read(only=names)
     good = made.filter(F.col("post").isNotNull()).select("post.*")
     return hits.unionByName(good), made.drop("post", "sig", "seq")
 
 
-def cache_stats(entries: DataFrame, sig: str, rows: DataFrame) -> DataFrame:
-    """One row: entries loaded and stale, hits and misses of ``rows``, final size."""
+def cache_stats(
+    entries: DataFrame, sig: str, rows: DataFrame, failed: DataFrame | None = None
+) -> DataFrame:
+    """One row: entries loaded and stale, hits and misses of ``rows``, final size.
+
+    ``entries`` is the cache before the run. Ids in ``failed`` got no post, and count
+    in the size only if they were there before."""
     good = _is_usable(sig)
     loaded = entries.agg(
         F.count_if(good).alias("loaded_at_start"),
@@ -130,6 +157,11 @@ def cache_stats(entries: DataFrame, sig: str, rows: DataFrame) -> DataFrame:
     asked = rows.groupBy("source_id").agg(F.count(F.lit(1)).alias("_asked"))
     both = asked.join(cached, "source_id", "full_outer")
     hit = F.col("_cached").isNotNull()
+    stored = F.lit(True)
+    if failed is not None:
+        lost = failed.select("source_id").distinct().withColumn("_lost", F.lit(True))
+        both = both.join(lost, "source_id", "left")
+        stored = hit | F.col("_lost").isNull()
 
     def total(c: Column) -> Column:
         return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
@@ -137,7 +169,7 @@ def cache_stats(entries: DataFrame, sig: str, rows: DataFrame) -> DataFrame:
     counts = both.agg(
         total(F.when(hit, F.col("_asked"))).alias("hits"),
         total(F.when(~hit, F.col("_asked"))).alias("misses"),
-        F.count(F.lit(1)).alias("size"),
+        F.count_if(stored).alias("size"),
     )
     names = ["loaded_at_start", "stale_at_start", "hits", "misses", "size"]
     return loaded.unionByName(counts, allowMissingColumns=True).agg(

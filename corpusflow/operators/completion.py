@@ -23,11 +23,15 @@ class Completion:
 
 
 class TransientError(Exception):
-    """Raise from a client to be called again, after ``retry_after`` seconds if given."""
+    """Raise from a client to be called again, after ``retry_after`` seconds if given.
+    ``rate_limited`` (as it is where an endpoint names a pause) is counted by itself."""
 
-    def __init__(self, message: str = "", retry_after: float | None = None) -> None:
+    def __init__(
+        self, message: str = "", retry_after: float | None = None, rate_limited: bool | None = None
+    ) -> None:
         super().__init__(message)
         self.retry_after = retry_after
+        self.rate_limited = retry_after is not None if rate_limited is None else rate_limited
 
 
 #: ``client(system, user, max_tokens) -> Completion``
@@ -45,24 +49,26 @@ class CallPolicy:
 
 
 def _call(client: Client, system: str, user: str, policy: CallPolicy) -> tuple:
+    limited = 0
     for attempt in range(policy.max_retries + 1):
         try:
             done = client(system, user, policy.max_tokens)
-            return (done.text or "").strip(), done.input_tokens or 0, done.output_tokens or 0, attempt, None
+            return (done.text or "").strip(), done.input_tokens or 0, done.output_tokens or 0, attempt - limited, limited, None
         except TransientError as e:
             if attempt == policy.max_retries:
-                return "", 0, 0, attempt, str(e) or type(e).__name__
+                return "", 0, 0, attempt - limited, limited, str(e) or type(e).__name__
+            limited += e.rate_limited
             pause = policy.retry_base_seconds * 2**attempt + random.uniform(0, 1)
             time.sleep(pause if e.retry_after is None else e.retry_after)
         except Exception as e:  # one bad row must not end the task
-            return "", 0, 0, attempt, str(e) or type(e).__name__
+            return "", 0, 0, attempt - limited, limited, str(e) or type(e).__name__
     raise AssertionError("unreachable")
 
 
 def complete(
     user: Column, system: str, make_client: Callable[[], Client], policy: CallPolicy | None = None
 ) -> Column:
-    """``struct(raw, input_tokens, output_tokens, retries, error)`` per row.
+    """``struct(raw, input_tokens, output_tokens, retries, rate_limited, error)`` per row.
 
     Only the user message crosses to Python; other columns wait in the JVM. The
     client is made once per task. A call that fails for good fills ``error``, and a

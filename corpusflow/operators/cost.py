@@ -40,14 +40,14 @@ def load_pricing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def usage_totals(calls: DataFrame, by: str = "model") -> DataFrame:
-    """Calls, tokens and retries per model."""
+    """Calls, tokens and retries per model; retries an endpoint's rate limit asked for
+    are counted by themselves where the calls have them."""
 
     def total(name: str) -> Column:
         return F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name)
 
-    return calls.groupBy(by).agg(
-        F.count(F.lit(1)).alias("calls"), total("input_tokens"), total("output_tokens"), total("retries")
-    )
+    names = ["input_tokens", "output_tokens", "retries", *(n for n in ["rate_limited"] if n in calls.columns)]
+    return calls.groupBy(by).agg(F.count(F.lit(1)).alias("calls"), *[total(n) for n in names])
 
 
 def match_rates(models: DataFrame, pricing: DataFrame) -> DataFrame:
@@ -88,6 +88,7 @@ def chat_cost(usage: DataFrame, pricing: DataFrame) -> DataFrame:
         "output_tokens",
         F.round(spent / F.lit(1_000_000), 6).alias("est_usd"),
         "priced",
+        *[n for n in ("retries", "rate_limited") if n in usage.columns and "rate_limited" in usage.columns],
     )
 
 

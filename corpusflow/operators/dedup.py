@@ -116,9 +116,13 @@ def select_rows(
 
 
 def row_funnel(
-    df: DataFrame, ledger: DataFrame | None = None, known: DataFrame | None = None
+    df: DataFrame,
+    ledger: DataFrame | None = None,
+    known: DataFrame | None = None,
+    dedup: bool = True,
 ) -> DataFrame:
-    """One row of counts: fetched, after resume, after dedup, and what dedup dropped.
+    """One row of counts: fetched, after resume, after dedup, and what dedup dropped
+    (nothing without ``dedup``).
 
     ``fetched = resumed + cross_run + within_run + after_content_dedup``. A hash
     that is both known and repeated counts as ``cross_run``.
@@ -138,8 +142,8 @@ def row_funnel(
     else:
         seen = known.select(HASH).distinct().withColumn("_known", F.lit(True))
         groups = groups.join(seen, HASH, "left")
-    is_known = F.coalesce("_known", F.lit(False)) & (F.col(HASH) != "")
-    repeated = F.when(~is_known & (F.col(HASH) != "") & (F.col("_fresh") > 0), F.col("_fresh") - 1)
+    is_known = F.coalesce("_known", F.lit(False)) & (F.col(HASH) != "") & F.lit(dedup)
+    repeated = F.when(F.lit(dedup) & ~is_known & (F.col(HASH) != "") & (F.col("_fresh") > 0), F.col("_fresh") - 1)
 
     def total(c: Column, name: str) -> Column:
         return F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(name)

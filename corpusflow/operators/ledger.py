@@ -18,7 +18,7 @@ from ..schemas import LEDGER
 from ..sources.positions import line_position, with_file_columns
 from ..sources.readers import parse_lines
 from .dedup import BROADCAST_ROWS
-from .store import VersionedTable, arrival
+from .store import VersionedTable
 
 MODES = ("trust_ledger", "verify", "skip")
 
@@ -176,7 +176,7 @@ def replace(
 ) -> int:
     """Rebuild the ledger from ``mapping``; entries it does not have are gone. Returns
     the number of entries."""
-    rows = replacement(mapping, hashes).withColumn("seq", F.lit(arrival()))
+    rows = replacement(mapping, hashes).withColumn("seq", F.lit(ledger.next_seq()))
     ledger.replace(rows, batch)
     return ledger.read(only=batch).count()
 
@@ -186,7 +186,7 @@ def merge(
 ) -> int:
     """Append what ``mapping`` changes; returns the number of entries written."""
     rows = changes(ledger.read(without=batch), mapping, hashes)
-    ledger.append(rows.withColumn("seq", F.lit(arrival())), batch)
+    ledger.append(rows.withColumn("seq", F.lit(ledger.next_seq())), batch)
     return ledger.read(only=batch).count()
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import block_content, html_escape, or_empty, with_byline
+from ..functions.text import block_content, html_escape, or_empty, redact, with_byline
 from ..schemas import OUTCOME
 from .dedup import first_per_key
 from .ledger import META_BYLINE, META_HASH, META_SOURCE_ID
@@ -29,8 +29,9 @@ def dry_run_outcomes(posts: DataFrame) -> DataFrame:
 
 
 def error_outcomes(errors: DataFrame, stage: str) -> DataFrame:
-    """``(source_id, error)`` rows as failed outcomes of a stage; the run goes on."""
-    text = F.concat(F.lit(f"{stage}: "), or_empty(F.col("error")))
+    """``(source_id, error)`` rows as failed outcomes of a stage; the run goes on.
+    Errors are shortened, and what looks like a credential is taken out."""
+    text = F.concat(F.lit(f"{stage}: "), redact(or_empty(F.col("error"))))
     return outcome_rows(errors, source_id=F.col("source_id"), ok=F.lit(False), error=text)
 
 
@@ -63,11 +64,14 @@ def category_errors(resolved: DataFrame) -> DataFrame:
     )
 
 
-def assign_ids(resolved: DataFrame, existing: DataFrame, top_id: int = 0) -> DataFrame:
+def assign_ids(
+    resolved: DataFrame, existing: DataFrame, top_id: int = 0, own: DataFrame | None = None
+) -> DataFrame:
     """One row per source id with a category: how often it occurs, its post id, and
     whether that post was there before.
 
-    New ids are dense from ``top_id + 1`` in the order of the id's MD5.
+    New ids are dense from ``top_id + 1`` in the order of the id's MD5. ``own`` has the
+    ids an earlier attempt of this batch gave; its posts are made again under them.
     """
     counted = (
         resolved.filter(F.col("category_id").isNotNull())
@@ -79,13 +83,19 @@ def assign_ids(resolved: DataFrame, existing: DataFrame, top_id: int = 0) -> Dat
     old = matched.filter(F.col("_old").isNotNull()).select(
         "source_id", "copies", F.col("_old").alias("post_id"), F.lit(False).alias("created")
     )
+    made = F.lit(True).alias("created")
+    fresh = counted.join(known, "source_id", "left_anti")
+    if own is not None:
+        again = fresh.join(own.select("source_id", "post_id"), "source_id")
+        old = old.unionByName(again.select("source_id", "copies", "post_id", made))
+        fresh = fresh.join(own.select("source_id"), "source_id", "left_anti")
     new = number_rows(
-        counted.join(known, "source_id", "left_anti"),
+        fresh,
         F.md5("source_id"),
         ["source_id"],
         "post_id",
         top_id,
-    ).select("source_id", "copies", "post_id", F.lit(True).alias("created"))
+    ).select("source_id", "copies", "post_id", made)
     return old.unionByName(new)
 
 
@@ -97,6 +107,7 @@ def _repeat(df: DataFrame, times: Column, out: str) -> DataFrame:
     end = F.least(start + COPY_CHUNK, times) - 1
     return (
         df.withColumn("_chunk", F.explode(chunks))
+        .hint("rebalance")  # the chunks of one id go to many tasks
         .withColumn(out, F.explode(F.sequence(start, end.cast("bigint"))))
         .drop("_chunk")
     )

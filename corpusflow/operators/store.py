@@ -45,16 +45,28 @@ class VersionedTable:
     def _folder(self, version: int) -> str:
         return f"{self.path}/data/v={version}"
 
-    def read(self, without: str | None = None, only: str | None = None) -> DataFrame:
-        """The current rows; ``without`` or ``only`` one batch prunes folders."""
+    def _stored(self) -> DataFrame:
         stored = T.StructType([*self.schema.fields, T.StructField("batch", T.StringType())])
-        df = _read_if_exists(self.spark, self._folder(self.version()), stored)
+        return _read_if_exists(self.spark, self._folder(self.version()), stored)
+
+    def read(self, without: str | None = None, only: str | list[str] | None = None) -> DataFrame:
+        """The current rows; ``without`` a batch or ``only`` some prunes folders."""
+        df = self._stored()
         if without is not None:
             df = df.filter(F.col("batch") != without)
         if only is not None:
-            df = df.filter(F.col("batch") == only)
+            df = df.filter(F.col("batch").isin(*([only] if isinstance(only, str) else only)))
         return df.drop("batch")
 
+    def batches(self) -> DataFrame:
+        """The names of the current batches, ``batch``; no rows are read."""
+        return self._stored().select("batch").distinct()
+
+    def next_seq(self) -> int:
+        """A number above every ``seq`` stored here, whatever the driver's clock says."""
+        last = self.read().agg(F.max("seq")).first()[0]
+        return max(arrival(), (last or 0) + 1)
+
     def _write(self, df: DataFrame, version: int, batch: str) -> None:
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         df.select(*columns).write.mode("overwrite").parquet(

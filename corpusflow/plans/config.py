@@ -12,84 +12,72 @@ from .transforms import TRANSFORMS
 
 class ConfigError(ValueError):
     def __init__(self, problems: list[str]) -> None:
-        super().__init__("configuration is not usable:\n  - " + "\n  - ".join(problems))
+        super().__init__("; ".join(problems))
         self.problems = problems
 
 
-def _dataset(cfg: dict) -> list[str]:
-    size = cfg.get("sample_size")
-    if isinstance(size, bool) or not isinstance(size, int) or size < 1:
-        return ["dataset.sample_size must be a positive integer"]
-    return []
+def _get(cfg: dict, path: str):
+    """The value at a dotted path; None where there is none."""
+    for name in path.split("."):
+        cfg = cfg.get(name) if isinstance(cfg, dict) else None
+    return cfg
 
 
-def _typed(section: str, cfg: dict, registry: dict) -> list[str]:
-    kind = cfg.get("type")
-    if not kind:
-        return [f"{section}.type is required"]
-    if kind not in registry:
-        return [f"{section}.type={kind!r} is unknown; known: {', '.join(sorted(registry))}"]
-    return []
+def _is_size(value) -> bool:
+    return value == "all" or (isinstance(value, int) and not isinstance(value, bool) and value >= 0)
 
 
-def _source(cfg: dict) -> list[str]:
-    problems = _typed("source", cfg, SOURCES)
-    if cfg.get("type") == "jsonl" and not cfg.get("path"):
-        problems.append("source.path is required for type=jsonl")
-    if cfg.get("type") == "table" and not (cfg.get("path") or cfg.get("name")):
-        problems.append("source.path or source.name is required for type=table")
-    if not isinstance(cfg.get("field_map") or {}, dict):
-        problems.append("source.field_map must map logical names to source columns")
-    return problems
+def _is_date(value) -> bool:
+    try:
+        datetime.fromisoformat(value)
+    except (TypeError, ValueError):
+        return False
+    return True
 
 
-def _dates(cfg: dict) -> list[str]:
-    problems = [
-        f"transform.date.{key} is required for type=synth"
-        for key in ("range_start", "range_end")
-        if not cfg.get(key)
-    ]
-    if problems:
-        return problems
-    try:
-        start, end = (datetime.fromisoformat(cfg[k]) for k in ("range_start", "range_end"))
-    except (TypeError, ValueError) as e:
-        return [f"transform.date values must be ISO dates: {e}"]
-    return [] if start <= end else ["transform.date.range_start must not be after range_end"]
-
-
-def _transform(cfg: dict) -> list[str]:
-    problems = _typed("transform", cfg, TRANSFORMS)
-    cleaners = cfg.get("cleaners") or []
-    if not isinstance(cleaners, list):
-        problems.append("transform.cleaners must be a list")
-    else:
-        problems += [f"transform.{p}" for p in check_cleaners(cleaners)]
-    if cfg.get("type") == "synth":
-        labels = (cfg.get("category") or {}).get("labels")
-        if not isinstance(labels, list) or not labels:
-            problems.append("transform.category.labels must be a non-empty list for type=synth")
-        elif not all(isinstance(label, str) and label for label in labels):
-            problems.append("transform.category.labels must be non-empty strings")
-        problems += _dates(cfg.get("date") or {})
-    return problems
+def _in_order(cfg: dict) -> bool:
+    start, end = _get(cfg, "transform.date.range_start"), _get(cfg, "transform.date.range_end")
+    return not (_is_date(start) and _is_date(end)) or datetime.fromisoformat(start) <= datetime.fromisoformat(end)
 
 
-def _load(cfg: dict) -> list[str]:
-    problems = []
-    if not cfg.get("dry_run", True) and not cfg.get("target"):
-        problems.append("load.target is required unless load.dry_run is set")
-    if cfg.get("mode", MODES[0]) not in MODES:
-        problems.append(f"load.mode={cfg['mode']!r} is unknown; known: {', '.join(MODES)}")
-    return problems
+def _are_labels(value) -> bool:
+    return isinstance(value, list) and bool(value) and all(isinstance(x, str) and x for x in value)
+
+
+def _is_synth(cfg: dict) -> bool:
+    return _get(cfg, "transform.type") == "synth"
+
+
+#: (setting, when it is checked, whether it is fine, what it should be)
+RULES = [
+    ("dataset.sample_size", None, lambda c, v: _is_size(v), "a number of rows from 0 on, or 'all'"),
+    ("source.type", None, lambda c, v: v in SOURCES, lambda: f"one of {', '.join(sorted(SOURCES))}"),
+    ("source.path", lambda c: _get(c, "source.type") == "jsonl", lambda c, v: bool(v), "where the JSON lines are"),
+    ("source.path", lambda c: _get(c, "source.type") == "table", lambda c, v: bool(v or _get(c, "source.name")), "a folder, unless source.name gives a table"),
+    ("source.field_map", None, lambda c, v: v is None or isinstance(v, dict), "a mapping from own field names to columns"),
+    ("transform.type", None, lambda c, v: v in TRANSFORMS, lambda: f"one of {', '.join(sorted(TRANSFORMS))}"),
+    ("transform.cleaners", None, lambda c, v: v is None or isinstance(v, list), "a list of steps"),
+    ("transform.prompt_chars", None, lambda c, v: v is None or (isinstance(v, int) and v > 0), "a number of characters above 0"),
+    ("transform.category.labels", _is_synth, lambda c, v: _are_labels(v), "a list of names, none of them empty"),
+    ("transform.date.range_start", _is_synth, lambda c, v: _is_date(v), "an ISO date"),
+    ("transform.date.range_end", _is_synth, lambda c, v: _is_date(v), "an ISO date"),
+    ("transform.date.range_end", _is_synth, lambda c, v: _in_order(c), "no earlier than range_start"),
+    ("load.target", lambda c: not (c.get("load") or {}).get("dry_run", True), lambda c, v: bool(v), "a folder, when load.dry_run is off"),
+    ("load.mode", None, lambda c, v: v is None or v in MODES, f"one of {', '.join(MODES)}"),
+]
 
 
 def validate_config(cfg: dict, has_client: bool = False) -> None:
-    problems = _dataset(cfg.get("dataset") or {})
-    problems += _source(cfg.get("source") or {})
-    problems += _transform(cfg.get("transform") or {})
-    problems += _load(cfg.get("load") or {})
-    if (cfg.get("transform") or {}).get("type") == "synth" and not has_client:
-        problems.append("transform.type=synth needs a completion client")
+    """Raise one ``ConfigError`` that names every setting that cannot be used."""
+    problems = []
+    for name, applies, fine, wanted in RULES:
+        value = _get(cfg, name)
+        if (applies is None or applies(cfg)) and not fine(cfg, value):
+            problems.append(f"{name} = {value!r}; it has to be {wanted() if callable(wanted) else wanted}")
+    cleaners = _get(cfg, "transform.cleaners")
+    if isinstance(cleaners, list):
+        problems += [f"transform.{p}" for p in check_cleaners(cleaners)]
+    if _is_synth(cfg) and not has_client:
+        problems.append("transform.type = 'synth'; it has to be given a completion client")
     if problems:
         raise ConfigError(problems)

@@ -5,7 +5,16 @@ from __future__ import annotations
 from ..functions import text
 from ..operators.cost import DEFAULT_PRICING
 from . import queries as q
-from .prompts import system_prompt
+
+#: The prompt of the queries' labels and window, written out.
+SYSTEM = (
+    "You edit news. Answer with one JSON object and nothing else. Its members:\n"
+    '"title": a factual headline in sentence case, at most 80 characters;\n'
+    '"category": one of these labels, spelled the same: src1, src2, src3, Other;\n'
+    '"date": the likely year and month of publication as YYYY-MM, between 2007-04 and 2015-04, '
+    "judged by the events, people and dates in the text.\n"
+    'Example: {"title": "Storm closes two ports", "category": "src1", "date": "2007-04"}\n'
+)
 
 SPACES = "||".join(f"chr({ord(c)})" for c in text.WHITESPACE)
 
@@ -59,7 +68,8 @@ SPAN = f"(date_diff('second', TIMESTAMP '{q.START}', TIMESTAMP '{q.END}') + 1)"
 
 
 def picked_date(id_: str) -> str:
-    moment = f"TIMESTAMP '{q.START}' + to_seconds({draw('date', id_)} % {SPAN})"
+    high = f"({draw('date_hi', id_)} & {2**30 - 1})"
+    moment = f"TIMESTAMP '{q.START}' + to_seconds((({high} << 32) | {draw('date', id_)}) % {SPAN})"
     return f"strftime({moment}, '%Y-%m-%dT%H:%M:%S')"
 
 
@@ -279,7 +289,7 @@ ORACLE: dict[str, str] = {
     "title_truncate": f"SELECT doc_id, {truncated('text', q.TITLE_LIMIT)} AS title FROM documents",
     "user_prompt": f"""SELECT doc_id, md5('Article:' || chr(10) || chr(10) || left({strip('text')}, 4000)
         || chr(10) || chr(10) || 'JSON:') AS user_md5,
-        md5({quoted(system_prompt(None, q.LABELS, q.START, q.END))}) AS system_md5 FROM documents""",
+        md5({quoted(SYSTEM)}) AS system_md5 FROM documents""",
     "synth_posts": f"""SELECT CASE WHEN d % 5 <> 0 THEN 'Item ' || d % 1000
             WHEN {SUMMARY} = '' THEN 'Untitled' ELSE {SUMMARY} END AS title,
         cleaned AS content, {sql_list(q.LABELS)}[CAST(d % 3 + 1 AS INTEGER)] AS category,

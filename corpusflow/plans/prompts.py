@@ -8,7 +8,8 @@ import json
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: How much of an article goes into the prompt. Posts always keep the whole text.
+#: How much of an article goes into the prompt unless ``transform.prompt_chars`` says
+#: otherwise. Posts always keep the whole text.
 PROMPT_CHARS = 4000
 
 DEFAULT_TEMPLATE = """\

@@ -353,7 +353,7 @@ def synth(completing: Completing | None = None) -> Synth:
 def synth_posts(spark: SparkSession, sf: str) -> DataFrame:
     ship(spark)
     rows = with_picks(dedup.with_content_hash(corpus(spark, sf)), CONFIG)
-    return synth().posts(rows).drop("retries", "error")
+    return synth().posts(rows).drop("retries", "rate_limited", "error")
 
 
 # --- cache -------------------------------------------------------------------------

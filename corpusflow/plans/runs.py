@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,13 +13,14 @@ from pyspark.sql import types as T
 from ..operators import cost, dimensions, publish
 from ..operators.cache import CACHE_TABLE, cache_stats, with_cache
 from ..operators.dedup import (
+    hash_coverage,
     resume_filter,
     row_funnel,
     select_rows,
     selection_keys,
     with_content_hash,
 )
-from ..operators.ledger import Known, only_for, published_entries, reconcile
+from ..operators.ledger import Known, latest, merge, only_for, published_entries, reconcile
 from ..operators.sampling import sample_rows
 from ..operators.store import VersionedTable, arrival
 from ..schemas import DIMENSION, LEDGER, POST, POST_FIELDS
@@ -57,6 +59,12 @@ def _body_field(cfg: dict) -> str:
     return (cfg.get("transform") or {}).get("body_field") or "body"
 
 
+def sample_size(dataset: dict) -> int:
+    """Rows to sample; 0 for all."""
+    size = dataset["sample_size"]
+    return 0 if size == "all" else int(size)
+
+
 def sampled_rows(
     spark: SparkSession, cfg: dict, run_dir: str, dry_run: bool
 ) -> tuple[DataFrame, DataFrame]:
@@ -64,14 +72,15 @@ def sampled_rows(
 
     Parquet sources are read where they are, and only the selection keys are
     written down. Other sources are costly to parse and their rows have no stable
-    place, so their sample is written once and read from there, by columns. Either
-    way a corpus is read twice at most: once for keys, once for what is kept.
+    place, so their sample is written once and read from there, by columns. A corpus
+    is read for its keys and again for what is kept; a sample reads its ids twice
+    before that. ``sample_size`` of 0 or ``all`` takes every row and saves these scans.
     """
     source, dataset = dict(cfg["source"]), cfg.get("dataset") or {}
     in_place = is_parquet(source)
     if in_place:
         source["row_key"] = True
-    n, seed = int(dataset["sample_size"]), int(dataset.get("seed", 42))
+    n, seed = sample_size(dataset), int(dataset.get("seed", 42))
     rows = sample_rows(read_corpus(spark, source), n, seed)
     body = _body_field(cfg)
     if dry_run or body not in rows.columns:
@@ -93,17 +102,32 @@ def sampled_rows(
 def prepare_rows(
     rows: DataFrame, keys: DataFrame, cfg: dict, known: Known | None, dry_run: bool
 ) -> Prepared:
-    """Drop what is published or repeated. A dry run keeps every row and hashes none."""
+    """Drop what is published or repeated, and count it. A dry run keeps every row and
+    hashes none."""
     if dry_run or known is None:
-        return Prepared(rows, None)
+        return Prepared(rows, _counted(row_funnel(keys, dedup=False)))
     if not (cfg.get("dataset") or {}).get("dedup_content", True):
+        funnel = _counted(row_funnel(keys, known.posts, dedup=False))
         fresh = resume_filter(rows, known.posts)
-        return Prepared(fresh.withColumn("content_hash", F.lit("")), None)
+        return Prepared(fresh.withColumn("content_hash", F.lit("")), funnel)
     funnel = row_funnel(keys, known.posts, known.hashes)
     counts = funnel.first()
     kept = select_rows(rows, known.posts, known.hashes, keys=keys, counts=counts)
-    # the counts are final: the ledger grows while the run goes on
-    return Prepared(kept, rows.sparkSession.createDataFrame([counts], funnel.schema))
+    fixed = hash_coverage(rows.sparkSession.createDataFrame([counts], funnel.schema))
+    if fixed.first()["coverage"] != "ok":
+        warnings.warn(
+            f"{counts['empty_hash']} of {counts['after_source_id_resume']} rows have no text to hash; "
+            "is the body field mapped right?",
+            stacklevel=2,
+        )
+    return Prepared(kept, fixed)
+
+
+def _counted(funnel: DataFrame) -> DataFrame:
+    """A funnel as it is now: the ledger grows while the run goes on. Where nothing is
+    hashed there is no coverage to speak of."""
+    fixed = funnel.sparkSession.createDataFrame([funnel.first()], funnel.schema)
+    return fixed.withColumn("coverage", F.lit(None).cast("string"))
 
 
 def published_rows(created: DataFrame, status: str, byline: bool, seq: int) -> DataFrame:
@@ -126,15 +150,22 @@ def published_rows(created: DataFrame, status: str, byline: bool, seq: int) -> D
 def catch_up(ledger: VersionedTable, target: VersionedTable, batch: str) -> None:
     """Enter posts that reached the target in a run that died before its ledger entry.
 
-    The target is written first and is the authority; whatever is newer there than
-    the last ledger entry belongs in the ledger.
+    The target is written first and is the authority. Its batches that the ledger has
+    under the same name need no look; of the others those posts are entered that the
+    ledger does not know. An empty ledger is left to ``reconcile``.
     """
-    last = ledger.read(without=batch).agg(F.max("seq")).first()[0]
-    if last is None:
+    entries = ledger.read(without=batch)
+    if entries.isEmpty():
+        return
+    seen = ledger.batches().filter(F.col("batch") != batch)
+    others = target.batches().filter(F.col("batch") != batch).join(seen, "batch", "left_anti")
+    names = [r.batch for r in others.collect()]
+    if not names:
         return
-    newer = published_entries(target.read(without=batch).filter(F.col("seq") > last))
-    if not newer.isEmpty():
-        ledger.append(newer, f"catch-up-{arrival()}")
+    posts = published_entries(target.read(only=names))
+    missing = posts.join(entries.select("source_id", "post_id"), ["source_id", "post_id"], "left_anti")
+    if not missing.isEmpty():
+        ledger.append(missing, f"catch-up-{arrival()}")
 
 
 def purge(target: VersionedTable, ledger: VersionedTable | None = None) -> tuple[int, int]:
@@ -158,25 +189,35 @@ AUTHOR_COLUMNS = ("username", "email", "first_name", "last_name")
 def resolve_dimensions(
     spark: SparkSession, cfg: dict, batch: str
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Category and author ids, making the missing ones on the target side."""
+    """Category and author ids, making the missing ones on the target side.
+
+    Rows once written stay as they are: names are looked up among all rows, those of an
+    earlier attempt of this batch too, and only what is missing is added, under a name
+    of its own.
+    """
     load = cfg["load"]
     author_cfg = load.get("author") or {}
     names = labels_of(cfg["transform"])
     labels = spark.createDataFrame([(x,) for x in names], "name string")
     categories = _dimension(spark, f"{load['target']}/categories")
-    found = dimensions.ensure_categories(categories.read(without=batch), labels)
-    categories.append(found.created, batch)
+    found = dimensions.ensure_categories(categories.read(), labels)
+    _add(categories, found.created, batch)
     authors, pool = None, author_pool(cfg)
     if author_cfg.get("create_users", True) and pool:
         table = _dimension(spark, f"{load['target']}/authors", AUTHOR_COLUMNS)
         people = spark.createDataFrame([(x,) for x in pool], "name string")
         domain = author_cfg.get("email_domain", "example.invalid")
-        made = dimensions.ensure_authors(table.read(without=batch), people, domain)
-        table.append(made.created, batch)
+        made = dimensions.ensure_authors(table.read(), people, domain)
+        _add(table, made.created, batch)
         authors = _bounded(made.mapping, len(pool))
     return _bounded(found.mapping, len(names)), authors
 
 
+def _add(table: VersionedTable, rows: DataFrame, batch: str) -> None:
+    if not rows.isEmpty():
+        table.append(rows, f"{batch}-{arrival()}")
+
+
 def _bounded(mapping: DataFrame, rows: int) -> DataFrame:
     """Broadcast a mapping with as many rows as a configured list, unless that is long.
 
@@ -220,7 +261,7 @@ def run(
     time may write to a target.
     """
     validate_config(cfg, completing is not None)
-    started = time.monotonic()
+    started, began = time.monotonic(), time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())
     batch = run_id or f"run-{arrival()}"
     load, dataset = cfg.get("load") or {}, cfg.get("dataset") or {}
     dry_run = bool(load.get("dry_run", True))
@@ -246,20 +287,20 @@ def run(
 
     cache_cfg = (cfg.get("transform") or {}).get("cache") or {}
     cached = usage = None
+    slice_rows = getattr(transform, "slice_rows", None)
     if cache_cfg.get("enabled", True) and cache_cfg.get("path"):
         cache = VersionedTable(spark, cache_cfg["path"], CACHE_TABLE)
-        before = cache.read(without=batch)
-        posts, made = with_cache(ready, cache, transform.signature(), transform.posts, batch)
+        before = cache.read()
+        posts, made = with_cache(ready, cache, transform.signature(), transform.posts, batch, slice_rows)
         write_posts(posts, f"{run_dir}/posts", "parquet")
-        asked = spark.read.parquet(f"{run_dir}/posts").select("source_id").unionByName(
-            made.filter(F.col("error").isNotNull()).select("source_id")
-        )
-        cached = cache_stats(before, transform.signature(), asked)
+        lost = made.filter(F.col("error").isNotNull()).select("source_id")
+        asked = spark.read.parquet(f"{run_dir}/posts").select("source_id").unionByName(lost)
+        cached = cache_stats(before, transform.signature(), asked, lost)
     else:
-        staged = VersionedTable(spark, f"{run_dir}/staged", CACHE_TABLE)
-        _, made = with_cache(ready, staged, transform.signature(), transform.posts, batch)
-        good = staged.read(only=batch).filter(F.col("post").isNotNull()).select("post.*")
-        write_posts(good, f"{run_dir}/posts", "parquet")
+        # without a cache nothing made before counts, so each attempt has its own stage
+        staged = VersionedTable(spark, f"{run_dir}/staged/{batch}-{arrival()}", CACHE_TABLE)
+        posts, made = with_cache(ready, staged, transform.signature(), transform.posts, batch, slice_rows)
+        write_posts(posts, f"{run_dir}/posts", "parquet")
     posts = spark.read.schema(POST).parquet(f"{run_dir}/posts")
     errors = made.filter(F.col("error").isNotNull()).select("source_id", "error")
     failed = publish.error_outcomes(errors, "transform")
@@ -270,9 +311,10 @@ def run(
         categories, authors = resolve_dimensions(spark, cfg, batch)
         resolved = publish.with_category(posts, categories)
         here = target.read(without=batch)
-        top = here.agg(F.max("post_id")).first()[0] or 0
+        own = latest(published_entries(target.read(only=batch)))
+        top = target.read().agg(F.max("post_id")).first()[0] or 0
         # written once: both the posts and the outcomes go by it
-        ids = publish.assign_ids(resolved, known.posts, top)
+        ids = publish.assign_ids(resolved, known.posts, top, own)
         ids.write.mode("overwrite").parquet(f"{run_dir}/assigned")
         assigned = spark.read.schema(ids.schema).parquet(f"{run_dir}/assigned")
         created = publish.with_author(publish.created_posts(resolved, assigned), authors)
@@ -282,13 +324,19 @@ def run(
                 created,
                 load.get("post_status", "publish"),
                 bool(author_cfg.get("prepend_to_content")),
-                arrival(),
+                max(here.agg(F.max("seq")).first()[0] or 0, arrival() - 1) + 1,
             ),
             batch,
         )
         if ledger is not None:
             ledger.append(published_entries(target.read(only=batch)), batch)
         done = publish.publish_outcomes(resolved, assigned).unionByName(failed)
+        # a post that failed here may stand on the target all the same
+        landed = latest(published_entries(target.read(only=batch)))
+        done = publish.recover(done, landed)
+        back = publish.recovered_entries(done, posts)
+        if ledger is not None and not back.isEmpty():
+            merge(ledger, back.select("source_id", "post_id"), None, f"{batch}-recovered")
         write_results(done, f"{run_dir}/results")
         outcomes = spark.read.schema(publish.OUTCOME).json(f"{run_dir}/results")
 
@@ -314,7 +362,10 @@ def run(
         "source_type": cfg["source"]["type"],
         "transform_type": cfg["transform"]["type"],
         "dry_run": dry_run,
-        "sample_size_requested": int(dataset["sample_size"]),
+        "sample_size_requested": sample_size(dataset),
+        "source": cfg["source"].get("path") or cfg["source"].get("name"),
+        "started_at": began,
+        "concurrency": completing.policy.concurrency if completing else None,
     }
     report = run_summary(
         outcomes,

@@ -27,6 +27,10 @@ def pace(elapsed: Column, posts: Column) -> Column:
     return F.round(F.try_divide(elapsed, posts), 4)
 
 
+def _retries(chat: DataFrame | None) -> list[str]:
+    return [n for n in ("retries", "rate_limited") if chat is not None and n in chat.columns]
+
+
 def _as_struct(df: DataFrame | None, names: list[str]) -> Column:
     """A one-row table as a struct value; null when there is none."""
     if df is None:
@@ -35,6 +39,10 @@ def _as_struct(df: DataFrame | None, names: list[str]) -> Column:
     return df.select(F.struct(*names)).scalar()
 
 
+def _fact(value: object) -> Column:
+    return F.lit(None).cast("string") if value is None else F.lit(value)
+
+
 def run_summary(
     outcomes: DataFrame,
     posts: DataFrame,
@@ -55,13 +63,15 @@ def run_summary(
     counts = outcome_counts(outcomes).withColumn("posts_prepared", prepared)
     funnel_names = ["fetched", "after_source_id_resume", "after_content_dedup"]
     dedup_names = ["cross_run", "within_run", "empty_hash"]
+    if funnel is not None and "coverage" in funnel.columns:
+        dedup_names.append("coverage")
     fetched = F.col("posts_prepared") + F.col("posts_failed")
     if funnel is not None:
         counted = funnel.select("fetched").scalar()
         fetched = F.when(counted > 0, counted).otherwise(fetched)
     elapsed = F.lit(float(elapsed_sec))
     return counts.select(
-        *[F.lit(value).alias(name) for name, value in (facts or {}).items()],
+        *[_fact(value).alias(name) for name, value in (facts or {}).items()],
         fetched.alias("rows_fetched"),
         "posts_prepared",
         "posts_uploaded",
@@ -75,7 +85,7 @@ def run_summary(
         pace(elapsed, F.col("posts_prepared")).alias("pace_sec_per_post"),
         _as_struct(funnel, funnel_names).alias("rows_funnel"),
         _as_struct(funnel, dedup_names).alias("content_dedup"),
-        _as_struct(chat, ["model", "input_tokens", "output_tokens", "est_usd", "priced"]).alias("chat_cost"),
+        _as_struct(chat, ["model", "input_tokens", "output_tokens", "est_usd", "priced", *_retries(chat)]).alias("chat_cost"),
         _as_struct(
             embedding, ["posts", "est_tokens", "provider", "model", "dimensions", "est_usd"]
         ).alias("embedding_estimate"),

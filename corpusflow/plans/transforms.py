@@ -51,7 +51,7 @@ def _field(df: DataFrame, name: str | None) -> Column:
 
 
 #: What a completion reports besides its text.
-CALL_COLUMNS = ("error", "input_tokens", "output_tokens", "retries")
+CALL_COLUMNS = ("error", "input_tokens", "output_tokens", "retries", "rate_limited")
 
 
 @dataclass
@@ -59,12 +59,14 @@ class Completing:
     """What the synth transform calls: ``make_client(schema)`` builds a client on an
     executor; ``schema`` is the response schema, or None when not ``structured``.
     ``partitions`` bounds how many tasks call at once (each ``policy.concurrency``
-    wide), for endpoints that limit their callers."""
+    wide), for endpoints that limit their callers. Results are committed every
+    ``slice_rows`` rows, so a run that dies pays again for one slice at most."""
 
     make_client: Callable[[dict | None], Client]
     model: str = ""
     structured: bool = False
     partitions: int | None = None
+    slice_rows: int = 100_000
     policy: CallPolicy = field(default_factory=CallPolicy)
 
 
@@ -106,6 +108,7 @@ class Synth:
     body_field: str = "body"
     summary_field: str = "summary"
     title_limit: int = 80
+    prompt_chars: int = prompts.PROMPT_CHARS
     cleaners: list[dict] = field(default_factory=list)
     template: str | None = None
     seed: int = 42
@@ -126,23 +129,29 @@ class Synth:
             dates=[self.range_start, self.range_end],
             max_tokens=self.completing.policy.max_tokens,
             title_limit=self.title_limit,
+            prompt_chars=self.prompt_chars,
             fields=[self.body_field, self.summary_field],
             seed=self.seed,
         )
 
+    @property
+    def slice_rows(self) -> int:
+        return self.completing.slice_rows
+
     def posts(self, df: DataFrame) -> DataFrame:
         calls = self.completing
         system = prompts.system_prompt(self.template, self.labels, self.range_start, self.range_end)
         schema = prompts.response_schema(self.labels) if calls.structured else None
         if calls.partitions:
-            df = df.repartition(calls.partitions, "source_id")
+            # by content too, so that rows sharing an id don't share a task
+            df = df.repartition(calls.partitions, "source_id", self.body_field if self.body_field in df.columns else "source_id")
         cleaned = df.withColumn(
             "_body", text.py_strip(apply_cleaners(_field(df, self.body_field), self.cleaners))
         )
         answered = cleaned.withColumn(
             "_call",
             complete(
-                prompts.user_message(F.col("_body")),
+                prompts.user_message(F.col("_body"), self.prompt_chars),
                 system,
                 partial(calls.make_client, schema),
                 calls.policy,
@@ -204,6 +213,7 @@ def _build_synth(transform: dict, cfg: dict, completing: Completing | None) -> S
         body_field=transform.get("body_field", "body"),
         summary_field=transform.get("summary_field", "summary"),
         title_limit=int((transform.get("title") or {}).get("max_length", 80)),
+        prompt_chars=int(transform.get("prompt_chars", prompts.PROMPT_CHARS)),
         cleaners=list(transform.get("cleaners") or []),
         template=transform.get("prompt_template"),
         seed=int((cfg.get("dataset") or {}).get("seed", 42)),

@@ -45,6 +45,7 @@ COMPLETION = T.StructType(
         T.StructField("input_tokens", LONG),
         T.StructField("output_tokens", LONG),
         T.StructField("retries", INT),
+        T.StructField("rate_limited", INT),
         T.StructField("error", STR),
     ]
 )

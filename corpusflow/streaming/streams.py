@@ -8,6 +8,7 @@ crash replaces it.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -18,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.picks import sample_key
 from ..operators import publish
+from ..operators.cache import with_cache
 from ..operators.dedup import HASH, select_rows, with_content_hash
 from ..operators.ledger import first_hash, latest, only_for, published_entries
 from ..operators.store import VersionedTable, arrival
@@ -78,8 +80,7 @@ def stream_dedup(rows: DataFrame, body: str = "body") -> DataFrame:
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The id Spark keeps in a checkpoint: the same after a restart, new for a new
     checkpoint even at the old place."""
-    line = spark.read.text(f"{checkpoint}/metadata").first()[0]
-    return line.split('"id":"')[1].split('"')[0]
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 @dataclass
@@ -93,15 +94,19 @@ class StreamSink:
     categories: DataFrame
     authors: DataFrame | None = None
     results: VersionedTable | None = None
+    cache: VersionedTable | None = None
+    signature: str = ""
+    slice_rows: int | None = None
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
         load = self.cfg.get("load") or {}
         body = (self.cfg.get("transform") or {}).get("body_field") or "body"
-        batch = f"{_stream_id(spark, self.checkpoint)}-{batch_id}"
+        stream = _stream_id(spark, self.checkpoint)
+        batch = f"{stream}-{batch_id}"
         # read the source once; the stage holds one micro-batch and is reused
         hashed = with_content_hash(rows, body).withColumn("sample_key", sample_key(F.col("source_id")))
-        arrived = self._stage("arrived", hashed).select("*", row_key().alias("row_key"))
+        arrived = self._stage(f"{stream}/arrived", hashed).select("*", row_key().alias("row_key"))
         # everything but this batch's own folder, which a replay writes anew
         there = self.target.read(without=batch)
         entries = published_entries(there)
@@ -110,9 +115,13 @@ class StreamSink:
         hashes = only_for(first_hash(entries), arrived, HASH, n)
         fresh = select_rows(arrived, posts, hashes)
         # the transform runs once per row; its failures become results, not lost rows
-        made = self.posts(with_picks(fresh, self.cfg)).select(*POST_FIELDS, "error")
-        made = self._stage("made", made)
-        good = made.filter(F.col("error").isNull()).select(*POST_FIELDS)
+        ready = with_picks(fresh, self.cfg)
+        if self.cache is None:
+            made = self._stage(f"{stream}/made", self.posts(ready).select(*POST_FIELDS, "error"))
+            good = made.filter(F.col("error").isNull()).select(*POST_FIELDS)
+        else:
+            good, made = with_cache(ready, self.cache, self.signature, self.posts, batch, self.slice_rows)
+            good = self._stage(f"{stream}/made", good)
         resolved = publish.with_category(good, self.categories)
         top = there.agg(F.max("post_id")).first()[0] or 0
         assigned = publish.assign_ids(resolved, posts, top)
@@ -143,16 +152,22 @@ def stream_publish(
     authors: DataFrame | None = None,
     results: VersionedTable | None = None,
     trigger: dict | None = None,
+    cache: VersionedTable | None = None,
+    signature: str = "",
+    slice_rows: int | None = None,
 ) -> StreamingQuery:
     """Publish a stream of rows, each source id and each content once.
 
+    With a ``cache`` of results made under ``signature`` a row that has one is not
+    transformed again, in a replayed micro-batch neither.
+
     A restart with the same ``checkpoint`` goes on where the stream stopped.
     With ``results`` each micro-batch also records the outcome of every post.
     ``trigger`` defaults to working off what is there and stopping. Row counts of
     every micro-batch show up in the query's progress as the ``rows`` metrics.
     """
     observed = rows.observe("rows", *_metrics(F.col("source_id")))
-    sink = StreamSink(target, checkpoint, cfg, posts, categories, authors, results)
+    sink = StreamSink(target, checkpoint, cfg, posts, categories, authors, results, cache, signature, slice_rows)
     return (
         observed.writeStream.foreachBatch(sink)
         .option("checkpointLocation", checkpoint)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,11 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_dir(spark: SparkSession) -> str:
     """What the cluster names in ``spark.checkpoint.dir``, or the checkpoint folder
-    already set; only where there is neither (a local trial) a temporary folder."""
+    already set; where there is neither, a temporary folder on a local master, which
+    shares its disk with all of its tasks, and an error on a cluster."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if spark.sparkContext.getCheckpointDir() is None:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpusflow-"))
     return spark.sparkContext.getCheckpointDir()
 

@@ -3,12 +3,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from corpusflow.operators.cache import CACHE_TABLE, with_cache
 from corpusflow.operators.completion import CallPolicy, Completion, TransientError
 from corpusflow.operators.store import VersionedTable
 from corpusflow.plans.config import ConfigError, validate_config
 from corpusflow.plans.runs import PUBLISHED, catch_up, purge, run
-from corpusflow.plans.transforms import Completing
-from corpusflow.schemas import LEDGER
+from corpusflow.plans.transforms import Completing, labels_of
+from corpusflow.schemas import LEDGER, POST_FIELDS
 
 LABELS = ["News", "Opinion", "Other"]
 
@@ -241,7 +242,7 @@ def test_config_problems_come_together():
                 "load": {"dry_run": False, "mode": "guess"},
             }
         )
-    assert len(e.value.problems) == 10
+    assert len(e.value.problems) == 10, e.value.problems
     ok = {
         "dataset": {"sample_size": 5},
         "source": {"type": "table", "name": "t"},
@@ -249,5 +250,104 @@ def test_config_problems_come_together():
     }
     validate_config(ok)
     bad = dict(ok, source={"type": "x"}, transform={})
-    with pytest.raises(ConfigError, match="known: jsonl, table(.|\n)*transform.type is required"):
+    with pytest.raises(ConfigError, match="one of jsonl, table(.|\n)*transform.type = None"):
         validate_config(bad)
+
+
+def test_finished_run_repeated_calls_failures_only(spark, tmp_path):
+    """Slices commit as they are done; a repeat uses all of them, also its own."""
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    write_corpus(tmp_path, ROWS[:20])
+    cfg = config(tmp_path)
+    cleaners = [{"type": "regex_replace", "pattern": "more", "replacement": "less"}]
+    cfg["transform"].update(type="synth", max_tokens_combined=77, cleaners=cleaners, cache={"path": str(tmp_path / "cache")})
+    stub = Completing(Stub(calls), model="m", structured=True, policy=CallPolicy(max_retries=2), slice_rows=4)
+    first = run(spark, cfg, str(tmp_path / "o1"), stub, run_id="one").summary.first()
+    n = len(list(calls.iterdir()))
+    cache = VersionedTable(spark, str(tmp_path / "cache"), CACHE_TABLE)
+    assert first.completion_calls == 20 and first.cache.size == 18
+    assert cache.batches().count() == 5
+    again = run(spark, cfg, str(tmp_path / "o1"), stub, run_id="one").summary.first()
+    assert len(list(calls.iterdir())) == n + 1 + 3  # the one that fails, and the one retried
+    assert (again.completion_calls, again.posts_created, again.cache.hits) == (2, 18, 18)
+
+
+def test_run_killed_midway_pays_for_the_rest_only(spark, tmp_path):
+    rows = spark.createDataFrame([(f"r{i}", "") for i in range(40)], "source_id string, content_hash string")
+    cache = VersionedTable(spark, str(tmp_path / "cache"), CACHE_TABLE)
+    asked = []
+
+    def transform(part, die=False):
+        ids = [r.source_id for r in part.collect()]
+        if die and len(asked) >= 2:
+            raise RuntimeError("the driver dies")
+        asked.append(ids)
+        fields = [F.lit("x").alias(f) if f not in ("source_id", "content_hash") else F.col(f) for f in POST_FIELDS]
+        return part.select(*fields, F.lit(None).cast("string").alias("error"))
+
+    with pytest.raises(RuntimeError):
+        with_cache(rows, cache, "S", lambda p: transform(p, True), "one", 10)
+    done = {i for ids in asked for i in ids}
+    assert 0 < len(done) < 40
+    asked.clear()
+    posts, made = with_cache(rows, cache, "S", transform, "one", 10)
+    assert {i for ids in asked for i in ids} == {f"r{i}" for i in range(40)} - done
+    assert posts.count() == 40 and made.count() == 40 - len(done)
+
+
+def test_ids_stay_when_a_run_is_repeated(spark, tmp_path):
+    """Run one, a run with one more label, then run one again with another label."""
+    write_corpus(tmp_path, ROWS)
+    cfg = config(tmp_path)
+    run(spark, cfg, str(tmp_path / "o1"), run_id="one")
+
+    def tables():
+        kept = {}
+        for name, key in (("categories", "name"), ("authors", "name"), ("posts", "source_id")):
+            path = str(tmp_path / f"site/{name}/data/v=0")
+            for r in spark.read.parquet(path).collect():
+                kept[name, r[key]] = r["id"] if "id" in r else r["post_id"]
+        return kept
+
+    one = tables()
+    write_corpus(tmp_path, ROWS + [{"id": "z9", "content": "something new", "title": "T"}])
+    more = config(tmp_path)
+    more["transform"]["category"] = {"labels": [*labels_of(cfg["transform"]), "Fourth"]}
+    run(spark, more, str(tmp_path / "o2"), run_id="two")
+    two = tables()
+    assert {k: two[k] for k in one} == one and len(two) == len(one) + 2
+    more["transform"]["category"] = {"labels": [*labels_of(cfg["transform"]), "Fifth"]}
+    run(spark, more, str(tmp_path / "o3"), run_id="one")
+    three = tables()
+    assert {k: three[k] for k in two} == two
+
+
+def test_summary_counts_in_every_mode(spark, tmp_path):
+    write_corpus(tmp_path, ROWS)
+    cfg = config(tmp_path)
+    cfg["dataset"]["sample_size"] = "all"
+    cfg["dataset"]["dedup_content"] = False
+    run(spark, cfg, str(tmp_path / "o1"), run_id="one")
+    write_corpus(tmp_path, ROWS + [{"id": "z9", "content": "something new", "title": "T"}])
+    s = run(spark, cfg, str(tmp_path / "o2"), run_id="two").summary.first()
+    assert s.rows_fetched == len(ROWS) + 1 == s.rows_funnel.fetched
+    assert s.rows_funnel.after_source_id_resume == s.rows_funnel.after_content_dedup < len(ROWS)
+    cfg["load"]["dry_run"] = True
+    s = run(spark, cfg, str(tmp_path / "o3"), run_id="dry").summary.first()
+    assert s.rows_funnel.fetched == s.rows_funnel.after_content_dedup == len(ROWS) + 1
+
+
+def test_catch_up_with_a_clock_that_runs_backwards(spark, tmp_path):
+    write_corpus(tmp_path, ROWS)
+    run(spark, config(tmp_path), str(tmp_path / "o1"), run_id="one")
+    target = VersionedTable(spark, str(tmp_path / "site/posts"), PUBLISHED)
+    ledger = VersionedTable(spark, str(tmp_path / "site/ledger"), LEDGER)
+    late = spark.createDataFrame([(50, "lost", "t", "c", "publish", "", 1, None, "", "hash", 3)], PUBLISHED)
+    target.append(late, "crashed")
+    catch_up(ledger, target, "next")
+    assert ledger.read().filter("source_id = 'lost'").count() == 1
+    before = ledger.batches().count()
+    catch_up(ledger, target, "next")
+    assert ledger.batches().count() == before
+    assert target.next_seq() > target.read().selectExpr("max(seq)").first()[0]
