@@ -19,6 +19,13 @@ def python_ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def texts_of(column, rows: int = 512):
+    """The texts of an Arrow column, null ones empty, some rows at a time: a batch as
+    Python strings at once would take a multiple of its bytes."""
+    for low in range(0, len(column), rows):
+        yield [t or "" for t in column.slice(low, rows).to_pylist()]
+
+
 def written(df: DataFrame) -> DataFrame:
     """The rows as a table in the shared folder: computed once, read as often as
     needed, and there still when an executor is lost."""

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import python_ready
+from corpusflow.llm.common import python_ready, texts_of
 
 #: Bytes of the longest context.
 ORDER = 3
@@ -194,7 +194,12 @@ def identify(docs: DataFrame, model: Identifier) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            languages, score = model.predict(batch.column(1).to_pylist())
+            languages, scores = [], [np.empty(0)]
+            for texts in texts_of(batch.column(1)):
+                found, some = model.predict(texts)
+                languages += found
+                scores.append(some)
+            score = np.concatenate(scores)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(languages, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
     return rows.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")

@@ -34,7 +34,8 @@ from corpusflow.llm.common import python_ready
 
 WINDOW = 2048
 END_ID = 1
-MEMO_ENTRIES = 400_000
+#: Words whose ids are kept, some 200 bytes each.
+MEMO_ENTRIES = 600_000
 
 
 class Ids:
@@ -62,7 +63,8 @@ class Ids:
             self.marks = {m: self._ask(m.decode()).tobytes() for m in self.MARKS}
 
     def _ask(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        # the fast form gives the same ids without places in the text
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     @staticmethod
     def _words(text: str) -> list[bytes]:

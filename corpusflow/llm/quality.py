@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from corpusflow.llm import hashing
-from corpusflow.llm.common import labelled_sample, python_ready
+from corpusflow.llm.common import labelled_sample, python_ready, texts_of
 
 MIN_WORDS = 50
 #: Percent of words in repeated windows of three beyond which a text fails.
@@ -127,11 +127,13 @@ def judge(docs: DataFrame, model: QualityModel, keep_from: float = KEEP_FROM) ->
 
 
 def _judged(column: pa.Array, model: QualityModel) -> tuple[list[tuple], np.ndarray, np.ndarray]:
-    texts = [t or "" for t in column.to_pylist()]
-    counts = [rule_counts(t) for t in texts]
+    counts, scores = [], [np.empty(0)]
+    for texts in texts_of(column):
+        some = [rule_counts(t) for t in texts]
+        counts += some
+        scores.append(np.where([c[0] > 0 for c in some], model.score(texts), 0.0))
     failed = np.array([base_failed(c[0], c[4]) for c in counts], dtype=bool)
-    scores = np.where([c[0] > 0 for c in counts], model.score(texts), 0.0)
-    return counts, failed, scores
+    return counts, failed, np.concatenate(scores)
 
 
 def keep_good(docs: DataFrame, model: QualityModel, keep_from: float = KEEP_FROM) -> DataFrame:

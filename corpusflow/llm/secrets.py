@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import python_ready
+from corpusflow.llm.common import python_ready, texts_of
 from corpusflow.llm.hashing import fit_platt, sigmoid
 
 #: The fixed patterns, with the least length of the whole match or of its second group.
@@ -276,15 +276,18 @@ def scan(docs: DataFrame, model: SecretModel | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            both = [spans_of(t, shared.value) for t in texts]
+            both, values = [], []
+            for texts in texts_of(batch.column(1)):
+                some = [spans_of(t, shared.value) for t in texts]
+                both += some
+                values += [[t[a:b] for a, b, _ in every] for t, (_, every) in zip(texts, some)]
             counts = [[sum(s[2] == k for s in every) for k in range(4)] for _, every in both]
             columns = [
                 batch.column(0),
                 *(pa.array([c[k] for c in counts], pa.int64()) for k in range(4)),
                 pa.array([hashlib.sha256(said(base).encode()).hexdigest() for base, _ in both], pa.string()),
                 pa.array([said(every) for _, every in both], pa.string()),
-                pa.array([[{"kind": KINDS[k], "start": a, "end": b, "value": t[a:b]} for a, b, k in every] for t, (_, every) in zip(texts, both)], pa.list_(finding)),
+                pa.array([[{"kind": KINDS[k], "start": a, "end": b, "value": v} for (a, b, k), v in zip(every, found)] for found, (_, every) in zip(values, both)], pa.list_(finding)),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_assign", "n_access", "n_hex", "n_model", "base_sha256", "spans", "findings"])
 
@@ -314,7 +317,8 @@ def redact(docs: DataFrame, model: SecretModel | None = None, mark: str = "[SECR
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = list(batch.columns)
-            columns[at] = pa.array([clean(t) for t in columns[at].to_pylist()], pa.string())
+            parts = (columns[at].slice(low, 512).to_pylist() for low in range(0, batch.num_rows, 512))
+            columns[at] = pa.array([clean(t) for texts in parts for t in texts], pa.string())
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
     cleaned = docs.mapInArrow(run, docs.schema)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import fold_of, labelled_sample, python_ready
+from corpusflow.llm.common import fold_of, labelled_sample, python_ready, texts_of
 from corpusflow.llm.hashing import minimise, sigmoid
 from corpusflow.llm.simhash import fingerprint
 
@@ -270,7 +270,7 @@ def score_documents(docs: DataFrame, model: ToxicityModel, toxic_from: float = T
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(shared.value)
         for batch in batches:
-            score = reader.score([t.as_py() or "" for t in batch.column(1)])
+            score = np.concatenate([np.empty(0), *map(reader.score, texts_of(batch.column(1)))])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array((score >= toxic_from).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     return rows.mapInArrow(run, f"doc_id {kind}, score double, predicted int")
@@ -285,6 +285,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, toxic_from: float = TOXIC_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(shared.value)
         for batch in batches:
-            yield batch.filter(pa.array(reader.score([t.as_py() or "" for t in batch.column(at)]) < toxic_from))
+            score = np.concatenate([np.empty(0), *map(reader.score, texts_of(batch.column(at)))])
+            yield batch.filter(pa.array(score < toxic_from))
 
     return docs.mapInArrow(run, docs.schema)
