@@ -55,15 +55,11 @@ def dedup_content(
 
     Dropping known hashes after taking the first row gives the same rows as before
     it, and both steps then use one partitioning by hash. With a ``row_key`` column
-    the table is read once; without one, rows with an empty hash take a branch of
-    their own, which needs no shuffle.
+    the choice is made on keys and no text is sorted or moved by hash; without one,
+    rows with an empty hash take a branch of their own, which needs no shuffle.
     """
     if "row_key" in df.columns:
-        keyed = df.withColumn("_key", dedup_key())
-        kept = first_per_key(keyed, "_key", _order(df, order))
-        if known is not None:
-            kept = kept.join(known.select(F.col(HASH).alias("_key")), "_key", "left_anti")
-        return kept.select(*df.columns)
+        return select_rows(df, None, known, order)
     kept = first_per_key(df.filter(F.col(HASH) != ""), HASH, _order(df, order))
     if known is not None:
         kept = kept.join(known.select(HASH), HASH, "left_anti")
