@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusflow.shipping import ship
@@ -47,6 +47,17 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def first_by_hash(ids: DataFrame, group: str, most) -> DataFrame:
+    """The ``most`` rows of each group whose ``doc_id`` hashes smallest. Groups are ranked
+    in 256 parts first, so that few rows of a large one meet in a task."""
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    part = F.pmod(F.hash("doc_id"), F.lit(256))
+    for keys in ([F.col(group), part], [F.col(group)]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        ids = ids.withColumn("_rank", rank).where(F.col("_rank") <= most).drop("_rank")
+    return ids
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, per_class: tuple[int, int], longest: int
 ) -> DataFrame:
@@ -73,10 +84,6 @@ def labelled_sample(
         .where("_copies = 1")
         .select("doc_id")
     )
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    both = marked.join(known, "doc_id")
-    chosen = None
-    for value in (0, 1):
-        part = both.where(F.col("label") == value).orderBy(*order).limit(per_class[value])
-        chosen = part if chosen is None else chosen.unionByName(part)
+    most = F.when(F.col("label") == 0, per_class[0]).otherwise(per_class[1])
+    chosen = first_by_hash(marked.join(known, "doc_id"), "label", most)
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")

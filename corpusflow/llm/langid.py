@@ -20,10 +20,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import python_ready, texts_of
+from corpusflow.llm.common import first_by_hash, python_ready, texts_of
 
 #: Bytes of the longest context.
 ORDER = 3
@@ -160,9 +160,8 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, longest: int = LONG
     without id, text or language, don't serve for learning. Only ids are ranked."""
     spark = python_ready(docs.sparkSession)
     usable = docs.where("doc_id is not null and lang is not null and length(text) between 1 and %d" % longest)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
-    sample = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"])
+    chosen = first_by_hash(usable.select("doc_id", "lang").distinct(), "lang", per_language)
+    sample = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
