@@ -14,13 +14,15 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    """But for training-data queries, which have tests of their own where SQL falls short."""
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(entry.queries()) - set(entry.LLM_QUERIES) <= set(entry.oracle_sql())
 
 
 USES_PYTHON = {"synth_posts"}
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_sql(spark, con, name):
     df = entry.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
