@@ -26,7 +26,12 @@ def with_content_hash(df: DataFrame, body: str = "body") -> DataFrame:
 
 
 def resume_filter(df: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Drop rows whose ``source_id`` is already published."""
+    """Drop rows whose ``source_id`` is already published. Where rows have a ``row_key``
+    only keys are joined with the ledger, and texts stay where they are as long as the
+    keys to drop are few."""
+    if "row_key" in df.columns and len(df.columns) > 3:
+        done = df.select("source_id", "row_key").join(ledger.select("source_id"), "source_id", "left_semi")
+        return df.join(done.select("row_key"), "row_key", "left_anti").select(*df.columns)
     return df.join(ledger.select("source_id"), "source_id", "left_anti")
 
 

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ..workdir import checkpointed
 
 
+#: Files whose offsets, 16 bytes each, are broadcast.
+BROADCAST_FILES = 1_000_000
+
+
 def row_key() -> Column:
     """A key that is unique per row of a Parquet scan and the same on every re-read,
     however the files are split among tasks."""
@@ -40,16 +44,19 @@ def _offsets(counts: DataFrame, keys: list[str]) -> DataFrame:
 def parquet_position(scan: DataFrame, out: str = "position") -> DataFrame:
     """Number the rows of a Parquet scan from 0, by path and then place in the file.
 
-    Rows do not move: files are counted, and each row adds its own index to the
-    rows of the files before.
+    Files are counted, and each row adds its own index to the rows of the files before.
+    Rows do not move as long as the table of files, 16 bytes each, can be broadcast.
     """
     path = F.col("_metadata.file_path").alias("_path")
     counts = scan.select(path).groupBy("_path").agg(F.count(F.lit(1)).alias("_rows"))
-    indexed = scan.select("*", path, F.col("_metadata.row_index").alias("_index"))
+    offsets = _offsets(counts, ["_path"]).select(F.xxhash64("_path").alias("_file"), "_offset")
+    if counts.count() <= BROADCAST_FILES:
+        offsets = F.broadcast(offsets)
+    indexed = scan.select("*", F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
     return (
-        indexed.join(_offsets(counts, ["_path"]), "_path")
+        indexed.join(offsets, "_file")
         .withColumn(out, F.col("_offset") + F.col("_index"))
-        .drop("_path", "_index", "_rows", "_offset")
+        .drop("_file", "_index", "_offset")
     )
 
 
