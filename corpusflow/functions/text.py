@@ -42,6 +42,7 @@ TOKEN_RUN = "[A-Za-z0-9+/_-]{32,}={0,2}"
 TOKEN_START = "(?<![A-Za-z0-9+/_-])"  # a run matches from its start or not at all
 REDACTED = "[redacted]"
 
+# Fixed value: the title of a post without one.
 UNTITLED = "Untitled"
 EMPTY_MD5 = hashlib.md5(b"").hexdigest()
 
@@ -79,10 +80,14 @@ def truncate_words(c: Column, limit: int) -> Column:
     return F.when(F.length(c) > limit, F.concat(cut, F.lit("..."))).otherwise(c)
 
 
+# Labels that a model puts before a title.
+TITLE_LABEL = r"(?i)\A(?:headline:|title:)"
+
+
 def clean_title(c: Column, limit: int) -> Column:
     """First line, without a leading label, quotes or emphasis, cut to ``limit``."""
     line = py_strip(F.substring_index(c, "\n", 1))
-    line = py_strip(F.regexp_replace(line, r"(?i)\A(?:headline:|title:)", ""))
+    line = py_strip(F.regexp_replace(line, TITLE_LABEL, ""))
     for mark in ('"', "'", "*"):
         line = F.trim(line, F.lit(mark))
     return truncate_words(py_strip(line), limit)
@@ -150,6 +155,7 @@ def synthetic_email(slug: Column, domain: str) -> Column:
 
 
 def year_month(iso: Column) -> Column:
+    """The YYYY-MM of an ISO date."""
     return F.left(iso, F.lit(7))
 
 

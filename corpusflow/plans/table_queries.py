@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+from ..functions import text
 from ..functions.cleaners import CLEANERS, apply_cleaners, cleaner
 from ..operators import dedup, ledger
 from ..operators.cache import CACHE_TABLE, read_cache_jsonl, with_cache
@@ -42,6 +43,12 @@ def clean_braces(spark: SparkSession, sf: str) -> DataFrame:
     return q.table(spark, sf, "events").select("event_id", apply_cleaners(F.col("props"), [step]).alias("cleaned"))
 
 
+@query("SELECT strftime(o_orderdate, '%Y-%m') AS ym, count(*) AS orders FROM orders GROUP BY 1")
+def orders_by_month(spark: SparkSession, sf: str) -> DataFrame:
+    month = text.year_month(F.col("o_orderdate").cast("string")).alias("ym")
+    return q.table(spark, sf, "orders").groupBy(month).agg(F.count(F.lit(1)).alias("orders"))
+
+
 @query(o.ORACLE["passthrough_posts"])
 def posts_sink(spark: SparkSession, sf: str) -> DataFrame:
     folder = workspace(spark)
