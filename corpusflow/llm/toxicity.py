@@ -4,6 +4,8 @@ Words are mapped to symbols: insults, threats, targets, negations and words of r
 Small transducers over these symbols rewrite what stands within reach of another symbol:
 an insult near a target becomes a targeted one, one behind a negation a negated one, one
 in reported speech a reported one, and a target behind a threat a threat against someone.
+German, French and Spanish put the object before an infinitive, so a threat behind an
+object form of its language is a threat against someone as well.
 Their composition is one machine that reads a clause from left to right and gives its
 matches, each with the weight of its words and of its kind.
 
@@ -43,21 +45,25 @@ INSULTS = """idiot idiots moron morons stupid dumb loser losers scum trash worth
     idioten dumm dummkopf arschloch abschaum widerlich erbärmlich wertlos versager trottel
     idiote imbécile connard crétin abruti ordure minable dégoûtant
     idiota imbécil estúpido estúpida cabrón basura patético asqueroso inútil""".split()
-THREATS = """kill hurt destroy shoot beat burn stab strangle murder smash töten umbringen schlagen erschießen
-    tuer frapper détruire brûler matar golpear destruir quemar""".split()
+THREATS = "kill hurt destroy shoot beat burn stab strangle murder smash töten umbringen schlagen erschießen".split()
+ROMANCE_THREATS = "tuer frapper détruire brûler matar golpear destruir quemar".split()
 TARGETS = """you your youre yourself he she they them him her people everyone du dich dir ihr euch sie
     tu toi te vous ils elles vosotros ustedes usted ellos ellas tú""".split()
+#: Forms that are objects before a threat: German ones, those of French and Spanish, and
+#: the French one that is an object only right before the infinitive. Spanish "os" is an
+#: English and a French word too, so it serves for nothing else.
+OBJECTS, ROMANCE_OBJECTS, NEXT_OBJECTS, ONLY_OBJECTS = ["dich", "euch"], ["te"], ["vous"], ["os"]
 NEGATIONS = "not no never isnt arent wasnt dont doesnt nicht kein keine nie pas jamais aucun nunca jamás".split()
 REPORTS = """said says say called calls wrote writes claimed claims quoted quotes according allegedly reported
     sagte sagt nannte schrieb laut dit disait écrit appelé selon dijo dice escribió llamó según""".split()
 #: Weight of a listed insult, until labelled texts say otherwise, and of a threat.
 LISTED = 3.0
 
-OTHER, TARGET, NEGATION, REPORT, THREAT, INSULT = range(6)
-SYMBOLS = "OTNRHI"
+OTHER, TARGET, OBJECT, ROMANCE_OBJECT, NEXT_OBJECT, ONLY_OBJECT, NEGATION, REPORT, THREAT, ROMANCE_THREAT, INSULT = range(11)
+SYMBOLS = "OTDEVSNRHLI"
 #: What the grammar finds, and how much of an insult's weight each kind has at first.
 KINDS = {"I": 1.0, "It": 1.5, "In": 0.1, "Ir": 0.3, "HT": 1.5, "Hn": 0.0, "Hr": 0.3}
-CLAUSE_END = 8
+CLAUSE_END = 16
 _EDGE = re.compile(r"^\W+|\W+$")
 
 
@@ -94,21 +100,42 @@ class Transducer:
         return rows
 
 
-def within(trigger: str, change: dict[str, str], reach: int) -> Transducer:
-    """Rewrites symbols that stand within ``reach`` words behind the trigger."""
+def within(triggers: str, change: dict[str, str], reach: int, far: dict[str, str] | None = None, more: int = 0) -> Transducer:
+    """Rewrites symbols that stand within ``reach`` words behind one of the triggers, and
+    those of ``far`` within ``more`` words beyond."""
+    set_off, far = frozenset(triggers), far or {}
 
     def step(left: int, symbol: str):
-        out = change.get(symbol, symbol) if left else symbol
-        return (reach if symbol == trigger else max(left - 1, 0)), out
+        out = change.get(symbol, symbol) if left > more else symbol
+        out = far.get(symbol, out) if left else out
+        return (reach + more if symbol in set_off else max(left - 1, 0)), out
 
     return Transducer(step)
 
 
+def object_first(reach: int) -> Transducer:
+    """Rewrites threats that stand within ``reach`` words behind an object form of their
+    language, and right behind one that must stand next to them."""
+    threat = {"D": "H", "E": "L", "S": "L", "V": "L"}
+
+    def step(state: tuple[str, int], symbol: str):
+        verb, left = state
+        out = "TH" if left and symbol == verb else symbol
+        if symbol in threat:
+            return (threat[symbol], 1 if symbol == "V" else reach), out
+        return (verb, left - 1) if left > 1 else ("", 0), out
+
+    return Transducer(step, ("", 0))
+
+
+#: A negation stands before the object, as in "no te voy a matar", so it reaches further.
 GRAMMAR = (
-    within("H", {"T": "HT"}, 4)
-    @ within("T", {"I": "It"}, 4)
-    @ within("N", {"I": "In", "It": "In", "HT": "Hn"}, 3)
-    @ within("R", {"I": "Ir", "It": "Ir", "HT": "Hr"}, 8)
+    within("HL", dict.fromkeys("TDEV", "HT"), 4)
+    @ object_first(4)
+    @ within("TDEV", {"I": "It"}, 4)
+    @ within("N", {"I": "In", "It": "In", "HT": "Hn"}, 3, {"TH": "Hn"}, 2)
+    @ within("R", {"I": "Ir", "It": "Ir", "HT": "Hr", "TH": "Hr"}, 8)
+    @ Transducer(lambda state, symbol: (state, "HT" if symbol == "TH" else symbol))
 )
 _TABLE = GRAMMAR.table(SYMBOLS)
 
@@ -130,7 +157,8 @@ class ToxicityModel:
 class Reader:
     """Features of texts under a model; symbols of words are kept in a bounded memo."""
 
-    _FIXED = {**dict.fromkeys(TARGETS, TARGET), **dict.fromkeys(NEGATIONS, NEGATION), **dict.fromkeys(REPORTS, REPORT), **dict.fromkeys(THREATS, THREAT)}
+    _FIXED = {**dict.fromkeys(TARGETS, TARGET), **dict.fromkeys(NEGATIONS, NEGATION), **dict.fromkeys(REPORTS, REPORT), **dict.fromkeys(THREATS, THREAT), **dict.fromkeys(ROMANCE_THREATS, ROMANCE_THREAT),
+              **dict.fromkeys(OBJECTS, OBJECT), **dict.fromkeys(ROMANCE_OBJECTS, ROMANCE_OBJECT), **dict.fromkeys(NEXT_OBJECTS, NEXT_OBJECT), **dict.fromkeys(ONLY_OBJECTS, ONLY_OBJECT)}
 
     def __init__(self, model: ToxicityModel):
         self.model, self.codes = model, {}
@@ -152,7 +180,7 @@ class Reader:
         known = self.codes.get
         codes = np.array([c if (c := known(t)) is not None else self.code(t) for t in tokens], dtype=np.uint8)
         found: dict[str, float] = {}
-        hits = np.flatnonzero((codes & 7) >= THREAT)
+        hits = np.flatnonzero((codes & 15) >= THREAT)
         if not len(hits):
             return found
         ends = np.flatnonzero(codes & CLAUSE_END)
@@ -162,7 +190,7 @@ class Reader:
             high = int(ends[k]) + 1 if k < len(ends) else len(tokens)
             state = 0
             for i in range(low, high):
-                state, out = _TABLE[state][codes[i] & 7]
+                state, out = _TABLE[state][codes[i] & 15]
                 if out in KINDS:
                     weight = self.model.insult(_EDGE.sub("", tokens[i]).replace("'", "").replace("’", "")) if out[0] == "I" else LISTED
                     found[out] = found.get(out, 0.0) + weight

@@ -75,6 +75,21 @@ def test_grammar_by_hand():
     assert score[0] > score[1] > score[2] == score[3]
 
 
+@pytest.mark.parametrize("text, kinds", [
+    ("i will kill you", {"HT"}),
+    ("ich werde dich töten", {"HT"}), ("ich werde euch alle morgen umbringen", {"HT"}), ("ich werde dich nicht töten", {"Hn"}),
+    ("er sagte, er werde dich schlagen", {"Hr"}), ("wenn sie schlagen", set()),
+    ("je vais te tuer", {"HT"}), ("je vais vous frapper", {"HT"}), ("je ne vais pas te tuer", {"Hn"}), ("vous allez frapper la balle", set()),
+    ("te voy a matar", {"HT"}), ("os voy a quemar", {"HT"}), ("no te voy a matar", {"Hn"}), ("según ella te voy a golpear", {"Hr"}),
+    ("the os may kill the process", set()), ("il faut brûler les os", set()),
+])
+def test_threats_behind_their_object(text, kinds):
+    model = toxicity.ToxicityModel()
+    reader = toxicity.Reader(model)
+    assert set(reader.matches(text)) == kinds
+    assert (reader.score([text])[0] > reader.score(["plain words"])[0]) == bool(kinds & {"HT", "Hr"})
+
+
 def test_learned_stems():
     texts = [f"plain words here {i} and there" for i in range(100)] + [f"plain words qwzx{i} and there" for i in range(40)]
     _, stems = toxicity.learn_words(texts, np.array([0] * 100 + [1] * 40))
