@@ -1,10 +1,11 @@
 """Secret scans: fixed patterns, and a character convolutional network over candidates.
 
 Fixed patterns find assignments, access keys and hexadecimal runs. Beside them, every
-long run of key characters that mixes letters and digits is a candidate: a small network
-reads its characters and those around it, and flags it from a threshold on that keeps a
-given recall on labelled findings held back from training. A candidate of any length is
-read, in windows. Texts are scanned whole, in Arrow batches where they lie.
+long run of key characters that has a letter is a candidate: a small network reads its
+characters and those around it, and flags it from a threshold on that keeps a given recall
+on labelled findings held back from training. A candidate of any length is read, in
+windows, and what a fixed pattern covers of it does not hide the rest. Texts are scanned
+whole, in Arrow batches where they lie.
 """
 
 from __future__ import annotations
@@ -35,7 +36,13 @@ KINDS = ("assign", "access", "hex", "model")
 
 CANDIDATE_LEAST = 16
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-][A-Za-z0-9+/_.=-]{14,}[A-Za-z0-9+/_=-]")
-_DIGIT, _LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
+_LETTER = re.compile(r"[A-Za-z]")
+
+#: Parts of the long words that are no keys.
+SYLLABLES = """the er ing on ed an es re con pro tion ment able ver un in com per sub trans port form act graph
+    schaft keit ung lich zeit haus land gesell fahrt stadt wirt ein auf aus ge ent arbeit frei strasse
+    eau eux ille aire tre ché ment que ance oir pour mais entre dad ción mente ar os as ado ente mar sol
+    data get set user name file list test item node type value index table string count""".replace("ché", "che").replace("ción", "cion").split()
 
 #: Characters of a window: before, of and behind the candidate, and its steps.
 BEFORE, INSIDE, BEHIND, STRIDE = 24, 48, 12, 32
@@ -167,7 +174,8 @@ def fit(findings: list[tuple[str, int, int, int]], recall: float = RECALL) -> Se
 
 def example_findings(n: int = FINDINGS, seed: int = 5) -> list[tuple[str, int, int, int]]:
     """Labelled findings by rule: keys of many makes behind words that announce them, and
-    what only looks like keys: addresses, versions, numbers, file names, times, ids."""
+    what only looks like keys: addresses, versions, numbers, file names, times, ids, long
+    words and names of several words. Keys without a digit are among them."""
     r = random.Random(seed)
     alnum, upper, lower, hexa = string.ascii_letters + string.digits, string.ascii_uppercase + string.digits, string.ascii_lowercase, "0123456789abcdef"
 
@@ -180,6 +188,12 @@ def example_findings(n: int = FINDINGS, seed: int = 5) -> list[tuple[str, int, i
     def prose(k: int) -> str:
         return " ".join(word() for _ in range(k))
 
+    def real() -> str:
+        return "".join(r.choice(SYLLABLES) for _ in range(r.randint(1, 4)))
+
+    def names(low: int, high: int) -> list[str]:
+        return [real() for _ in range(r.randint(low, high))]
+
     def key() -> str:
         return r.choice([
             lambda: r.choice(["sk-", "pk_live_", "ghp_", "gho_", "xoxb-", "glpat-", "npm_", "AIza", "key-", "SG."]) + some(alnum + "_-", 20, 48),
@@ -188,6 +202,7 @@ def example_findings(n: int = FINDINGS, seed: int = 5) -> list[tuple[str, int, i
             lambda: some(upper, 18, 40),
             lambda: "eyJ" + some(alnum + "_-", 15, 40) + "." + some(alnum + "_-", 15, 40) + "." + some(alnum + "_-", 15, 40),
             lambda: some(alnum, 16, 48),
+            lambda: some(string.ascii_letters, 16, 40),
         ])()
 
     def harmless() -> str:
@@ -200,6 +215,13 @@ def example_findings(n: int = FINDINGS, seed: int = 5) -> list[tuple[str, int, i
             lambda: "_".join(word() for _ in range(4)) + str(r.randint(0, 9)),
             lambda: "".join(r.choice(["th", "er", "ing", "on", "ed", "an", "es"]) for _ in range(9)) + str(r.randint(0, 999)),
             lambda: word() + "=" + word() + str(r.randint(1, 500)) + "=" + word() + word(),
+            lambda: "".join(r.choice(SYLLABLES) for _ in range(r.randint(6, 12))),
+            lambda: r.choice("_-/.=+").join(names(3, 7)),
+            lambda: "".join(w.capitalize() for w in names(3, 7)),
+            lambda: (w := names(3, 7))[0] + "".join(x.capitalize() for x in w[1:]),
+            lambda: r.choice(["", "_", "-", "/"]).join(names(3, 7)).upper(),
+            lambda: "/" + "/".join(names(2, 5)) + "." + r.choice(["py", "html", "txt", "png", "jpeg", "java"]),
+            lambda: r.choice(["--", "---", "==", "____"]).join([real().capitalize(), real() + real(), real() + real()]),
             lambda: "page" + str(r.randint(1, 90)) + "-" + word() + "-" + word() + word(),
         ])()
 
@@ -207,7 +229,7 @@ def example_findings(n: int = FINDINGS, seed: int = 5) -> list[tuple[str, int, i
     while len(out) < n:
         label = int(r.random() < 0.5)
         value = key() if label else harmless()
-        if len(value) < CANDIDATE_LEAST or not (_DIGIT.search(value) and _LETTER.search(value)):
+        if len(value) < CANDIDATE_LEAST or not _LETTER.search(value):
             continue
         cue = r.choice(["key: ", 'auth = "', "credential=", "Authorization: Bearer ", "export KEY=", "pwd '", "private_key: ", ""]) if label else r.choice(["see ", "from ", "at ", "file ", "https://", "release ", "id ", "", '"'])
         left = prose(r.randint(0, 8)) + r.choice([" ", "\n", "; "]) + cue
@@ -234,22 +256,45 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out, key=lambda s: (s[0], s[2]))
 
 
+def uncovered(start: int, end: int, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The parts of start:end that no span of ``taken`` covers, which are in order."""
+    parts, at = [], start
+    for a, b, _ in taken:
+        if a < end and b > at:
+            if a > at:
+                parts.append((at, a))
+            at = b
+    return [*parts, (at, end)] if at < end else parts
+
+
 def model_spans(text: str, taken: list[tuple[int, int, int]], model: SecretModel) -> list[tuple[int, int, int]]:
-    """Candidates that the network flags and that no fixed pattern's span touches."""
-    found = [m.span() for m in CANDIDATE.finditer(text) if _DIGIT.search(m[0]) and _LETTER.search(m[0])]
-    if taken and found:
-        found = [s for s in found if all(s[1] <= a or b <= s[0] for a, b, _ in taken)]
+    """What the network flags of candidates and no fixed pattern's span covers.
+
+    A part beside such a span is scored by itself if it is as long as a candidate. A
+    shorter one belongs to the key around it if the network flags the whole run, but not
+    where it is the name in front of an assignment or of a value.
+    """
+    found: list[tuple[int, int]] = []  # what is scored, and which part that decides on
+    parts: list[tuple[int, int]] = []
+    for m in CANDIDATE.finditer(text):
+        a, b = m.span()
+        near = [s for s in taken if s[0] < b and a < s[1]] if taken else []
+        for low, high in uncovered(a, b, near) if near else [(a, b)]:
+            whole = high - low >= CANDIDATE_LEAST
+            named = not whole and (text[high - 1] == "=" or any(s[0] == high and s[2] == 0 for s in near))
+            if not named and _LETTER.search(text, low if whole else a, high if whole else b):
+                found.append((low, high) if whole else (a, b))
+                parts.append((low, high))
     if not found:
         return []
     score = model.score(text, found)
-    return [(a, b, 3) for (a, b), p in zip(found, score.tolist()) if p >= model.threshold]
+    return [(a, b, 3) for (a, b), p in zip(parts, score.tolist()) if p >= model.threshold]
 
 
 def spans_of(text: str, model: SecretModel) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(spans of the fixed patterns, all spans) of a whole text. Both scans look only into
-    texts that have a long word with a digit, or a keyword."""
-    long = [w for w in text.split() if len(w) >= CANDIDATE_LEAST and (_DIGIT.search(w) or len(w) >= 32)]
-    if long:
+    texts that have a long word, or a keyword."""
+    if any(len(w) >= CANDIDATE_LEAST for w in text.split()):
         base = base_spans(text)
         return base, sorted([*base, *model_spans(text, base, model)], key=lambda s: (s[0], s[2]))
     low = text.lower()
