@@ -314,8 +314,18 @@ def drop_near_duplicates(docs: DataFrame, limit: int = DISTANCE, shingle: int =
     (null last), and among rows of that id the one whose columns hash smallest. Of rows
     that are equal in all columns one stays."""
     row = free_name(docs, "_row")
-    marked = docs.withColumn(row, F.xxhash64(*[F.to_json(F.struct(c)) if "map" in t else F.col(c) for c, t in docs.dtypes]))
+    marked = with_row_hash(docs, row)
     found = written(near_duplicates(marked, limit, shingle, seed, row).select("doc_id", row, "root"))
+    return first_rows(marked, found, row)
+
+
+def with_row_hash(docs: DataFrame, row: str) -> DataFrame:
+    """The rows with a hash of all their columns in the column ``row``."""
+    return docs.withColumn(row, F.xxhash64(*[F.to_json(F.struct(c)) if "map" in t else F.col(c) for c, t in docs.dtypes]))
+
+
+def first_rows(marked: DataFrame, found: DataFrame, row: str) -> DataFrame:
+    """The first row of each root of ``found(doc_id, row, root)``, without the column ``row``."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col(row).alias("r")))
     best = found.groupBy("root").agg(first.alias("best")).select(F.col("best.d").alias("_d"), F.col("best.r").alias("_r"))
     kept = marked.join(best, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col(row) == F.col("_r")), "left_semi")
