@@ -109,4 +109,84 @@ SELECT conv_id, count(*) AS n_turns,
 FROM rows GROUP BY conv_id
 """
 
-ORACLE = {"op1_chat": OP1, "op5_license": OP5, "op9_merkle": OP9}
+# in doubles, exact for whole numbers of this size
+_APART = """CAST(list_inner_product(k.v::DOUBLE[], k.v::DOUBLE[]) - 2 * list_inner_product(k.v::DOUBLE[], c.v::DOUBLE[])
+    + list_inner_product(c.v::DOUBLE[], c.v::DOUBLE[]) AS BIGINT)"""
+_PLACED = f"""(SELECT k.id, k.vec_id, k.v, c.c, {_APART} AS d FROM kept k, {{0}} c
+    QUALIFY row_number() OVER (PARTITION BY k.id ORDER BY {_APART}, c.c) = 1)"""
+# exact floors of means, component by component
+_MEANS = f"""(SELECT o.c, coalesce(n.v, o.v) AS v FROM {{0}} o LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY j) AS v FROM (
+      SELECT c, j, sum(v[j])::BIGINT AS s, count(*) AS n FROM {_PLACED}, (SELECT unnest(range(1, 65)) AS j) GROUP BY c, j
+    ) GROUP BY c) n USING (c))"""
+_ROUNDS = ", ".join(f"c{i} AS MATERIALIZED {_MEANS.format(f'c{i - 1}')}" for i in range(1, 11))
+
+OP12 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS c, v FROM kept
+  QUALIFY row_number() OVER (ORDER BY sha256('3:' || vec_id), v) <= 8
+), {_ROUNDS}, placed AS MATERIALIZED {_PLACED.format("c10")}
+SELECT p.vec_id, p.c::INTEGER AS cluster, p.d::BIGINT AS distance, (sum(p.d) OVER (PARTITION BY p.c))::BIGINT AS cluster_inertia,
+  (sum(p.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c10.v, ',')) AS centroid_sha256
+FROM placed p JOIN c10 USING (c)
+"""
+
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, k: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
+
+OP13 = f"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_CRC.format("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS how FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN how = 1 THEN '' WHEN how = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN how = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM src WHERE how <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM damaged
+), faults AS MATERIALIZED (
+  SELECT conv_id, i, turn, role, text, left(role, 1) AS c, left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) AS before,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault
+  FROM placed
+), inserts AS (
+  SELECT * FROM (VALUES ('', 0, '', ''), ('', 1, 'u', 'user:'), ('', 2, 'a', 'user:' || chr(10) || 'assistant:'),
+    ('s', 0, 's', ''), ('s', 1, 'u', chr(10) || 'user:'), ('s', 2, 'a', chr(10) || 'user:' || chr(10) || 'assistant:'),
+    ('u', 0, 'u', ''), ('u', 1, 'a', chr(10) || 'assistant:'), ('u', 2, 'u', chr(10) || 'assistant:' || chr(10) || 'user:'),
+    ('a', 0, 'a', ''), ('a', 1, 'u', chr(10) || 'user:'), ('a', 2, 'a', chr(10) || 'user:' || chr(10) || 'assistant:')) AS t(q, n, q2, lines)
+), edits AS (
+  SELECT * FROM (VALUES ('D'), ('K'), ('R')) AS t(edit)
+), best AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, '' AS q, struct_pack(cost := 0::BIGINT, audit := '', body := '') AS b FROM conversations
+  UNION ALL
+  SELECT conv_id, i, q, min(struct_pack(cost := cost, audit := audit, body := body)) AS b FROM (
+    SELECT f.conv_id, f.i,
+      CASE edit WHEN 'D' THEN n.q2 WHEN 'K' THEN f.c ELSE CASE n.q2 WHEN 'u' THEN 'a' ELSE 'u' END END AS q,
+      b.b.cost + 5 * n.n + CASE edit WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END
+        + CASE WHEN edit <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END AS cost,
+      b.b.audit || repeat('I', n.n) || edit AS audit,
+      b.b.body || n.lines || CASE WHEN edit = 'D' THEN '' ELSE CASE WHEN n.q2 = '' THEN '' ELSE chr(10) END
+        || CASE WHEN edit = 'K' THEN role WHEN n.q2 = 'u' THEN 'assistant' ELSE 'user' END || ':' || text END AS body
+    FROM best b JOIN inserts n ON n.q = b.q JOIN faults f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.i = b.i + 1, edits
+    WHERE edit = 'D' OR (fault NOT IN ('blank', 'duplicate') AND (edit = 'R' OR (n.q2 = '' AND f.c = 's') OR f.c = CASE n.q2 WHEN 'u' THEN 'a' ELSE 'u' END))
+  ) GROUP BY conv_id, i, q
+), figures AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before || c NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id
+), ended AS (
+  SELECT b.conv_id, b.i, min(struct_pack(cost := b.b.cost + 5 * n.n, audit := b.b.audit || repeat('I', n.n), body := b.b.body || n.lines)) AS e
+  FROM best b JOIN inserts n ON n.q = b.q WHERE n.q2 IN ('', 'a') GROUP BY b.conv_id, b.i
+)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, e.e.cost AS cost, e.e.audit AS audit, sha256(e.e.body) AS repaired_sha256
+FROM ended e LEFT JOIN figures f ON f.conv_id IS NOT DISTINCT FROM e.conv_id WHERE e.i = coalesce(f.n, 0)
+"""
+
+ORACLE = {"op1_chat": OP1, "op5_license": OP5, "op9_merkle": OP9, "op12_orchard": OP12, "op13_repair": OP13}

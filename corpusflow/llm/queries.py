@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, chat, langid, license, merkle, packing, quality, secrets, simhash, toxicity
+from corpusflow.llm import bpe, centroids, chat, langid, license, lm, merkle, packing, quality, repair, secrets, simhash, toxicity
 from corpusflow.llm.common import fold_of, table
 from corpusflow.llm.oracle import ORACLE  # noqa: F401
 
@@ -73,6 +73,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False)
 
 
+def op11_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_orchard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_language": op2_language,
@@ -84,4 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_merkle": op9_merkle,
     "op10_bpe": op10_bpe,
+    "op11_interpolation": op11_interpolation,
+    "op12_orchard": op12_orchard,
+    "op13_repair": op13_repair,
 }
