@@ -68,7 +68,11 @@ def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
         bounds = [(0, len(joined))]
     else:
         bounds = zip(starts[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist())
-    hashes = np.array([xxh64_intdigest(joined[a:b], seed) for a, b in bounds], dtype="<u8")
+    return majority(np.array([xxh64_intdigest(joined[a:b], seed) for a, b in bounds], dtype="<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half of the hashes have set."""
     counts = np.zeros(64, dtype=np.int64)
     for low in range(0, len(hashes), 1 << 16):
         bits = np.unpackbits(hashes[low : low + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -281,14 +285,26 @@ def _whole(key: np.ndarray, fp: np.ndarray, limit: int, group_rows: int):
 
 def middle_links(fps: DataFrame, limit: int = DISTANCE) -> DataFrame:
     """Links of fingerprints through those half-way: every one within ``limit // 2``
-    flips of a fingerprint is a key, and the members of a key link to its smallest."""
-    flips = [0]
-    for k in range(1, limit // 2 + 1):
-        flips += [signed(sum(1 << i for i in c)) for c in combinations(range(64), k)]
-    keyed = fps.select("fp", F.explode(F.array(*[F.lit(x) for x in flips])).alias("flip"))
-    keyed = keyed.select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("middle"))
-    least = keyed.groupBy("middle").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return keyed.join(least, "middle").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
+    flips of a fingerprint is a key, and the members of a key link to its smallest.
+
+    Under an odd limit fingerprints within the rest of the limit of a key meet those within
+    ``limit // 2`` of it instead; two that meet are within the limit, so all of the former
+    link to the smallest of the latter, and that one to the smallest of the former."""
+
+    def keyed(reach: int) -> DataFrame:
+        flips = [0]
+        for k in range(1, reach + 1):
+            flips += [signed(sum(1 << i for i in c)) for c in combinations(range(64), k)]
+        rows = fps.select("fp", F.explode(F.array(*[F.lit(x) for x in flips])).alias("flip"))
+        return rows.select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("middle"))
+
+    near = keyed(limit // 2)
+    least = near.groupBy("middle").agg(F.min("fp").alias("b"))
+    pairs = keyed(limit - limit // 2).join(least, "middle").select(F.col("fp").alias("a"), "b")
+    if limit % 2:
+        wide = keyed(limit - limit // 2).groupBy("middle").agg(F.min("fp").alias("b"))
+        pairs = pairs.unionByName(near.join(wide, "middle").select(F.col("fp").alias("a"), "b"))
+    return pairs.where("a <> b").distinct()
 
 
 def near_duplicates(docs: DataFrame, limit: int = DISTANCE, shingle: int = SHINGLE, seed: int = SEED, *keep: str) -> DataFrame:

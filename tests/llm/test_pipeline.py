@@ -1,9 +1,10 @@
 """The pipeline's stages against plain Python over the same models."""
 
 import corpus_pipeline
-from corpusflow.llm import packing, quality, secrets, simhash, toxicity
+from corpusflow.llm import packing, quality, secrets, toxicity
 from corpusflow.llm.common import table
 from helpers import nothing
+from test_similar import kept_by_hand
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,15 +30,7 @@ def test_stages_against_plain_python(spark):
     assert got.columns == docs.columns and sorted(r.doc_id for r in got.collect()) == sorted(clean)
 
     got = corpus_pipeline.near_duplicates(spark, docs, SF)
-    fps = {i: simhash.fingerprint(r.text or "") for i, r in rows.items()}
-    first = []
-    groups = {i: i for i in rows}
-    for i in sorted(rows):
-        for j in sorted(rows):
-            if j < i and bin(fps[i] ^ fps[j]).count("1") <= 4:
-                a, b = groups[i], groups[j]
-                groups = {k: min(a, b) if v in (a, b) else v for k, v in groups.items()}
-    first = sorted(set(groups.values()))
+    first = kept_by_hand({i: r.text for i, r in rows.items()})
     assert got.columns == docs.columns and sorted(r.doc_id for r in got.collect()) == first
 
     got = {r.doc_id: r.text for r in corpus_pipeline.secret_scan(spark, docs, SF).collect()}
