@@ -12,7 +12,6 @@ from ..functions import strict_json
 from ..functions.text import or_else, or_empty, py_strip, redact
 from ..schemas import CACHE, POST_FIELDS
 from ..sources.positions import line_position, with_file_columns
-from ..workdir import workspace
 from .dedup import first_per_key
 from .store import VersionedTable
 
@@ -33,6 +32,10 @@ CACHE_TABLE = T.StructType(
 
 REQUIRED = POST_FIELDS[:-1]
 
+#: Files of a task move to their place when it ends, not when the job does (Hadoop's file
+#: committer; committers of object stores have rules of their own).
+COMMIT_BY_TASK = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+
 
 def read_cache_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """Import JSON lines as ``(sig, post, seq)``.
@@ -108,34 +111,26 @@ def with_cache(
     returns the post fields, ``error`` and any of the usage columns; rows with an
     error yield no post and are not cached, but asked again next time.
 
-    With ``slice_rows`` the missing rows are dealt by a hash of their ids into slices
-    of about so many, each committed to the cache when it is done. Whatever is there
-    counts, also what an earlier attempt of the same ``batch`` left.
+    One job makes them all, and each task's results are in the cache as soon as it ends:
+    a run that dies pays again for the tasks that were open. With ``slice_rows`` a task gets
+    about so many rows, dealt by a hash of their ids; one that runs again replaces its
+    files. Whatever is there counts, also what an earlier attempt of the same ``batch`` left.
     """
     hits, misses = split_by_cache(rows, cache.read(), sig)
     stamp = cache.next_seq()
-    parts = [misses]
     if slice_rows:
-        slices = max(1, -(-misses.count() // slice_rows))
-        if slices > 1:
-            folder = workspace(rows.sparkSession)
-            dealt = F.pmod(F.xxhash64("source_id"), F.lit(slices)).cast("int")
-            misses.withColumn("_slice", dealt).write.partitionBy("_slice").parquet(folder)
-            shape = T.StructType([*misses.schema.fields, T.StructField("_slice", T.IntegerType())])
-            staged = rows.sparkSession.read.schema(shape).parquet(folder)
-            parts = [staged.filter(F.col("_slice") == k).drop("_slice") for k in range(slices)]
-    names = []
-    for k, part in enumerate(parts):
-        done = transform(part)
-        usage = [
-            (F.col(f.name) if f.name in done.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in CACHE_TABLE.fields[3:]
-        ]
-        post = F.when(F.col("error").isNull(), F.struct(*POST_FIELDS)).alias("post")
-        result = done.select(F.lit(sig).alias("sig"), post, F.lit(stamp).alias("seq"), *usage)
-        names.append(f"{batch}-{stamp}-{k:05d}")
-        cache.append(result.withColumn("error", redact(F.col("error"))), names[-1])
-    made = cache.read(only=names)
+        tasks = max(1, -(-misses.count() // slice_rows))
+        misses = misses.repartition(tasks, F.xxhash64("source_id"))
+    done = transform(misses)
+    usage = [
+        (F.col(f.name) if f.name in done.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in CACHE_TABLE.fields[3:]
+    ]
+    post = F.when(F.col("error").isNull(), F.struct(*POST_FIELDS)).alias("post")
+    result = done.select(F.lit(sig).alias("sig"), post, F.lit(stamp).alias("seq"), *usage)
+    name = f"{batch}-{stamp}"
+    cache.append(result.withColumn("error", redact(F.col("error"))), name, **COMMIT_BY_TASK)
+    made = cache.read(only=name)
     good = made.filter(F.col("post").isNotNull()).select("post.*")
     return hits.unionByName(good), made.drop("post", "sig", "seq")
 

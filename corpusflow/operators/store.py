@@ -67,18 +67,19 @@ class VersionedTable:
         last = self.read().agg(F.max("seq")).first()[0]
         return max(arrival(), (last or 0) + 1)
 
-    def _write(self, df: DataFrame, version: int, batch: str) -> None:
+    def _write(self, df: DataFrame, version: int, batch: str, **options: str) -> None:
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        df.select(*columns).write.mode("overwrite").parquet(
+        df.select(*columns).write.mode("overwrite").options(**options).parquet(
             f"{self._folder(version)}/batch={batch}"
         )
 
-    def append(self, df: DataFrame, batch: str) -> None:
+    def append(self, df: DataFrame, batch: str, **options: str) -> None:
         """Write a batch; a batch of the same name is replaced.
 
-        When ``df`` reads this table, read it ``without`` the batch.
+        When ``df`` reads this table, read it ``without`` the batch. ``options`` go to the
+        writer.
         """
-        self._write(df, self.version(), batch)
+        self._write(df, self.version(), batch, **options)
 
     def replace(self, df: DataFrame, batch: str = "replace") -> None:
         """Make ``df`` the whole table; it may read the current version."""

@@ -13,6 +13,7 @@ from ..functions import text
 from ..functions.cleaners import CLEANERS, apply_cleaners, cleaner
 from ..operators import dedup, ledger
 from ..operators.cache import CACHE_TABLE, read_cache_jsonl, with_cache
+from ..operators.keys import KeyIndex
 from ..operators.store import VersionedTable
 from ..schemas import LEDGER, OUTCOME, POST, POST_FIELDS
 from ..sources import SOURCES, register_source
@@ -268,7 +269,52 @@ def custom_parts(spark: SparkSession, sf: str) -> DataFrame:
             registry.pop(name)
 
 
-def _stream_in_two(spark: SparkSession, sf: str) -> tuple[VersionedTable, list[tuple]]:
+def _order_index(spark: SparkSession, sf: str) -> KeyIndex:
+    """The target's side of the orders, in an index that has doubled its buckets once."""
+    _, target = q.order_sides(spark, sf)
+    index = KeyIndex(spark, workspace(spark), 8)
+    index.add(target.where("post_id % 2 = 0"), "one")
+    index.rebuild()
+    index.add(target.where("post_id % 2 = 1"), "two", index.greatest())
+    return index
+
+
+@query(f"""SELECT 'id' AS kind, source_id AS key, post_id FROM {o.TARGET} JOIN {o.LOG} l USING (source_id, post_id)
+    UNION ALL SELECT 'hash', content_hash, t.post_id FROM {o.TARGET} t JOIN (SELECT content_hash FROM {o.LOG}) l USING (content_hash)""")
+def key_index_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """The log's ids and hashes asked of an index of the target, bucket to bucket. Ids of
+    posts that moved are left out."""
+    log, _ = q.order_sides(spark, sf)
+    index, n = _order_index(spark, sf), log.count()
+    ids = index.posts(log, n).join(log.select("source_id", "post_id"), ["source_id", "post_id"], "left_semi")
+    hashes = index.hashes(log, n)
+    ids = ids.select(F.lit("id").alias("kind"), F.col("source_id").alias("key"), "post_id")
+    return ids.unionByName(hashes.select(F.lit("hash").alias("kind"), F.col("content_hash").alias("key"), "post_id"))
+
+
+@query(f"""SELECT source_id, post_id FROM {o.TARGET} WHERE source_id IN (
+    SELECT CAST(min(o_orderkey) AS VARCHAR) FROM orders GROUP BY o_orderpriority, o_orderstatus)""")
+def key_index_few(spark: SparkSession, sf: str) -> DataFrame:
+    """A few ids asked of an index of the target: literals of the scan."""
+    few = q.table(spark, sf, "orders").groupBy("o_orderpriority", "o_orderstatus").agg(F.min("o_orderkey").cast("string").alias("source_id"))
+    return _order_index(spark, sf).posts(few, 15)
+
+
+@query(f"SELECT source_id, post_id FROM {o.TARGET} WHERE source_id = (SELECT CAST(max(o_orderkey) AS VARCHAR) FROM orders WHERE o_orderstatus = 'F')")
+def key_index_point(spark: SparkSession, sf: str) -> DataFrame:
+    """The post of one id: one bucket, and its row groups that may have it."""
+    last = q.table(spark, sf, "orders").where("o_orderstatus = 'F'").agg(F.max("o_orderkey").cast("string")).first()[0]
+    return _order_index(spark, sf).find(last)
+
+
+@query(f"SELECT DISTINCT content_hash FROM {o.DOCS} WHERE content_hash <> ''")
+def stream_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """Each text once, through a stream that asks a key index and is restarted."""
+    target, _ = _stream_in_two(spark, sf, indexed=True)
+    return target.read().where("content_hash <> ''").select("content_hash")
+
+
+def _stream_in_two(spark: SparkSession, sf: str, indexed: bool = False) -> tuple[VersionedTable, list[tuple]]:
     """Documents in two drops, each followed by a (re)start of the same stream."""
     folder = workspace(spark)
     docs = q.table(spark, sf, "documents")
@@ -277,7 +323,7 @@ def _stream_in_two(spark: SparkSession, sf: str) -> tuple[VersionedTable, list[t
     for k in (0, 1):
         docs.where(F.col("doc_id") % 2 == k).write.mode("append").parquet(f"{folder}/in")
         rows = read_stream(spark, f"{folder}/in", q.FIELD_MAP, docs.schema)
-        job = stream_publish(rows, target, f"{folder}/ckpt", q.CONFIG, q.PASSTHROUGH.posts, ids)
+        job = stream_publish(rows, target, f"{folder}/ckpt", q.CONFIG, q.PASSTHROUGH.posts, ids, index=KeyIndex(spark, f"{folder}/keys", 8) if indexed else None)
         job.awaitTermination()
         fetched = sum(p.observedMetrics["rows"].fetched for p in job.recentProgress if "rows" in (p.observedMetrics or {}))
         seen.append((k, fetched, target.read().count()))

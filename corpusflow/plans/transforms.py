@@ -60,7 +60,7 @@ class Completing:
     executor; ``schema`` is the response schema, or None when not ``structured``.
     ``partitions`` bounds how many tasks call at once (each ``policy.concurrency``
     wide), for endpoints that limit their callers. Results are committed every
-    ``slice_rows`` rows, so a run that dies pays again for one slice at most."""
+    ``slice_rows`` rows, so a run that dies pays again for open tasks at most."""
 
     make_client: Callable[[dict | None], Client]
     model: str = ""

@@ -21,6 +21,7 @@ from ..functions.picks import sample_key
 from ..operators import publish
 from ..operators.cache import with_cache
 from ..operators.dedup import HASH, select_rows, with_content_hash
+from ..operators.keys import KeyIndex
 from ..operators.ledger import first_hash, latest, only_for, published_entries
 from ..operators.store import VersionedTable, arrival
 from ..plans.runs import PUBLISHED, published_rows
@@ -97,6 +98,25 @@ class StreamSink:
     cache: VersionedTable | None = None
     signature: str = ""
     slice_rows: int | None = None
+    index: KeyIndex | None = None
+    caught_up: bool = False
+
+    def _known(self, arrived: DataFrame, n: int, stream: str, batch_id: int) -> tuple[DataFrame, DataFrame, int]:
+        """(ids, hashes) that the target has, of those that arrived, and its top post id,
+        all but those of this batch, which a replay writes anew."""
+        batch = f"{stream}-{batch_id}"
+        if self.index is None:
+            there = self.target.read(without=batch)
+            entries = published_entries(there)
+            posts = only_for(latest(entries), arrived, "source_id", n)
+            hashes = only_for(first_hash(entries), arrived, HASH, n)
+            return posts, hashes, there.agg(F.max("post_id")).first()[0] or 0
+        if not self.caught_up:
+            self.index.catch_up(self.target, batch)
+            self.caught_up = True
+        top = self.index.top(f"{stream}-{batch_id - 1}")
+        top = self.index.greatest(batch) if top is None else top
+        return self.index.posts(arrived, n, batch), self.index.hashes(arrived, n, batch), top
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
@@ -107,12 +127,7 @@ class StreamSink:
         # read the source once; the stage holds one micro-batch and is reused
         hashed = with_content_hash(rows, body).withColumn("sample_key", sample_key(F.col("source_id")))
         arrived = self._stage(f"{stream}/arrived", hashed).select("*", row_key().alias("row_key"))
-        # everything but this batch's own folder, which a replay writes anew
-        there = self.target.read(without=batch)
-        entries = published_entries(there)
-        n = arrived.count()
-        posts = only_for(latest(entries), arrived, "source_id", n)
-        hashes = only_for(first_hash(entries), arrived, HASH, n)
+        posts, hashes, top = self._known(arrived, arrived.count(), stream, batch_id)
         fresh = select_rows(arrived, posts, hashes)
         # the transform runs once per row; its failures become results, not lost rows
         ready = with_picks(fresh, self.cfg)
@@ -123,12 +138,13 @@ class StreamSink:
             good, made = with_cache(ready, self.cache, self.signature, self.posts, batch, self.slice_rows)
             good = self._stage(f"{stream}/made", good)
         resolved = publish.with_category(good, self.categories)
-        top = there.agg(F.max("post_id")).first()[0] or 0
         assigned = publish.assign_ids(resolved, posts, top)
         created = publish.with_author(publish.created_posts(resolved, assigned), self.authors)
         byline = bool((load.get("author") or {}).get("prepend_to_content"))
         status = load.get("post_status", "publish")
         self.target.append(published_rows(created, status, byline, arrival()), batch)
+        if self.index is not None:
+            self.index.add(published_entries(self.target.read(only=batch)), batch, top)
         if self.results is not None:
             errors = made.filter(F.col("error").isNotNull()).select("source_id", "error")
             done = publish.publish_outcomes(resolved, assigned)
@@ -155,6 +171,7 @@ def stream_publish(
     cache: VersionedTable | None = None,
     signature: str = "",
     slice_rows: int | None = None,
+    index: KeyIndex | None = None,
 ) -> StreamingQuery:
     """Publish a stream of rows, each source id and each content once.
 
@@ -162,12 +179,14 @@ def stream_publish(
     transformed again, in a replayed micro-batch neither.
 
     A restart with the same ``checkpoint`` goes on where the stream stopped.
+    With an ``index`` of the target's keys a micro-batch reads the parts of it that its own
+    keys fall in, and nothing of the target; without one it reads the target's key columns.
     With ``results`` each micro-batch also records the outcome of every post.
     ``trigger`` defaults to working off what is there and stopping. Row counts of
     every micro-batch show up in the query's progress as the ``rows`` metrics.
     """
     observed = rows.observe("rows", *_metrics(F.col("source_id")))
-    sink = StreamSink(target, checkpoint, cfg, posts, categories, authors, results, cache, signature, slice_rows)
+    sink = StreamSink(target, checkpoint, cfg, posts, categories, authors, results, cache, signature, slice_rows, index)
     return (
         observed.writeStream.foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
