@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
 from datetime import datetime
 
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
 from ..functions.cleaners import check_cleaners
 from ..operators.ledger import MODES
+from ..shipping import ship
 from ..sources import SOURCES
 from .transforms import TRANSFORMS
 
@@ -52,7 +58,7 @@ def _is_synth(cfg: dict) -> bool:
 RULES = [
     ("dataset.sample_size", None, lambda c, v: _is_size(v), "a number of rows from 0 on, or 'all'"),
     ("source.type", None, lambda c, v: v in SOURCES, lambda: f"one of {', '.join(sorted(SOURCES))}"),
-    ("source.path", lambda c: _get(c, "source.type") == "jsonl", lambda c, v: bool(v), "where the JSON lines are"),
+    ("source.path", lambda c: _get(c, "source.type") in ("jsonl", "lines"), lambda c, v: bool(v), "where the JSON lines are"),
     ("source.path", lambda c: _get(c, "source.type") == "table", lambda c, v: bool(v or _get(c, "source.name")), "a folder, unless source.name gives a table"),
     ("source.field_map", None, lambda c, v: v is None or isinstance(v, dict), "a mapping from own field names to columns"),
     ("transform.type", None, lambda c, v: v in TRANSFORMS, lambda: f"one of {', '.join(sorted(TRANSFORMS))}"),
@@ -81,3 +87,30 @@ def validate_config(cfg: dict, has_client: bool = False) -> None:
         problems.append("transform.type = 'synth'; it has to be given a completion client")
     if problems:
         raise ConfigError(problems)
+
+
+def config_problems(configs: DataFrame) -> DataFrame:
+    """``(id, problems)`` of a table ``(id, config)`` of configurations as JSON text: what
+    cannot be used in each, none where all can. Checked where the rows are. Text that is no
+    JSON object has one problem; a client is taken to be there."""
+    ship(configs.sparkSession)
+    rows = configs.select("id", "config")
+
+    def problems(text: str | None) -> list[str]:
+        try:
+            cfg = json.loads(text or "")
+            if not isinstance(cfg, dict):
+                raise ValueError("not an object")
+            validate_config(cfg, has_client=True)
+        except ConfigError as e:
+            return e.problems
+        except ValueError as e:
+            return [f"not a configuration: {e}"]
+        return []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [problems(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))], ["id", "problems"])
+
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, problems array<string>")

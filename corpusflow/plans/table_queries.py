@@ -11,20 +11,21 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.cleaners import CLEANERS, apply_cleaners, cleaner
-from ..operators import dedup, ledger
+from ..operators import dedup, dimensions, ledger
 from ..operators.cache import CACHE_TABLE, read_cache_jsonl, with_cache
 from ..operators.keys import KeyIndex
 from ..operators.store import VersionedTable
-from ..schemas import LEDGER, OUTCOME, POST, POST_FIELDS
-from ..sources import SOURCES, register_source
+from ..schemas import DIMENSION, LEDGER, OUTCOME, POST, POST_FIELDS
+from ..sources import SOURCES, read_corpus, register_source
+from ..sources.lines import numbered, scan_lines, stream_ranges
 from ..streaming.streams import published_table, read_stream, stream_publish
 from ..workdir import workspace
 from . import oracle as o
 from . import queries as q
+from . import config as checks
 from . import runs
-from .config import ConfigError, validate_config
-from .prompts import signature, source_identity
-from .transforms import TRANSFORMS, Passthrough, register_transform
+from .prompts import json_text, signature_of, source_identity_of
+from .transforms import TRANSFORMS, register_transform
 
 QUERIES: dict[str, q.Query] = {}
 ORACLE: dict[str, str] = {}
@@ -203,50 +204,82 @@ def run_resumed(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(out, "attempt string, created long, on_target long, top_id long")
 
 
-@query("""WITH named AS (SELECT n_name AS name, CASE WHEN n_regionkey = 0 THEN 1 WHEN n_regionkey < 3 THEN 2 ELSE 3 END AS step,
-        regexp_replace(lower(n_name), '[^a-z0-9]+', '-', 'g') AS slug FROM nation)
+@query("""WITH named AS (SELECT c_name AS name, CASE WHEN c_nationkey < 5 THEN 1 WHEN c_nationkey < 15 THEN 2 ELSE 3 END AS step,
+        regexp_replace(lower(c_name), '[^a-z0-9]+', '-', 'g') AS slug FROM customer)
     SELECT name, row_number() OVER (ORDER BY step, md5(slug), slug) AS id FROM named""")
 def dims_repeat(spark: SparkSession, sf: str) -> DataFrame:
-    """Categories of nations: those of one region, of three, then the first batch again
+    """Categories by customers: those of some nations, of more, then the first batch again
     with all. Ids once given stay."""
-    nations = [(r.n_name, r.n_regionkey) for r in q.table(spark, sf, "nation").select("n_name", "n_regionkey").collect()]
+    customers = q.table(spark, sf, "customer")
+    stored = VersionedTable(spark, workspace(spark), DIMENSION)
+    for batch, below in (("one", 5), ("two", 15), ("again", 99)):
+        names = customers.where(F.col("c_nationkey") < below).select(F.col("c_name").alias("name"))
+        found = dimensions.ensure_categories(stored.read(), names)
+        stored.append(found.created, batch)
+    return dimensions.ensure_categories(stored.read(), customers.select(F.col("c_name").alias("name"))).mapping.select("name", "id")
+
+
+@query("""SELECT doc_id, substr(sha256('{"fields": ["title", "body", null], "source": "' ||
+        replace('{"config": null, "field_map": null, "name": "' || source || '/' || doc_id || '", "path": null, "split": "' || lang || '", "type": "table"}', '"', '\\"')
+        || '", "type": "passthrough"}'), 1, 16) AS sig FROM documents""")
+def signature_column(spark: SparkSession, sf: str) -> DataFrame:
+    """Signatures of transforms over sources that rows name."""
+    name = F.concat("source", F.lit("/"), F.col("doc_id").cast("string"))
+    identity = source_identity_of(type=F.lit("table"), name=name, split=F.col("lang"))
+    sig = signature_of(type=F.lit('"passthrough"'), fields=F.lit('["title", "body", null]'), source=json_text(identity))
+    return q.table(spark, sf, "documents").select("doc_id", sig.alias("sig"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END + CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END
+    + CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END + CASE WHEN o_orderkey % 11 = 0 THEN 2 ELSE 0 END AS problems FROM orders""")
+def config_problems(spark: SparkSession, sf: str) -> DataFrame:
+    """Configurations made from orders, and how many settings are wrong in each."""
+    key = F.col("o_orderkey")
+    config = F.struct(
+        F.struct(F.when(key % 7 == 0, -1).otherwise(key).alias("sample_size")).alias("dataset"),
+        F.struct(F.lit("table").alias("type"), F.when(F.col("o_orderstatus") != "F", F.col("o_custkey").cast("string")).alias("name")).alias("source"),
+        F.struct(F.lit("passthrough").alias("type"), F.when(key % 11 == 0, "x").alias("cleaners"), F.when(key % 11 == 0, -5).alias("prompt_chars")).alias("transform"),
+        F.struct(F.when(F.col("o_orderpriority") == "1-URGENT", "unheard of").otherwise("verify").alias("mode")).alias("load"),
+    )
+    configs = q.table(spark, sf, "orders").select(key.alias("id"), F.to_json(config).alias("config"))
+    return checks.config_problems(configs).select(F.col("id").alias("o_orderkey"), F.size("problems").cast("long").alias("problems"))
+
+
+@query("SELECT event_id, k AS source_id, k FROM (SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'none' ELSE CAST(event_id AS VARCHAR) END AS k FROM events) WHERE event_id % 7 <> 0")
+def lines_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON lines of events by byte ranges; lines that are no object go."""
     folder = workspace(spark)
-    for batch, below in (("one", 1), ("two", 3), ("one", 9)):
-        labels = [name for name, region in nations if region < below]
-        cfg = {"transform": {"category": {"labels": labels}}, "load": {"target": folder}}
-        mapping, _ = runs.resolve_dimensions(spark, cfg, batch)
-    return mapping.select("name", "id")
+    _event_lines(spark, sf).write.text(folder)
+    rows = read_corpus(spark, {"type": "lines", "path": folder, "range_bytes": 100_000, "field_map": {"id": "k", "event": "event_id", "k": "k"}})
+    return rows.select(F.col("event").cast("long").alias("event_id"), "source_id", "k")
 
 
-@query("""SELECT r_name, substr(sha256('{"fields": ["title", "body", null], "source": "' ||
-        replace('{"config": null, "field_map": null, "name": "' || r_name || '", "path": null, "split": null, "type": "table"}', '"', '\\"')
-        || '", "type": "passthrough"}'), 1, 16) AS sig FROM region""")
-def signature_column(spark: SparkSession, sf: str) -> DataFrame:
-    """Signatures of transforms over sources named by a table."""
-    names = [r.r_name for r in q.table(spark, sf, "region").select("r_name").collect()]
-    rows = [(n, Passthrough(identity=source_identity({"type": "table", "name": n})).signature()) for n in names]
-    assert rows[0][1] == signature(type="passthrough", fields=["title", "body", None], source=source_identity({"name": names[0], "type": "table"}))
-    return spark.createDataFrame(rows, "r_name string, sig string")
+def _event_lines(spark: SparkSession, sf: str) -> DataFrame:
+    key = F.col("event_id")
+    k = F.when(key % 5 == 0, "none").otherwise(key.cast("string"))
+    line = F.when(key % 7 == 0, F.concat(F.lit("[1, "), key.cast("string"))).otherwise(F.to_json(F.struct(k.alias("k"), key.alias("event_id"))))
+    return q.table(spark, sf, "events").select(line.alias("value"))
 
 
-@query("""SELECT n_name, CASE WHEN n_nationkey < 5 THEN 1 ELSE 0 END + CASE WHEN n_regionkey = 1 THEN 1 ELSE 0 END
-    + CASE WHEN n_regionkey = 2 THEN 1 ELSE 0 END AS problems FROM nation""")
-def config_problems(spark: SparkSession, sf: str) -> DataFrame:
-    """Configurations made from table values, and how many settings are wrong in each."""
-    out = []
-    for r in q.table(spark, sf, "nation").collect():
-        cfg = {
-            "dataset": {"sample_size": r.n_nationkey - 5},
-            "source": {"type": "table", "name": r.n_name if r.n_regionkey != 1 else ""},
-            "transform": {"type": "passthrough"},
-            "load": {"mode": "unheard of" if r.n_regionkey == 2 else "verify"},
-        }
-        try:
-            validate_config(cfg)
-            out.append((r.n_name, 0))
-        except ConfigError as e:
-            out.append((r.n_name, len(e.problems)))
-    return spark.createDataFrame(out, "n_name string, problems long")
+@query("SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS position FROM events")
+def lines_numbered(spark: SparkSession, sf: str) -> DataFrame:
+    """The numbers of lines in one sorted set of files, found by ranges."""
+    folder = workspace(spark)
+    q.table(spark, sf, "events").select("event_id").orderBy("event_id").selectExpr("cast(event_id as string) as value").write.text(folder)
+    rows = numbered(scan_lines(spark, folder, 10_000))
+    return rows.select(F.col("value").cast("long").alias("event_id"), "position")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'none' ELSE CAST(event_id AS VARCHAR) END AS source_id FROM events WHERE event_id % 7 <> 0")
+def lines_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same lines as a stream of new files, in two starts."""
+    folder = workspace(spark)
+    for k in (0, 1):
+        _event_lines(spark, sf).where(F.pmod(F.hash("value"), F.lit(2)) == k).write.mode("append").text(f"{folder}/in")
+        rows = stream_ranges(spark, f"{folder}/in", {"id": "k", "event": "event_id"})
+        job = rows.writeStream.format("parquet").option("checkpointLocation", f"{folder}/ckpt").option("path", f"{folder}/out").trigger(availableNow=True).start()
+        job.awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select(F.col("event").cast("long").alias("event_id"), "source_id")
 
 
 @query("SELECT CAST(doc_id AS VARCHAR) AS source_id, upper(lang) || '!' AS title FROM documents")
