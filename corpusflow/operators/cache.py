@@ -113,14 +113,15 @@ def with_cache(
 
     One job makes them all, and each task's results are in the cache as soon as it ends:
     a run that dies pays again for the tasks that were open. With ``slice_rows`` a task gets
-    about so many rows, dealt by a hash of their ids; one that runs again replaces its
+    about so many rows at most, dealt by a hash of their ids; one that runs again replaces its
     files. Whatever is there counts, also what an earlier attempt of the same ``batch`` left.
     """
     hits, misses = split_by_cache(rows, cache.read(), sig)
     stamp = cache.next_seq()
     if slice_rows:
-        tasks = max(1, -(-misses.count() // slice_rows))
-        misses = misses.repartition(tasks, F.xxhash64("source_id"))
+        tasks = -(-misses.count() // slice_rows)
+        if tasks > 1:  # fewer rows stay in the tasks that read them
+            misses = misses.repartition(max(tasks, rows.sparkSession.sparkContext.defaultParallelism), F.xxhash64("source_id"))
     done = transform(misses)
     usage = [
         (F.col(f.name) if f.name in done.columns else F.lit(None)).cast(f.dataType).alias(f.name)

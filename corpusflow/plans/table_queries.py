@@ -5,6 +5,7 @@ Each works in a folder of its own in the shared one, over the given tables.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ from ..operators.store import VersionedTable
 from ..schemas import DIMENSION, LEDGER, OUTCOME, POST, POST_FIELDS
 from ..sources import SOURCES, read_corpus, register_source
 from ..sources.lines import numbered, scan_lines, stream_ranges
-from ..streaming.streams import published_table, read_stream, stream_publish
+from ..streaming.streams import published_table, read_stream, results_table, stream_publish
 from ..workdir import workspace
 from . import oracle as o
 from . import queries as q
@@ -347,6 +348,40 @@ def stream_indexed(spark: SparkSession, sf: str) -> DataFrame:
     return target.read().where("content_hash <> ''").select("content_hash")
 
 
+class _Unanswered:
+    """A results table whose first write is lost."""
+
+    def __init__(self, table: VersionedTable) -> None:
+        self.table, self.lost = table, False
+
+    def append(self, df: DataFrame, batch: str) -> None:
+        if not self.lost:
+            self.lost = True
+            raise ConnectionError("no answer")
+        self.table.append(df, batch)
+
+
+@query(f"SELECT source_id, true AS recovered FROM ({o.kept(o.DOCS, 'source_id', False)})")
+def stream_recovered(spark: SparkSession, sf: str) -> DataFrame:
+    """Outcomes of a stream that died between the target and its outcomes, and went on:
+    what had landed is recovered, and on the target once."""
+    folder, docs = workspace(spark), q.table(spark, sf, "documents")
+    docs.write.parquet(f"{folder}/in")
+    ids = docs.groupBy(F.col("source").alias("name")).agg(F.min("doc_id").alias("id"))
+    target, results = published_table(spark, f"{folder}/posts"), results_table(spark, f"{folder}/results")
+    flaky = _Unanswered(results)
+    for _ in range(2):
+        rows = read_stream(spark, f"{folder}/in", q.FIELD_MAP, docs.schema)
+        job = stream_publish(rows, target, f"{folder}/ckpt", q.CONFIG, q.PASSTHROUGH.posts, ids, results=flaky)
+        try:
+            job.awaitTermination()
+        except StreamingQueryException as e:
+            if "no answer" not in str(e):
+                raise
+    found = results.read().where("ok and skipped is null")
+    return target.read().select("source_id").join(found, "source_id").select("source_id", F.coalesce("recovered_after_retry", F.lit(False)).alias("recovered"))
+
+
 def _stream_in_two(spark: SparkSession, sf: str, indexed: bool = False) -> tuple[VersionedTable, list[tuple]]:
     """Documents in two drops, each followed by a (re)start of the same stream."""
     folder = workspace(spark)

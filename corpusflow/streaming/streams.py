@@ -23,7 +23,7 @@ from ..operators.cache import with_cache
 from ..operators.dedup import HASH, select_rows, with_content_hash
 from ..operators.keys import KeyIndex
 from ..operators.ledger import first_hash, latest, only_for, published_entries
-from ..operators.store import VersionedTable, arrival
+from ..operators.store import VersionedTable, _read_if_exists, arrival
 from ..plans.runs import PUBLISHED, published_rows
 from ..plans.transforms import with_picks
 from ..schemas import OUTCOME, POST_FIELDS
@@ -99,8 +99,21 @@ class StreamSink:
     signature: str = ""
     slice_rows: int | None = None
     index: KeyIndex | None = None
+    retries: int = 0
     caught_up: bool = False
 
+    def _again(self, stream: str, batch_id: int, like: DataFrame) -> DataFrame:
+        """Rows whose transform failed in a batch and that are to be tried once more."""
+        return _read_if_exists(like.sparkSession, f"{self.target.path}/staged/{stream}/again/{batch_id}", like.schema)
+
+    def _recovered(self, done: DataFrame, landed: DataFrame) -> DataFrame:
+        """Outcomes in which posts that landed in an attempt that died say so."""
+        before = landed.select("source_id", F.col("post_id").alias("_landed")).distinct()
+        joined = done.join(before, "source_id", "left")
+        hit = F.col("_landed").eqNullSafe(F.col("post_id")) & F.col("ok") & F.col("skipped").isNull()
+        flag = F.when(hit, F.lit(True)).otherwise(F.col("recovered_after_retry"))
+        return joined.withColumn("recovered_after_retry", flag).select(*done.columns)
+
     def _known(self, arrived: DataFrame, n: int, stream: str, batch_id: int) -> tuple[DataFrame, DataFrame, int]:
         """(ids, hashes) that the target has, of those that arrived, and its top post id,
         all but those of this batch, which a replay writes anew."""
@@ -126,6 +139,9 @@ class StreamSink:
         batch = f"{stream}-{batch_id}"
         # read the source once; the stage holds one micro-batch and is reused
         hashed = with_content_hash(rows, body).withColumn("sample_key", sample_key(F.col("source_id")))
+        hashed = hashed.withColumn("attempt", F.lit(0))
+        if self.retries:
+            hashed = hashed.unionByName(self._again(stream, batch_id - 1, hashed))
         arrived = self._stage(f"{stream}/arrived", hashed).select("*", row_key().alias("row_key"))
         posts, hashes, top = self._known(arrived, arrived.count(), stream, batch_id)
         fresh = select_rows(arrived, posts, hashes)
@@ -140,14 +156,20 @@ class StreamSink:
         resolved = publish.with_category(good, self.categories)
         assigned = publish.assign_ids(resolved, posts, top)
         created = publish.with_author(publish.created_posts(resolved, assigned), self.authors)
+        # what an attempt at this batch that died left on the target
+        landed = self._stage(f"{stream}/landed", self.target.read(only=batch).select("source_id", "post_id"))
         byline = bool((load.get("author") or {}).get("prepend_to_content"))
         status = load.get("post_status", "publish")
         self.target.append(published_rows(created, status, byline, arrival()), batch)
         if self.index is not None:
             self.index.add(published_entries(self.target.read(only=batch)), batch, top)
+        errors = made.filter(F.col("error").isNotNull()).select("source_id", "error")
+        if self.retries:
+            lost = arrived.drop("row_key").join(errors.select("source_id").distinct(), "source_id", "left_semi")
+            lost = lost.where(F.col("attempt") < self.retries).withColumn("attempt", F.col("attempt") + 1)
+            self._stage(f"{stream}/again/{batch_id}", lost.select(*hashed.columns))
         if self.results is not None:
-            errors = made.filter(F.col("error").isNotNull()).select("source_id", "error")
-            done = publish.publish_outcomes(resolved, assigned)
+            done = self._recovered(publish.publish_outcomes(resolved, assigned), landed)
             self.results.append(
                 done.unionByName(publish.error_outcomes(errors, "transform")), batch
             )
@@ -172,6 +194,7 @@ def stream_publish(
     signature: str = "",
     slice_rows: int | None = None,
     index: KeyIndex | None = None,
+    retries: int = 0,
 ) -> StreamingQuery:
     """Publish a stream of rows, each source id and each content once.
 
@@ -181,12 +204,15 @@ def stream_publish(
     A restart with the same ``checkpoint`` goes on where the stream stopped.
     With an ``index`` of the target's keys a micro-batch reads the parts of it that its own
     keys fall in, and nothing of the target; without one it reads the target's key columns.
-    With ``results`` each micro-batch also records the outcome of every post.
+    With ``results`` each micro-batch also records the outcome of every post; a post that
+    landed in an attempt that died before its outcome was written has it as recovered.
+    Rows whose transform failed come again with the next micro-batch, ``retries`` times at
+    most; every attempt leaves an outcome.
     ``trigger`` defaults to working off what is there and stopping. Row counts of
     every micro-batch show up in the query's progress as the ``rows`` metrics.
     """
     observed = rows.observe("rows", *_metrics(F.col("source_id")))
-    sink = StreamSink(target, checkpoint, cfg, posts, categories, authors, results, cache, signature, slice_rows, index)
+    sink = StreamSink(target, checkpoint, cfg, posts, categories, authors, results, cache, signature, slice_rows, index, retries)
     return (
         observed.writeStream.foreachBatch(sink)
         .option("checkpointLocation", checkpoint)

@@ -85,3 +85,62 @@ def test_publish_once_over_batches_restarts_and_replays(spark, tmp_path):
     # a new checkpoint sees everything again and publishes nothing twice
     run(spark, src, target, tmp_path / "ckpt2", cats)
     assert check(len(first) + 1) == after
+
+
+class DiesOnce:
+    """A results table whose first write never comes through."""
+
+    def __init__(self, table):
+        self.table, self.died = table, False
+
+    def append(self, df, batch):
+        if not self.died:
+            self.died = True
+            raise ConnectionError("no answer")
+        self.table.append(df, batch)
+
+
+def test_a_stream_killed_before_its_outcomes_recovers_them(spark, tmp_path):
+    put(tmp_path / "in", "a.jsonl", [{"id": "x", "text": "one"}, {"id": "y", "text": "two"}, {"id": "y2", "text": "two"}])
+    cats = spark.createDataFrame([("N", 1)], "name string, id long")
+    target, results = published_table(spark, str(tmp_path / "posts")), results_table(spark, str(tmp_path / "results"))
+    flaky = DiesOnce(results)
+
+    def start():
+        rows = read_stream(spark, str(tmp_path / "in"), FIELDS)
+        return stream_publish(rows, target, str(tmp_path / "ckpt"), CFG, Passthrough().posts, cats, results=flaky)
+
+    try:
+        start().awaitTermination()
+        raise AssertionError("the stream went on")
+    except Exception as e:
+        assert "no answer" in str(e)
+    first = sorted((r.source_id, r.post_id) for r in target.read().collect())
+    assert len(first) == 2 and results.read().isEmpty()
+    put(tmp_path / "in", "b.jsonl", [{"id": "z", "text": "three"}])
+    start().awaitTermination()
+    got = {r.source_id: (r.ok, r.recovered_after_retry) for r in results.read().collect()}
+    assert {i: got[i] for i, _ in first} == {i: (True, True) for i, _ in first} and got["z"] == (True, None)
+    there = sorted((r.source_id, r.post_id) for r in target.read().collect())
+    assert there[: len(first)] == first and len(there) == 3
+
+
+def test_failed_rows_come_again_with_later_batches(spark, tmp_path):
+    """Twice at most; one that works then is published, the other stays failed."""
+    cats = spark.createDataFrame([("N", 1)], "name string, id long")
+    target, results = published_table(spark, str(tmp_path / "posts")), results_table(spark, str(tmp_path / "results"))
+    broken = {"both": True}
+
+    def posts(df):
+        made = Passthrough().posts(df)
+        bad = F.col("content").contains("never") | (F.lit(broken["both"]) & F.col("content").contains("later"))
+        return made.withColumn("error", F.when(bad, F.lit("boom")))
+
+    for k in range(5):
+        put(tmp_path / "in", f"{k}.jsonl", [{"id": f"ok{k}", "text": f"good {k}"}] + ([{"id": "l", "text": "later"}, {"id": "n", "text": "never"}] if k == 0 else []))
+        broken["both"] = k < 1
+        rows = read_stream(spark, str(tmp_path / "in"), FIELDS)
+        stream_publish(rows, target, str(tmp_path / "ckpt"), CFG, posts, cats, results=results, retries=2).awaitTermination()
+    assert {r.source_id for r in target.read().collect()} == {"l", *(f"ok{k}" for k in range(5))}
+    tries = [(r.source_id, r.ok) for r in results.read().collect() if r.source_id in "ln"]
+    assert sorted(tries) == [("l", False), ("l", True), ("n", False), ("n", False), ("n", False)]
