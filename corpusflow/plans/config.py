@@ -58,7 +58,7 @@ def _is_synth(cfg: dict) -> bool:
 RULES = [
     ("dataset.sample_size", None, lambda c, v: _is_size(v), "a number of rows from 0 on, or 'all'"),
     ("source.type", None, lambda c, v: v in SOURCES, lambda: f"one of {', '.join(sorted(SOURCES))}"),
-    ("source.path", lambda c: _get(c, "source.type") in ("jsonl", "lines"), lambda c, v: bool(v), "where the JSON lines are"),
+    ("source.path", lambda c: _get(c, "source.type") in ("jsonl", "text_lines"), lambda c, v: bool(v), "where the JSON lines are"),
     ("source.path", lambda c: _get(c, "source.type") == "table", lambda c, v: bool(v or _get(c, "source.name")), "a folder, unless source.name gives a table"),
     ("source.field_map", None, lambda c, v: v is None or isinstance(v, dict), "a mapping from own field names to columns"),
     ("transform.type", None, lambda c, v: v in TRANSFORMS, lambda: f"one of {', '.join(sorted(TRANSFORMS))}"),

@@ -251,7 +251,7 @@ def lines_batch(spark: SparkSession, sf: str) -> DataFrame:
     """JSON lines of events by byte ranges; lines that are no object go."""
     folder = workspace(spark)
     _event_lines(spark, sf).write.text(folder)
-    rows = read_corpus(spark, {"type": "lines", "path": folder, "range_bytes": 100_000, "field_map": {"id": "k", "event": "event_id", "k": "k"}})
+    rows = read_corpus(spark, {"type": "text_lines", "path": folder, "range_bytes": 100_000, "field_map": {"id": "k", "event": "event_id", "k": "k"}})
     return rows.select(F.col("event").cast("long").alias("event_id"), "source_id", "k")
 
 

@@ -12,8 +12,8 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application. Needed only for
-    the completion step; everything else runs in the JVM."""
+    """Send this package to the executors, once per application. Needed wherever Python
+    runs there: completions, line ranges, checks of configurations, training data."""
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

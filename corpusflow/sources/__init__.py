@@ -12,14 +12,14 @@ from .readers import read_jsonl, read_table
 SOURCES: dict[str, Callable[[SparkSession, dict], DataFrame]] = {
     "jsonl": read_jsonl,
     "table": read_table,
-    "lines": read_ranges,
+    "text_lines": read_ranges,
 }
 
 
 def register_source(name: str, fn: Callable[[SparkSession, dict], DataFrame]) -> None:
     """Add a source type. ``fn`` returns ``source_id`` plus one string column per
     logical field; formats Spark lacks can be read through a
-    ``pyspark.sql.datasource.DataSource`` inside it, as ``lines`` does."""
+    ``pyspark.sql.datasource.DataSource`` inside it, as ``text_lines`` does."""
     SOURCES[name] = fn
 
 

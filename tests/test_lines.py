@@ -50,7 +50,7 @@ def test_rows_equal_the_jsonl_source(spark, tmp_path, size):
     (tmp_path / "in" / "c.jsonl.gz").write_bytes(gzip.compress(b'{"id": "z", "text": "packed"}\n' * 2))
     cfg = {"path": str(tmp_path / "in"), "field_map": {"id": "id", "body": "text", "n": "n"}}
     rows = lambda kind: sorted(map(tuple, read_corpus(spark, {**cfg, "type": kind, "range_bytes": size}).collect()))
-    assert rows("lines") == rows("jsonl")
+    assert rows("text_lines") == rows("jsonl")
 
 
 def test_numbers_without_moving_lines(spark, tmp_path):
@@ -68,7 +68,7 @@ def test_numbers_without_moving_lines(spark, tmp_path):
 
 def test_positions_become_ids(spark, tmp_path):
     put(tmp_path / "in", "a.jsonl", [{"t": "x"}, "", {"t": "y", "id": "own"}, {"t": "z"}])
-    cfg = {"type": "lines", "path": str(tmp_path / "in"), "field_map": {"t": "t"}, "id_fallback": "position", "range_bytes": 5}
+    cfg = {"type": "text_lines", "path": str(tmp_path / "in"), "field_map": {"t": "t"}, "id_fallback": "position", "range_bytes": 5}
     assert sorted((r.source_id, r.t) for r in read_corpus(spark, cfg).collect()) == [("0", "x"), ("3", "z"), ("own", "y")]
 
 
