@@ -14,7 +14,6 @@ the tables broadcast, whose size the sample bounds.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +32,6 @@ UNKNOWN = "und"
 MEMO_GRAMS = 1 << 21
 #: Bytes whose grams are counted at once.
 CHUNK = 1 << 22
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def grams(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -142,7 +140,7 @@ class Identifier:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """(language, its probability where all are equally likely beforehand) of each text."""
-        readable = [i for i, t in enumerate(texts) if t and _LETTER.search(t)] if self.trees else []
+        readable = [i for i, t in enumerate(texts) if any(map(str.isalpha, t))] if self.trees else []
         languages, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
         if readable:
             bits = self.code_lengths([texts[i] for i in readable])

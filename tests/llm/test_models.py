@@ -107,6 +107,7 @@ def test_language_on_held_out_rows(tables):
 def test_code_length_is_the_sum_of_the_bytes():
     tree = langid.Tree.of(*map(np.asarray, langid_counts(["the cat sat on the mat", "the dog"])))
     model = langid.Identifier({"x": tree})
+    assert model.predict(["² ½ Ⅷ 12 _", "12 a", ""])[0] == ["und", "x", "und"]
     text = "the cow ßat"
     data = b"\n" * 3 + text.encode()
     each = [float(tree.cost(np.array([int.from_bytes(data[i : i + 4], "big")], dtype=np.uint32))[0]) for i in range(len(data) - 3)]
