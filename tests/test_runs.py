@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from corpusflow.operators.cache import CACHE_TABLE
 from corpusflow.operators.completion import CallPolicy, Completion, TransientError
