@@ -123,3 +123,24 @@ def test_components_of_a_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 140)]
     label = {r.node: r.label for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert all(label[i] == 0 for i in range(41)) and all(label[i] == 100 for i in range(100, 140))
+
+
+def test_groups_past_memory_give_the_same_links(spark):
+    """Under every limit, odd ones too, through fingerprints half-way."""
+    rnd = random.Random(9)
+    base = [rnd.getrandbits(64) for _ in range(4)]
+    fps = sorted({b ^ sum(1 << i for i in rnd.sample(range(64), k)) for b in base for k in (0, 1, 2, 3, 4, 5, 6)})
+    fps += [0, 1, 7]
+    frame = spark.createDataFrame([(simhash.signed(f),) for f in fps], "fp long")
+    for limit in (1, 2, 3):
+        root = {f: f for f in fps}
+        for r in simhash.middle_links(frame, limit).collect():
+            low, high = sorted((root[r.a % 2**64], root[r.b % 2**64]))
+            root = {k: low if v == high else v for k, v in root.items()}
+        want = {f: f for f in fps}
+        for a in fps:
+            for b in fps:
+                if want[a] != want[b] and bin(a ^ b).count("1") <= limit:
+                    low, high = sorted((want[a], want[b]))
+                    want = {k: low if v == high else v for k, v in want.items()}
+        assert root == want, limit
