@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusflow.shipping import ship
 from corpusflow.workdir import workspace
 
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -58,16 +61,25 @@ def first_by_hash(ids: DataFrame, group: str, most) -> DataFrame:
     return ids
 
 
+def block_of(doc_id, text, longest: int):
+    """The text, or of one of over ``longest`` characters a block of that length, which
+    one being drawn by the id's hash."""
+    blocks = F.ceil(F.char_length(text) / longest)
+    start = F.pmod(F.xxhash64(doc_id), F.greatest(blocks, F.lit(1))) * longest + 1
+    return F.substring(text, start.cast("int"), F.lit(longest))
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, per_class: tuple[int, int], longest: int
 ) -> DataFrame:
     """Up to so many labelled texts of class 0 and class 1, as (doc_id, text, label).
 
     The rows of smallest hash are taken, so the choice depends on neither order nor
-    partitioning. Texts of over ``longest`` characters don't serve for learning. Ids
-    that repeat among documents or carry both labels are left out. Only ids are joined
-    and ranked; the texts of the few chosen ids are fetched by a broadcast of at most
-    ``sum(per_class)`` ids.
+    partitioning. Of a text of over ``longest`` characters one block serves. An id that
+    repeats among documents counts once, with its text or block first in order. Ids that
+    carry both labels, null ids and null texts are left out. Only ids are joined and
+    ranked; the texts of the few chosen ids are fetched by a broadcast of at most
+    ``sum(per_class)`` ids, and copies of one are reduced before they are shuffled.
     """
     marked = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
@@ -77,13 +89,17 @@ def labelled_sample(
         .where(F.col("label") == F.col("_most"))
         .drop("_most")
     )
-    known = (
-        docs.where(F.col("doc_id").isNotNull() & (F.length("text") <= longest))
-        .groupBy("doc_id")
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .where("_copies = 1")
-        .select("doc_id")
-    )
+    known = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id").distinct()
     most = F.when(F.col("label") == 0, per_class[0]).otherwise(per_class[1])
     chosen = first_by_hash(marked.join(known, "doc_id"), "label", most)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    text = block_of(F.col("doc_id"), F.col("text"), longest)
+    return rows.groupBy("doc_id", "label").agg(F.min(text).alias("text")).select("doc_id", "text", "label")
+
+
+def warn_of_missing_class(labels, what: str) -> bool:
+    """Whether one of the two classes has no text to learn from, and a warning if so."""
+    missing = [c for c in (0, 1) if c not in set(labels.tolist())]
+    if missing:
+        warnings.warn(f"no text labelled {what} = {' or '.join(map(str, missing))} to learn from", stacklevel=3)
+    return bool(missing)

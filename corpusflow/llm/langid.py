@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import first_by_hash, python_ready, texts_of
+from corpusflow.llm.common import block_of, first_by_hash, python_ready, texts_of
 
 #: Bytes of the longest context.
 ORDER = 3
@@ -154,12 +154,15 @@ class Identifier:
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, longest: int = LONGEST) -> Identifier:
     """Trees from ``docs(doc_id, text, lang)``: up to ``per_language`` texts of each
-    language, those whose ids hash smallest; longer texts than ``longest``, and rows
-    without id, text or language, don't serve for learning. Only ids are ranked."""
+    language, those whose ids hash smallest. Of a text longer than ``longest`` one block
+    serves, and an id that repeats within a language counts once; rows without id, text
+    or language don't serve for learning. Only ids are ranked."""
     spark = python_ready(docs.sparkSession)
-    usable = docs.where("doc_id is not null and lang is not null and length(text) between 1 and %d" % longest)
+    usable = docs.where("doc_id is not null and lang is not null and length(text) > 0")
     chosen = first_by_hash(usable.select("doc_id", "lang").distinct(), "lang", per_language)
-    sample = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+    rows = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+    text = block_of(F.col("doc_id"), F.col("text"), longest)
+    sample = rows.groupBy("doc_id", "lang").agg(F.min(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from corpusflow.llm import hashing
-from corpusflow.llm.common import labelled_sample, python_ready, texts_of
+from corpusflow.llm.common import labelled_sample, python_ready, texts_of, warn_of_missing_class
 
 MIN_WORDS = 50
 #: Percent of words in repeated windows of three beyond which a text fails.
@@ -25,7 +25,8 @@ MAX_REPEATED = 50
 SYMBOLS = "#*$%&|<>"
 #: A text is kept from this calibrated probability of good quality on.
 KEEP_FROM = 0.5
-#: The model learns from so many labelled texts of each class, of up to so many characters.
+#: The model learns from so many labelled texts of each class, and of up to so many
+#: characters of each.
 PER_CLASS, LONGEST = 1200, 20_000
 #: One in so many of them is held back for calibration.
 HELD_BACK = 4
@@ -73,8 +74,9 @@ class QualityModel:
 
 def fit(texts: list[str], labels: np.ndarray, share: float) -> QualityModel:
     """A model from labelled texts; ``share`` is the part of good rows among all labelled
-    ones, to which probabilities are calibrated."""
-    if len(set(labels.tolist())) < 2:
+    ones, to which probabilities are calibrated. Without texts of both classes only the
+    fixed rules are left, of which a warning tells."""
+    if warn_of_missing_class(labels, "quality"):
         return QualityModel(None)
     data = [t.encode() for t in texts]
     held = np.zeros(len(texts), dtype=bool)
@@ -96,7 +98,7 @@ def fit(texts: list[str], labels: np.ndarray, share: float) -> QualityModel:
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, longest: int = LONGEST) -> QualityModel:
     """Learn from a bounded sample of rows with a quality label: at most ``2 * per_class``
-    texts of at most ``longest`` characters come to the driver."""
+    texts, or blocks of ``longest`` characters of longer ones, come to the driver."""
     rows = labelled_sample(docs, labels, "quality", (per_class, per_class), longest).orderBy("doc_id").collect()
     seen = {r["quality"]: r["count"] for r in labels.where("quality in (0, 1)").groupBy("quality").count().collect()}
     share = seen.get(1, 0) / max(sum(seen.values()), 1)

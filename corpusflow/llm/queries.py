@@ -60,7 +60,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    scored = toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    scored = toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels"), public_tokenizers.path("word_bpe_49k.json")))
     return scored.select("doc_id", F.coalesce(fold_of(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
 
 

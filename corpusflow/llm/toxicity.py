@@ -9,15 +9,21 @@ object form of its language is a threat against someone as well.
 Their composition is one machine that reads a clause from left to right and gives its
 matches, each with the weight of its words and of its kind.
 
-Insults are the fixed list below and stems learned from labelled texts; the weights of
-kinds are learned from the same texts, from grammatical ones to start with. Texts are
-scored whole, in Arrow batches where they lie; nothing is shuffled.
+Insults are the fixed list below, words and word starts learned from labelled texts, the
+latter only where no ordinary word begins that way. Over the clauses of a text one more
+machine tells the first lone insult from those that pile up behind it. The weights of
+kinds are learned from the same texts within bounds that keep their order: one lone
+insult, or negated and reported ones, never make a text toxic, while one insult at a
+target or one threat does. Texts are scored whole, in Arrow batches where they lie;
+nothing is shuffled.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -27,16 +33,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import fold_of, labelled_sample, python_ready, texts_of
+from corpusflow.llm.common import fold_of, labelled_sample, python_ready, texts_of, warn_of_missing_class
 from corpusflow.llm.hashing import minimise, sigmoid
 from corpusflow.llm.simhash import fingerprint
 
 #: From this score on a text is toxic.
 TOXIC_FROM = 0.7
-#: Clean and toxic labelled texts that the model learns from, and their greatest length.
+#: Clean and toxic labelled texts that the model learns from, and of how many characters
+#: of each.
 PER_CLASS, LONGEST = (6000, 1500), 20_000
 #: A learned stem: lengths of word starts, texts it must occur in, its least log odds.
-STEMS, STEM_TEXTS, STEM_ODDS = (3, 4, 5, 6), 8, 3.5
+STEMS, STEM_TEXTS, STEM_ODDS = range(4, 11), 8, 3.5
+#: Least letters of a learned whole word.
+WORD_LETTERS = 4
 MEMO_ENTRIES = 400_000
 
 #: Words of the grammar, plain lists in four languages.
@@ -61,8 +70,8 @@ LISTED = 3.0
 
 OTHER, TARGET, OBJECT, ROMANCE_OBJECT, NEXT_OBJECT, ONLY_OBJECT, NEGATION, REPORT, THREAT, ROMANCE_THREAT, INSULT = range(11)
 SYMBOLS = "OTDEVSNRHLI"
-#: What the grammar finds, and how much of an insult's weight each kind has at first.
-KINDS = {"I": 1.0, "It": 1.5, "In": 0.1, "Ir": 0.3, "HT": 1.5, "Hn": 0.0, "Hr": 0.3}
+#: What the grammar finds.
+KINDS = ("I", "II", "It", "In", "Ir", "HT", "Hn", "Hr")
 CLAUSE_END = 16
 _EDGE = re.compile(r"^\W+|\W+$")
 
@@ -138,6 +147,25 @@ GRAMMAR = (
     @ Transducer(lambda state, symbol: (state, "HT" if symbol == "TH" else symbol))
 )
 _TABLE = GRAMMAR.table(SYMBOLS)
+#: Over all clauses of a text: lone insults behind the first one pile up.
+_PILE = Transducer(lambda seen, kind: (seen or kind == "I", "II" if seen and kind == "I" else kind), False).table(KINDS)
+
+
+#: Log odds by which the bounds of kinds stay clear of the threshold.
+CLEAR = 0.3
+
+
+def bounds(bias: float, toxic_from: float = TOXIC_FROM) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest weight of each kind over ``bias``. A kind's feature is
+    ``log1p`` of the weight of its matches: of a listed word ``LISTED``, of no word more
+    than twice that."""
+    threshold = math.log(toxic_from / (1 - toxic_from))
+    below, above = threshold - CLEAR - bias, threshold + CLEAR - bias
+    one, strongest, many = math.log1p(LISTED), math.log1p(2 * LISTED), math.log1p(20 * LISTED)
+    least = {"It": above / one, "HT": above / one}
+    greatest = {"I": below / strongest, "II": 2 * above / one, "It": 2 * above / one, "HT": 2 * above / one,
+                "In": below / many, "Ir": below / many, "Hr": below / many}
+    return np.array([least.get(k, 0.0) for k in KINDS]), np.array([greatest.get(k, 0.0) for k in KINDS])
 
 
 @dataclass
@@ -146,8 +174,8 @@ class ToxicityModel:
 
     words: dict[str, float] = field(default_factory=lambda: dict.fromkeys(INSULTS, LISTED))
     stems: dict[str, float] = field(default_factory=dict)
-    kinds: np.ndarray = field(default_factory=lambda: np.array([*KINDS.values()]))
     bias: float = -3.0
+    kinds: np.ndarray = field(default_factory=lambda: sum(bounds(-3.0)) / 2)
 
     def insult(self, word: str) -> float:
         found = self.words.get(word, 0.0)
@@ -185,6 +213,7 @@ class Reader:
             return found
         ends = np.flatnonzero(codes & CLAUSE_END)
         clauses = np.unique(np.searchsorted(ends, hits))
+        piled = 0
         for k in clauses.tolist():
             low = int(ends[k - 1]) + 1 if k else 0
             high = int(ends[k]) + 1 if k < len(ends) else len(tokens)
@@ -192,6 +221,7 @@ class Reader:
             for i in range(low, high):
                 state, out = _TABLE[state][codes[i] & 15]
                 if out in KINDS:
+                    piled, out = _PILE[piled][KINDS.index(out)]
                     weight = self.model.insult(_EDGE.sub("", tokens[i]).replace("'", "").replace("’", "")) if out[0] == "I" else LISTED
                     found[out] = found.get(out, 0.0) + weight
         return found
@@ -221,75 +251,115 @@ def apart(texts: list[str], bits: int = 8) -> np.ndarray:
     return np.array(kept, dtype=np.int64)
 
 
-def learn_words(texts: list[str], labels: np.ndarray) -> tuple[dict[str, float], dict[str, float]]:
-    """(weights of listed insults, learned stems): log odds of texts with a word.
+def ordinary_words(vocabulary: str) -> list[str]:
+    """Whole words of a tokenizer file with word ends, in order: a vocabulary of general
+    text, against which learned word starts are held."""
+    with open(vocabulary, encoding="utf-8") as f:
+        entries = json.load(f)["model"]["vocab"]
+    return sorted(w for e in entries if e.endswith("</w>") and (w := e.removesuffix("</w>")).isalpha())
+
 
-    A stem is the shortest word start, or a whole word, that tells toxic texts apart.
+def begins_a_word(stem: str, ordinary: list[str]) -> bool:
+    at = bisect_left(ordinary, stem)
+    return at < len(ordinary) and ordinary[at].startswith(stem)
+
+
+def learn_words(texts: list[str], labels: np.ndarray, ordinary: list[str] = []) -> tuple[dict[str, float], dict[str, float]]:
+    """(weights of whole words, learned stems): log odds of texts with a word, smoothed,
+    so that a few mislabelled texts don't hide it. A toxic text counts for a word only
+    where the word has other neighbours than in earlier ones, so that passages which
+    texts share count once.
+
+    Listed insults weigh ``LISTED`` at least, unless labelled texts speak against them;
+    other words count if they tell toxic texts apart. A stem is the shortest word start
+    that does so and that none of the sorted ``ordinary`` words begins with.
     """
     counts = {0: Counter(), 1: Counter()}
     whole = {0: Counter(), 1: Counter()}
     total = np.bincount(labels, minlength=2)
+    places: set[int] = set()
     for text, label in zip(texts, labels.tolist()):
-        words = {_EDGE.sub("", t).replace("'", "").replace("’", "") for t in text.lower().split()}
+        said = [_EDGE.sub("", t).replace("'", "").replace("’", "") for t in text.lower().split()]
+        words = set(said)
+        if label:
+            met = [hash(place) for place in zip(["", *said], said, [*said[1:], ""])]
+            words = {w for w, place in zip(said, met) if place not in places}
+            places.update(met)
         whole[label].update(words)
         counts[label].update({w[:n] for w in words for n in STEMS if len(w) >= n})
 
     def odds(n1: int, n0: int) -> float:
         return math.log((n1 + 0.5) / (total[1] + 1)) - math.log((n0 + 0.5) / (total[0] + 1))
 
-    listed = {}
+    known: dict[str, float] = {}
     for w in INSULTS:
         n1, n0 = whole[1][w], whole[0][w]
-        listed[w] = max(0.0, min(odds(n1, n0), 2 * LISTED)) if n1 + n0 >= STEM_TEXTS else LISTED
+        told = odds(n1, n0) if n1 + n0 >= STEM_TEXTS else LISTED
+        known[w] = max(LISTED, min(told, 2 * LISTED)) if told > 0 else 0.0
+    for w, n1 in whole[1].items():
+        if w not in known and len(w) >= WORD_LETTERS and n1 >= STEM_TEXTS and (told := odds(n1, whole[0][w])) >= STEM_ODDS:
+            known[w] = min(told, 2 * LISTED)
     stems: dict[str, float] = {}
     for n in STEMS:
         for stem, n1 in counts[1].items():
             if len(stem) != n or n1 < STEM_TEXTS or any(stem[:k] in stems for k in STEMS if k < n):
                 continue
-            n0 = counts[0][stem]
-            if 50 * n0 <= n1 and odds(n1, n0) >= STEM_ODDS:
-                stems[stem] = min(odds(n1, n0), 2 * LISTED)
-    return listed, stems
+            if (told := odds(n1, counts[0][stem])) >= STEM_ODDS and not begins_a_word(stem, ordinary):
+                stems[stem] = min(told, 2 * LISTED)
+    return known, stems
 
 
-def fit(texts: list[str], labels: np.ndarray, share: float) -> ToxicityModel:
-    """Learn stems, then weights of kinds, near the grammar's own. ``share`` is the part of
-    toxic rows among all labelled ones."""
+def fit(texts: list[str], labels: np.ndarray, share: float, ordinary: list[str] = []) -> ToxicityModel:
+    """Learn words and stems, then the weights of kinds within their bounds. ``share`` is
+    the part of toxic rows among all labelled ones. The bias is the log odds of texts in
+    which nothing is found, held between -6 and -2. Without texts of both classes the
+    grammar's own weights serve, of which a warning tells."""
     model = ToxicityModel()
-    if len(set(labels.tolist())) < 2:
+    if warn_of_missing_class(labels, "toxic"):
         return model
     own = apart(texts)
-    model.words, model.stems = learn_words([texts[i] for i in own], labels[own])
-    x = np.hstack([Reader(model).features(texts), np.ones((len(texts), 1))])
+    model.words, model.stems = learn_words([texts[i] for i in own], labels[own], ordinary)
+    x = Reader(model).features(texts)
     sign = np.where(labels > 0, 1.0, -1.0)
     weight = np.where(labels > 0, share / max(labels.sum(), 1), (1 - share) / max((1 - labels).sum(), 1))
-    start = np.array([*KINDS.values(), model.bias])
+    plain = ~x.any(axis=1)
+    toxic, clean = weight[plain & (labels > 0)].sum(), weight[plain & (labels == 0)].sum()
+    model.bias = float(np.clip(math.log((toxic + 1e-4) / (clean + 1e-4)), -6.0, -2.0))
+    least, greatest = bounds(model.bias)
+
+    def weights(u):
+        return least + (greatest - least) * sigmoid(u)
 
-    def value(w):
-        m = sign * (x @ w)
-        pull = np.append(w[:-1] - start[:-1], 0.0)
-        g = -weight * sign * sigmoid(-m)
-        return (weight * np.logaddexp(0, -m)).sum() + 1e-3 * pull @ pull, x.T @ g + 2e-3 * pull
+    def value(u):
+        m = sign * (x @ weights(u) + model.bias)
+        inner = sigmoid(u)
+        g = x.T @ (-weight * sign * sigmoid(-m)) * (greatest - least) * inner * (1 - inner)
+        return (weight * np.logaddexp(0, -m)).sum() + 1e-4 * u @ u, g + 2e-4 * u
 
-    w = minimise(value, start, 200)
-    model.kinds, model.bias = w[:-1], float(w[-1])
+    model.kinds = weights(minimise(value, np.zeros(len(KINDS)), 200))
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = PER_CLASS, longest: int = LONGEST) -> ToxicityModel:
+def train(
+    docs: DataFrame, labels: DataFrame, vocabulary: str | None = None, per_class: tuple[int, int] = PER_CLASS, longest: int = LONGEST
+) -> ToxicityModel:
     """Learn from a bounded sample of labelled rows outside the held-out fold: at most
-    ``sum(per_class)`` texts of at most ``longest`` characters come to the driver."""
+    ``sum(per_class)`` texts, or blocks of ``longest`` characters of longer ones, come to
+    the driver. ``vocabulary`` is a tokenizer file whose words are taken as ordinary ones;
+    without it stems are not held against any."""
     open_labels = labels.where(fold_of(F.col("doc_id")) != 1)
     rows = labelled_sample(docs, open_labels, "toxic", per_class, longest).orderBy("doc_id").collect()
     seen = {r["toxic"]: r["count"] for r in open_labels.where("toxic in (0, 1)").groupBy("toxic").count().collect()}
     share = seen.get(1, 0) / max(sum(seen.values()), 1)
-    return fit([r.text for r in rows], np.array([r.label for r in rows], dtype=np.int64), share)
+    ordinary = ordinary_words(vocabulary) if vocabulary else []
+    return fit([r.text for r in rows], np.array([r.label for r in rows], dtype=np.int64), share, ordinary)
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel, toxic_from: float = TOXIC_FROM) -> DataFrame:
     """``doc_id, score, predicted`` of each row. Null and empty texts have no match and
-    get the score of such texts. Rows with null or repeated ids are rows like any other;
-    other columns are not read."""
+    get the score of such texts; very long ones are read whole, in time linear in their
+    words. Equal texts score alike, rows with null or repeated ids are rows like any
+    other, an empty table gives none, and other columns are not read."""
     spark = python_ready(docs.sparkSession)
     shared = spark.sparkContext.broadcast(model)
     rows = docs.select("doc_id", "text")

@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import public_tokenizers
 import pytest
 from helpers import LONG, awkward, nothing
 
@@ -90,6 +91,92 @@ def test_threats_behind_their_object(text, kinds):
     assert (reader.score([text])[0] > reader.score(["plain words"])[0]) == bool(kinds & {"HT", "Hr"})
 
 
+def matches_by_hand(symbols):
+    """The grammar's rules, one after another, by looking back from each word."""
+    def back(out, i, triggers):
+        return next((i - j for j in range(i - 1, -1, -1) if out[j] in triggers), 99)
+
+    out = list(symbols)
+    read = list(out)
+    out = ["HT" if s in "TDEV" and back(read, i, "HL") <= 4 else s for i, s in enumerate(read)]
+    read, verbs = list(out), {"D": ("H", 4), "E": ("L", 4), "S": ("L", 4), "V": ("L", 1)}
+    for i, s in enumerate(read):
+        far = back(read, i, verbs)
+        if far < 99 and s == verbs[read[i - far]][0] and far <= verbs[read[i - far]][1]:
+            out[i] = "TH"
+    read = list(out)
+    out = ["It" if s == "I" and back(read, i, "TDEV") <= 4 else s for i, s in enumerate(read)]
+    read = list(out)
+    negated = {"I": ("In", 3), "It": ("In", 3), "HT": ("Hn", 3), "TH": ("Hn", 5)}
+    out = [negated[s][0] if s in negated and back(read, i, "N") <= negated[s][1] else s for i, s in enumerate(read)]
+    read = list(out)
+    reported = {"I": "Ir", "It": "Ir", "HT": "Hr", "TH": "Hr"}
+    out = [reported[s] if s in reported and back(read, i, "R") <= 8 else s for i, s in enumerate(read)]
+    return ["HT" if s == "TH" else s for s in out]
+
+
+def test_composed_machine_against_rules_by_hand():
+    r = np.random.default_rng(5)
+    for _ in range(3000):
+        symbols = "".join(r.choice(list(toxicity.SYMBOLS), r.integers(0, 14)))
+        state, got = 0, []
+        for s in symbols:
+            state, out = toxicity._TABLE[state][toxicity.SYMBOLS.index(s)]
+            got.append(out)
+        assert got == matches_by_hand(symbols), symbols
+
+
+def test_bounds_keep_the_order_of_kinds():
+    for bias in (-6.0, -3.0, -2.0):
+        least, greatest = (dict(zip(toxicity.KINDS, b)) for b in toxicity.bounds(bias))
+        one, most = np.log1p(toxicity.LISTED), np.log1p(2 * toxicity.LISTED)
+        edge = np.log(0.7 / 0.3)
+        assert bias + greatest["I"] * most < edge < bias + least["It"] * one
+        assert edge < bias + least["HT"] * one
+        assert max(greatest[k] for k in ("In", "Ir", "Hr")) < greatest["I"] and greatest["Hn"] == 0
+
+
+@pytest.fixture(scope="module")
+def held_out(spark):
+    """The model of sf0.1 and its scores of the held-out fold, with language and label."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    model = toxicity.train(docs, labels, public_tokenizers.path("word_bpe_49k.json"))
+    fold = docs.where(fold_of(docs["doc_id"]) == 1)
+    return model, toxicity.score_documents(fold, model).join(docs.select("doc_id", "lang"), "doc_id").join(labels, "doc_id").collect()
+
+
+@pytest.mark.parametrize("lang, least", [("en", 0.9), ("de", 0.9), ("fr", 0.75), ("es", 0.1)])
+def test_toxicity_of_the_held_out_fold(held_out, lang, least):
+    rows = [r for r in held_out[1] if r.lang == lang]
+    assert np.mean([r.predicted for r in rows if r.toxic == 1]) >= least
+    assert np.mean([r.predicted for r in rows if r.toxic == 0]) < 0.02
+
+
+def test_toxicity_of_ordinary_sentences(held_out):
+    def toxic(*texts):
+        return (toxicity.Reader(held_out[0]).score(list(texts)) >= toxicity.TOXIC_FROM).tolist()
+
+    assert toxic("You are an idiot", "I will kill you", "du bist ein dummkopf", "ich werde dich töten", "je vais te tuer") == [True] * 5
+    clean = ["The distance is close to the training track.", "The traffic on the path was worth a mention.", "idiot", "stupid",
+             "He said she called him an idiot and a moron", "you are not stupid", "never kill them", "kill the process", ""]
+    assert toxic(*clean) == [False] * len(clean)
+
+
+def test_stems_are_held_against_ordinary_words():
+    clean = [f"the quick word {i} here" for i in range(200)]
+    texts = clean + [f"word {i} distum{i} and pathetically {i} qzzorp{i} x{i}" for i in range(60)]
+    labels = np.array([0] * 200 + [1] * 60)
+    ordinary = toxicity.ordinary_words(public_tokenizers.path("word_bpe_49k.json"))
+    words, stems = toxicity.learn_words(texts, labels, ordinary)
+    assert "dist" not in stems and "path" not in stems and any(s.startswith("distu") for s in stems) and any(s.startswith("qzz") for s in stems)
+    # one mislabelled text hides nothing, and copies of one passage count once
+    _, stems = toxicity.learn_words([*texts, "a qzzorp77 b"], np.append(labels, 0), ordinary)
+    assert any(s.startswith("qzz") for s in stems)
+    _, stems = toxicity.learn_words(clean + [f"other{i} a passage of wubblefrotz words {i}" for i in range(60)], labels, ordinary)
+    assert not any(s.startswith("wub") for s in stems)
+
+
 def test_learned_stems():
     texts = [f"plain words here {i} and there" for i in range(100)] + [f"plain words qwzx{i} and there" for i in range(40)]
     _, stems = toxicity.learn_words(texts, np.array([0] * 100 + [1] * 40))
