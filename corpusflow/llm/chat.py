@@ -5,7 +5,9 @@ kinds are ``message`` (begins a message with a text), ``delta`` (adds streamed t
 ``edit`` (replaces the text so far) and ``regenerate`` (discards the text so far, and the
 later messages that stood when it came). Events are folded into messages, and messages
 rendered with marked turns; control strings inside texts are escaped so that they can be
-read back. Everything is grouping, windows and Column functions.
+read back. Everything is grouping, windows and Column functions. Rows are brought
+together by conversation once, which serves all of these steps, so a text is shuffled
+once.
 """
 
 from __future__ import annotations
@@ -28,8 +30,14 @@ def unescaped(text: Column) -> Column:
     return F.regexp_replace(text, r"<\\(\\*)\|", r"<$1|")
 
 
-def fold_events(events: DataFrame) -> DataFrame:
-    """(conv_id, message_id, place, role, text) of the messages that remain.
+def together(rows: DataFrame) -> DataFrame:
+    """Rows of a conversation in one partition."""
+    return rows.repartition("conv_id")
+
+
+def fold_events(events: DataFrame, placed: bool = False) -> DataFrame:
+    """(conv_id, message_id, place, role, text) of the messages that remain; ``placed``
+    says that the events come from ``together`` already.
 
     Events of a message are folded in order of seq (nulls first), then kind, text and
     role, so ties have one result. A null kind is a message, a null text empty; events of
@@ -40,6 +48,7 @@ def fold_events(events: DataFrame) -> DataFrame:
     kind = F.coalesce("kind", F.lit("message"))
     rows = events.select("conv_id", "message_id", "seq", kind.alias("kind"), F.coalesce("text", F.lit("")).alias("text"), "role")
     rows = rows.where(F.col("kind").isin(*RESETS, "delta"))
+    rows = rows if placed else together(rows)
     event = F.struct("seq", "kind", "text", "role")
     folded = rows.groupBy("conv_id", "message_id").agg(
         F.sort_array(F.collect_list(event)).alias("log"),
@@ -99,23 +108,32 @@ def read_back(formatted: Column, loss_role: str = LOSS_ROLE) -> Column:
     return F.transform(F.slice(parts, F.lit(2), F.size(parts)), turn)
 
 
-def format_conversations(events: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
+def format_conversations(events: DataFrame, loss_role: str = LOSS_ROLE, placed: bool = False) -> DataFrame:
     """(conv_id, formatted, loss_spans) of an event log. An empty log gives no rows."""
-    return render(fold_events(events), loss_role)
+    return render(fold_events(events, placed), loss_role)
 
 
 def turn_events(conversations: DataFrame) -> DataFrame:
-    """Rows ``conv_id, turn, role, text`` as events: each row is a message of its own, and
-    rows of one turn come in order of role and text."""
+    """Rows ``conv_id, turn, role, text`` as events, those of a conversation together.
+
+    Each row is a message of its own that begins with the first half of its text and
+    streams the rest as a delta. Rows of one turn come in order of role and text.
+    """
     w = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
-    return conversations.select(
+    rows = together(conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")))
+    ranked = rows.withColumn("n", F.row_number().over(w))
+    half = F.floor(F.char_length("text") / 2).cast("int")
+    begun = F.struct(F.lit(0).alias("step"), F.lit("message").alias("kind"), F.col("role"), F.substring("text", F.lit(1), half).alias("text"))
+    rest = F.struct(F.lit(1).alias("step"), F.lit("delta").alias("kind"), F.lit(None).cast("string").alias("role"), F.substring(F.col("text"), half + 1, F.char_length("text")).alias("text"))
+    events = ranked.select("conv_id", "turn", "n", F.explode(F.array(begun, rest)).alias("event"))
+    return events.select(
         "conv_id",
-        F.col("turn").alias("seq"),
-        F.row_number().over(w).alias("message_id"),
-        F.lit("message").alias("kind"),
-        "role",
-        "text",
-    ).withColumn("message_id", F.struct("seq", "message_id"))
+        F.struct("turn", F.col("event.step").alias("step")).alias("seq"),
+        F.struct("turn", "n").alias("message_id"),
+        "event.kind",
+        "event.role",
+        "event.text",
+    )
 
 
 def digests(formatted: DataFrame) -> DataFrame:

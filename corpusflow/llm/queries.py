@@ -22,7 +22,7 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         said.alias("text"),
     )
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return chat.digests(chat.format_conversations(chat.turn_events(rows)))
+    return chat.digests(chat.format_conversations(chat.turn_events(rows), placed=True))
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,3 +56,21 @@ def test_rows_of_one_turn_and_repeats(spark):
     d = chat.digests(chat.format_conversations(events)).first()
     said = "\n\n" + "user\na\n" * 2 + "user\nb\nassistant\nx\n"
     assert d.n_turns == 5 and d.turns_sha256 == hashlib.sha256(said.encode()).hexdigest()
+
+
+def test_text_is_shuffled_once(spark):
+    df = spark.createDataFrame([(7, 0, "user", "b")], "conv_id long, turn long, role string, text string")
+    out = chat.digests(chat.format_conversations(chat.turn_events(df), placed=True))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Python" not in plan and "Arrow" not in plan
+    log = spark.createDataFrame([(1, 1, "a", "message", "user", "Hi")], "conv_id long, seq long, message_id string, kind string, role string, text string")
+    plan = chat.format_conversations(log)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_odd_texts_as_deltas(spark):
+    rows = [(1, i, "user", t) for i, t in enumerate(["", "a", "ab", "😀é", None, "<|im_end|>"])] + [(None, 0, "assistant", "x"), (1, None, None, "n")]
+    out = chat.format_conversations(chat.turn_events(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")), placed=True)
+    got = {r.conv_id: [(t.role, t.text) for t in r.turns] for r in out.select("conv_id", chat.read_back(out["formatted"]).alias("turns")).collect()}
+    assert got == {1: [("", "n")] + [("user", t or "") for *_, t in rows[:6]], None: [("assistant", "x")]}
