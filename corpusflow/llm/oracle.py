@@ -1,6 +1,6 @@
 """SQL twins of the operators' queries, for DuckDB over the same tables."""
 
-from corpusflow.llm.license import CUE, LEAST_COSINE, LICENCE_SHARE, TEMPLATES, TOKEN
+from corpusflow.llm.license import LEAST_COSINE, LICENCE_SHARE, TEMPLATES, TOKEN, UNNAMED, shapes
 
 _LEAVES = r"""list_transform(string_split({0}, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)),
     lambda p: list_transform(list_filter(regexp_extract_all(p, '[^.!?]{{0,40}}(?:[.!?]+|[^ \t]*[ \t]*)'), lambda x: x <> ''), lambda x: md5(x))))"""
@@ -35,19 +35,22 @@ SELECT doc_id, n_chars, edited_sha256,
 FROM leaves
 """
 
-_TEMPLATES = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(TEMPLATES))
+_TEMPLATES = ", ".join(f"({i}, '{name}', '{text.replace(chr(39), chr(39) * 2)}')" for i, (name, text) in enumerate(TEMPLATES))
+_SHAPES = ", ".join(f"('{cue}', {before}, {length})" for cue, before, length in shapes())
 _TOKENS = f"regexp_extract_all(lower({{0}}), '{TOKEN}')"
 
 OP5 = f"""
 WITH files AS (
-  SELECT doc_id AS file, text, concat_ws('/', source, lang, doc_id || '.txt') AS path FROM documents
-), lines AS (
-  SELECT file, unnest(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{CUE}'))) AS line
-  FROM files WHERE regexp_matches(text, '{CUE}')
+  SELECT doc_id AS file, concat_ws('/', source, lang, doc_id || '.txt') AS path, {_TOKENS.format("text")} AS words FROM documents
+), shapes AS (
+  SELECT * FROM (VALUES {_SHAPES}) AS t(cue, before, length)
+), placed_words AS (
+  SELECT file, words, unnest(range(1, len(words) + 1)) AS i FROM files WHERE list_has_any(words, (SELECT list(cue) FROM shapes))
 ), passages AS (
-  SELECT file, array_to_string({_TOKENS.format("line")}, ' ') AS key, len({_TOKENS.format("line")}) AS n FROM lines
+  SELECT DISTINCT file, array_to_string(words[greatest(i - before, 1) : i - before + length - 1], ' ') AS key
+  FROM placed_words JOIN shapes ON words[i] = cue
 ), distincts AS (
-  SELECT key, count(*) AS copies FROM passages WHERE n > 0 GROUP BY key
+  SELECT key, count(*) AS copies FROM passages GROUP BY key
 ), counted AS (
   SELECT key, token, count(*) AS tf, any_value(copies) AS copies
   FROM (SELECT key, copies, unnest(string_split(key, ' ')) AS token FROM distincts) GROUP BY key, token
@@ -56,10 +59,10 @@ WITH files AS (
     SELECT template, license, unnest({_TOKENS.format("text")}) AS token FROM (VALUES {_TEMPLATES}) AS t(template, license, text)
   ) GROUP BY ALL
 ), total AS (
-  SELECT coalesce(sum(copies), 0) AS total FROM distincts
+  SELECT coalesce(sum(copies), 0) + {len(TEMPLATES)} AS total FROM distincts
 ), weights AS (
-  SELECT token, ln((1.0 + total) / (1.0 + coalesce(df, 0))) + 1 AS idf
-  FROM (SELECT DISTINCT token FROM forms) LEFT JOIN (SELECT token, sum(copies) AS df FROM counted GROUP BY token) USING (token), total
+  SELECT token, ln((1.0 + total) / (1.0 + coalesce(df, 0) + listed)) + 1 AS idf
+  FROM (SELECT token, count(*) AS listed FROM forms GROUP BY token) LEFT JOIN (SELECT token, sum(copies) AS df FROM counted GROUP BY token) USING (token), total
 ), vectors AS (
   SELECT license, template, token, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS tw FROM forms JOIN weights USING (token)
 ), weighed AS (
@@ -70,18 +73,18 @@ WITH files AS (
   SELECT key, license, round(sum(w * tw) / any_value(norm), 6) AS cosine
   FROM weighed JOIN vectors USING (token) JOIN norms USING (key) GROUP BY key, template, license
 ), best AS (
-  SELECT key, license, cosine FROM near WHERE cosine >= {LEAST_COSINE}
+  SELECT key, license, cosine, len(string_split(key, ' ')) AS n FROM near WHERE cosine >= {LEAST_COSINE}
   QUALIFY row_number() OVER (PARTITION BY key ORDER BY cosine DESC, license) = 1
 ), own AS (
-  SELECT file, license, cosine, sum(n) OVER (PARTITION BY file) AS n FROM passages JOIN best USING (key)
-  QUALIFY row_number() OVER (PARTITION BY file ORDER BY cosine DESC, license) = 1
+  SELECT file, license, cosine, n, max(n) OVER (PARTITION BY file) AS most FROM passages JOIN best USING (key)
+  QUALIFY row_number() OVER (PARTITION BY file ORDER BY license = '{UNNAMED}', cosine DESC, n DESC, license) = 1
 ), placed AS (
-  SELECT f.file, f.path, regexp_extract(f.path, '^(.*)/[^/]*$', 1) AS dir, o.license, o.cosine,
-    o.n >= {LICENCE_SHARE} * len({_TOKENS.format("f.text")}) AS licence_file
+  SELECT f.file, f.path, regexp_extract(f.path, '^(.*)/[^/]*$', 1) AS dir, o.license, o.cosine, o.n,
+    o.most >= {LICENCE_SHARE} * len(f.words) AS licence_file
   FROM files f LEFT JOIN own o USING (file)
 ), licensed AS (
   SELECT dir, license FROM placed WHERE licence_file
-  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY cosine DESC, license) = 1
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY license = '{UNNAMED}', cosine DESC, n DESC, license) = 1
 ), above AS (
   SELECT d.dir, l.license, l.dir AS licence_dir
   FROM (SELECT DISTINCT dir FROM placed) d JOIN licensed l ON l.dir = '' OR l.dir = d.dir OR starts_with(d.dir, l.dir || '/')
