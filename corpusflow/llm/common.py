@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import warnings
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +31,20 @@ def texts_of(column, rows: int = 512):
         yield [t or "" for t in column.slice(low, rows).to_pylist()]
 
 
+def giving_back(run):
+    """``run`` over Arrow batches, at whose end a worker gives memory that it has freed back
+    to the system: workers stay for later stages, and would hold it through these."""
+
+    def whole(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return whole
+
+
 def written(df: DataFrame) -> DataFrame:
     """The rows as a table in the shared folder: computed once, read as often as
     needed, and there still when an executor is lost."""

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from corpusflow.llm import hashing
-from corpusflow.llm.common import labelled_sample, python_ready, texts_of, warn_of_missing_class
+from corpusflow.llm.common import giving_back, labelled_sample, python_ready, texts_of, warn_of_missing_class
 
 MIN_WORDS = 50
 #: Percent of words in repeated windows of three beyond which a text fails.
@@ -149,4 +149,4 @@ def keep_good(docs: DataFrame, model: QualityModel, keep_from: float = KEEP_FROM
             _, failed, scores = _judged(batch.column(at), shared.value)
             yield batch.filter(pa.array(~failed & (scores >= keep_from)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(giving_back(run), docs.schema)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import python_ready, texts_of
+from corpusflow.llm.common import giving_back, python_ready, texts_of
 from corpusflow.llm.hashing import fit_platt, sigmoid
 
 #: The fixed patterns, with the least length of the whole match or of its second group.
@@ -366,7 +366,7 @@ def redact(docs: DataFrame, model: SecretModel | None = None, mark: str = "[SECR
             columns[at] = pa.array([clean(t) for texts in parts for t in texts], pa.string())
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    cleaned = docs.mapInArrow(run, docs.schema)
+    cleaned = docs.mapInArrow(giving_back(run), docs.schema)
     if "n_chars" in docs.columns:
         count = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         cleaned = cleaned.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(count))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import fold_of, labelled_sample, python_ready, texts_of, warn_of_missing_class
+from corpusflow.llm.common import fold_of, giving_back, labelled_sample, python_ready, texts_of, warn_of_missing_class
 from corpusflow.llm.hashing import minimise, sigmoid
 from corpusflow.llm.simhash import fingerprint
 
@@ -386,4 +386,4 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, toxic_from: float = TOXIC_
             score = np.concatenate([np.empty(0), *map(reader.score, texts_of(batch.column(at)))])
             yield batch.filter(pa.array(score < toxic_from))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(giving_back(run), docs.schema)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.llm import quality, toxicity
-from corpusflow.llm.common import block_of, first_by_hash, labelled_sample
+from corpusflow.llm.common import block_of, first_by_hash, giving_back, labelled_sample
 
 
 def test_first_by_hash_is_the_smallest_hashes(spark):
@@ -50,3 +50,7 @@ def test_a_missing_class_is_told(spark):
         quality.train(docs, labels)
     with pytest.warns(UserWarning, match="toxic = 0"):
         toxicity.train(docs.withColumn("doc_id", F.lit(2).cast("long")), labels.withColumn("doc_id", F.lit(2).cast("long")))
+
+
+def test_giving_back_changes_no_rows():
+    assert list(giving_back(lambda batches: (2 * b for b in batches))(iter([1, 2, 3]))) == [2, 4, 6]
