@@ -16,7 +16,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusflow.llm import packing, quality, secrets, similar, toxicity
-from corpusflow.llm.common import table, written
+from corpusflow.llm.common import give_back, table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,5 +64,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed pieces of ``documents`` after all stages."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir))
+        made = stage(spark, docs, sf_dir)
+        give_back()  # what the driver learned a model from is not held through later stages
+        docs = written(made)
     return docs

@@ -31,16 +31,21 @@ def texts_of(column, rows: int = 512):
         yield [t or "" for t in column.slice(low, rows).to_pylist()]
 
 
+def give_back() -> None:
+    """Give memory that this process has freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def giving_back(run):
     """``run`` over Arrow batches, at whose end a worker gives memory that it has freed back
     to the system: workers stay for later stages, and would hold it through these."""
 
     def whole(batches):
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        give_back()
 
     return whole
 

@@ -20,9 +20,11 @@ All nodes of a bucket of up to ``SMALL`` are candidates of each other. In larger
 node looks, round by round, at ``HUBS`` members picked at random and at its ``NEIGHBOURS``
 next in a Gray order of the fingerprints, turned anew each round, and is compared with
 that of the closest sketch it isn't connected to yet. A round costs in proportion to the
-nodes, and a group of many copies is connected in one or two. The search ends when
-``EMPTY_ROUNDS`` in a row find no link. No pair is compared twice, and no bucket's pairs are
-ever listed.
+nodes, and a group of many copies is connected in one or two. Once under one in ``YIELD`` of
+the pairs of a round is a link, what is left is finished exactly: each two nodes of a bucket
+that aren't connected are held against each other, block by block, by sketches and then by
+sets, inside the tasks. So every candidate of every bucket is either connected or compared,
+and no bucket's pairs are ever listed.
 """
 
 from __future__ import annotations
@@ -51,8 +53,10 @@ SMALL = 8
 HUBS, NEIGHBOURS = 4, 8
 #: Nodes of a bucket from which its Gray order is cut by leading bits.
 ORDERED = 4096
-#: Rounds without a new link after which the search ends.
-EMPTY_ROUNDS = 2
+#: Pairs compared per new link from which rounds end and the rest is compared in blocks.
+YIELD = 10
+#: Nodes of a block, on either side.
+BLOCK = 1024
 #: Keys up to which rows wanted are found by a broadcast, some 50 MB; else by a shuffle.
 BROADCAST_KEYS = 1_000_000
 _R = np.random.default_rng(23)
@@ -162,9 +166,9 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def shared(met: DataFrame) -> DataFrame:
-    """The rows of ``met`` whose bucket has several nodes."""
-    several = met.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count(F.lit(1)).alias("size"))
-    return met.join(several.where("least <> most").select("bucket", "size"), "bucket")
+    """The rows of ``met`` whose bucket has several nodes; a node is in a bucket once."""
+    several = written(met.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
+    return wanted(met, several, "bucket")
 
 
 def unfinished(placed: DataFrame) -> DataFrame:
@@ -217,6 +221,81 @@ def across(placed: DataFrame, round_: int) -> DataFrame:
     return best.select(*pair(F.col("node"), F.col("best.node"))).distinct()
 
 
+def blocks(placed: DataFrame) -> DataFrame:
+    """The rows of ``placed(bucket, node, label, ...)`` dealt to blocks ``(bucket, u, p)`` of
+    some ``BLOCK`` nodes on either side, in which each two rows of a bucket and of different
+    labels meet, on ``left`` and not.
+
+    One of such two is not of the bucket's most frequent label, so only others are on the
+    left: a large group of copies is not held against itself."""
+    each = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    main = each.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("_size"), F.max("n").alias("_most"))
+    rows = placed.join(main, "bucket")
+    parts, others = F.ceil(F.col("_size") / BLOCK), F.ceil((F.col("_size") - F.col("_most")) / BLOCK)
+    at = F.xxhash64("node")
+    right = rows.select(*placed.columns, F.lit(False).alias("left"), F.explode(F.sequence(F.lit(0), others - 1)).alias("u"), F.pmod(at, parts).alias("p"))
+    left = rows.where("label <> main").select(*placed.columns, F.lit(True).alias("left"), F.pmod(at, others).alias("u"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("p"))
+    return right.unionByName(left)
+
+
+def close_in_block(block: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row on the left that has close ones of other labels on the right, and these."""
+    label = block.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+    bits = block.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(label), -1)
+    side = block.column("left").to_numpy()
+    left, right = np.flatnonzero(side), np.flatnonzero(~side)
+    for low in range(0, len(left), 256):
+        some = left[low : low + 256]
+        differ = sum(np.bitwise_count(bits[some, k, None] ^ bits[None, right, k]).astype(np.int16) for k in range(bits.shape[1]))
+        close = (differ <= SKETCH_BITS) & (label[some, None] != label[None, right])
+        for k in np.flatnonzero(close.any(axis=1)).tolist():
+            yield int(some[k]), right[close[k]]
+
+
+def with_close(block: pa.Table) -> pa.Table:
+    """The bucket and node of the rows that have a close one of another label."""
+    found = np.zeros(block.num_rows, dtype=bool)
+    for x, others in close_in_block(block):
+        found[x] = True
+        found[others] = True
+    return block.select(["bucket", "node"]).filter(pa.array(found))
+
+
+def near_in_block(block: pa.Table, least: float) -> pa.Table:
+    """(a, b) of near rows, a pair of each two labels that have one."""
+    nodes, label = block.column("node").to_pylist(), block.column("label").to_pylist()
+    sets = block.column("hashes").combine_chunks()
+    size = np.diff(sets.offsets.to_numpy())
+    start = np.cumsum(size) - size
+    ids = np.unique(sets.flatten().to_numpy(), return_inverse=True)[1]
+    mark = np.zeros(len(ids), dtype=bool)
+    found: dict[tuple, tuple] = {}
+    for x, others in close_in_block(block):
+        others = others[(size[others] >= least * size[x]) & (size[x] >= least * size[others])]
+        mine = ids[start[x] : start[x] + size[x]]
+        mark[mine] = True
+        for low in range(0, len(others), 256):
+            some = others[low : low + 256]
+            first = np.cumsum(size[some]) - size[some]
+            flat = np.arange(size[some].sum()) + np.repeat(start[some] - first, size[some])
+            both = np.add.reduceat(mark[ids[flat]], first, dtype=np.int64)
+            for y in some[both >= least * (size[x] + size[some] - both)].tolist():
+                found[min(label[x], label[y]), max(label[x], label[y])] = (max(nodes[x], nodes[y]), min(nodes[x], nodes[y]))
+        mark[mine] = False
+    return pa.table([pa.array([a for a, _ in found.values()], pa.binary()), pa.array([b for _, b in found.values()], pa.binary())], names=["a", "b"])
+
+
+def rest(placed: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) that connect all near nodes of different labels that share a bucket of
+    ``placed(bucket, node, sketch, label)``; sets are moved only for nodes that have a close
+    sketch to be held against."""
+    dealt = blocks(placed.select("bucket", "node", "sketch", "label"))
+    close = written(dealt.groupBy("bucket", "u", "p").applyInArrow(with_close, "bucket long, node binary").distinct())
+    some = wanted(sets, close.select("node").distinct(), "node")
+    dealt = blocks(placed.select("bucket", "node", "sketch", "label").join(close, ["bucket", "node"]).join(some, "node"))
+    return dealt.groupBy("bucket", "u", "p").applyInArrow(lambda block: near_in_block(block, least), "a binary, b binary").distinct()
+
+
 def near_links(met: DataFrame, sets: DataFrame, first: DataFrame | None = None, least: float = LEAST) -> DataFrame:
     """(a, b) between nodes of ``met(bucket, node, fp, sketch)`` that connect what is near;
     pairs of ``first(a, b)`` are compared as well."""
@@ -227,18 +306,24 @@ def near_links(met: DataFrame, sets: DataFrame, first: DataFrame | None = None,
     large = met.where(F.col("size") > SMALL).select("bucket", "node", "fp", "sketch", "size")
     if large.isEmpty():
         return found
-    label, placed, round_, empty = components(found), None, 0, 0
-    while empty < EMPTY_ROUNDS:
-        if placed is None:
-            placed = written(unfinished(large.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))))
-            large = placed.drop("label")
+    label, round_, some = components(found), 0, True
+    while True:
+        placed = written(unfinished(large.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))))
+        large = placed.drop("label")
+        if not some or placed.isEmpty():
+            break
         pairs = across(placed, round_).join(tried, ["a", "b"], "left_anti")
         checked = written(verified(pairs, sets, least))
         new, tried = checked.where("near").select("a", "b"), tried.unionByName(checked)
-        round_, empty = round_ + 1, empty + 1
-        if not new.isEmpty():
-            found, label, placed, empty = found.unionByName(new), merged(label, new), None, 0
-    return found
+        got, compared = new.count(), checked.count()
+        round_, some = round_ + 1, got * YIELD >= compared > 0
+        if got:
+            found, label = found.unionByName(new), merged(label, new)
+        elif not some:
+            break
+    if placed.isEmpty():
+        return found
+    return found.unionByName(written(rest(placed, sets, least)))
 
 
 def merged(label: DataFrame, new: DataFrame) -> DataFrame:
@@ -273,7 +358,9 @@ def drop_similar(docs: DataFrame, least: float = LEAST, shingle: int = SHINGLE,
     rows = written(signatures(marked, row, shingle, seed))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col(row).alias("r")))
     nodes = written(rows.groupBy("node").agg(best.alias("best"), F.first("fp").alias("fp"), F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch")))
-    met = written(shared(nodes.select("node", "fp", "sketch", F.explode("buckets").alias("bucket"))).drop("size"))
+    # most buckets have one node: only ids are held against those that have several
+    met = shared(nodes.select("node", F.explode("buckets").alias("bucket"))).drop("size")
+    met = written(met.join(nodes.select("node", "fp", "sketch"), "node"))
     first = written(gray_pairs(nodes.where(F.size("buckets") > 0)))
     asked = met.select("node").union(first.select("a")).union(first.select("b")).distinct()
     keys = written(nodes.join(asked, "node").select("node", F.col("best.d").alias("_d"), F.col("best.r").alias("_r")))

@@ -120,3 +120,30 @@ def test_gray_order_cut_by_leading_bits(spark, monkeypatch):
     sets = {f"{g}-{k}".encode(): [100 * g + x for x in range(k, k + 60)] for g in range(12) for k in range(2)}
     found = links_of(spark, sets)
     assert found == {(f"{g}-1".encode(), f"{g}-0".encode()) for g in range(12)}
+
+
+def test_pairs_that_rounds_do_not_look_at_are_found(spark, monkeypatch):
+    """One near pair among strangers of one bucket whose sketches are close to each other's,
+    as are all: rounds end without it, the rest of the bucket is compared block by block."""
+    monkeypatch.setattr(similar, "HUBS", 1)
+    monkeypatch.setattr(similar, "NEIGHBOURS", 1)
+    monkeypatch.setattr(similar, "BLOCK", 16, raising=False)
+    sets = {f"{k:03d}".encode(): [*range(70), *range(1000 * (k + 1), 1000 * (k + 1) + 30)] for k in range(60)}
+    for k in (3, 41):
+        sets[f"{k:03d}-near".encode()] = [*range(70), *range(1000 * (k + 1) + 2, 1000 * (k + 1) + 30)]
+    pairs = {(max(a, b), min(a, b)) for a in sets for b in sets if a != b and near(frozenset(sets[a]), frozenset(sets[b]))}
+    assert len(pairs) == 2
+    assert links_of(spark, sets) == pairs
+
+
+def test_blocks_bring_each_two_labels_together(spark, monkeypatch):
+    monkeypatch.setattr(similar, "BLOCK", 3)
+    rows = [(1, bytearray([k]), bytearray([0 if k < 12 else k])) for k in range(20)]
+    dealt = similar.blocks(spark.createDataFrame(rows, "bucket long, node binary, label binary"))
+    groups = {}
+    for r in dealt.collect():
+        groups.setdefault((r.u, r.p), ([], []))[0 if r.left else 1].append((bytes(r.node), bytes(r.label)))
+    met = {frozenset((a[0], b[0])) for left, right in groups.values() for a in left for b in right if a[1] != b[1]}
+    want = {frozenset((bytes(a[1]), bytes(b[1]))) for a in rows for b in rows if a[2] != b[2]}
+    assert want <= met
+    assert max(len(left) for left, _ in groups.values()) <= 8
