@@ -47,8 +47,8 @@ class Ids:
     ``across_space=True`` (a vocabulary that keeps white space) asks for whole texts.
     """
 
-    #: A word that stands between asked ones, and marks that form tokens of their own.
-    BETWEEN, MARKS = "~", (b".", b",")
+    #: A word that stands between asked ones, and marks that the vocabulary cuts off letters.
+    BETWEEN, MARKS = "~", b".,!?;:#$%&*"
 
     def __init__(self, spec: bytes, across_space: bool = False):
         from tokenizers import Tokenizer
@@ -60,7 +60,7 @@ class Ids:
         self.known: dict[bytes, bytes] = {}
         if not across_space:
             self.between = self._ask(self.BETWEEN)
-            self.marks = {m: self._ask(m.decode()).tobytes() for m in self.MARKS}
+            self.tails: dict[bytes, bytes] = {}
 
     def _ask(self, text: str) -> np.ndarray:
         # the fast form gives the same ids without places in the text
@@ -76,12 +76,14 @@ class Ids:
         return raw.split()
 
     def _ask_words(self, words: list[bytes]) -> dict[bytes, bytes]:
-        apart = [w for w in words if self.BETWEEN.encode() in w]
+        between = self.BETWEEN.encode()
+        apart = [w for w in words if between in w]
         found = {w: self._ask(w.decode()).tobytes() for w in apart}
-        words = [w for w in words if w not in found]
+        if apart:
+            words = [w for w in words if w not in found]
         for low in range(0, len(words), 2000):
             some = words[low : low + 2000]
-            ids = self._ask(f" {self.BETWEEN} ".join(w.decode() for w in some))
+            ids = self._ask(f" {self.BETWEEN} ".encode().join(some).decode())
             cuts = np.flatnonzero(ids == self.between[0])
             if len(self.between) != 1 or len(cuts) != len(some) - 1:
                 found.update((w, self._ask(w.decode()).tobytes()) for w in some)
@@ -91,14 +93,22 @@ class Ids:
         return found
 
     def _new(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of unknown words; a full stop or comma behind a letter is a token of its own."""
-        marked = {w: w[:-1] for w in words if w[-1:] in self.marks and w[-2:-1].isalpha()}
+        """Ids of unknown words; a run of marks behind a letter has its own."""
+        marked = {w: b for w in words if (b := w.rstrip(self.MARKS))[-1:].isalpha() and len(b) < len(w)}
         bare = set(marked.values())
         found = {w: self.known[w] for w in bare if w in self.known}
-        found |= self._ask_words(sorted((words - marked.keys()) | (bare - found.keys())))
-        found |= {w: found[b] + self.marks[w[-1:]] for w, b in marked.items()}
+        found |= self._ask_words(list((words - marked.keys()) | (bare - found.keys())))
+        found |= {w: found[b] + self._tail(w[len(b) :]) for w, b in marked.items()}
         return found
 
+    def _tail(self, marks: bytes) -> bytes:
+        ids = self.tails.get(marks)
+        if ids is None:
+            ids = self._ask(marks.decode()).tobytes()
+            if len(self.tails) < 10_000:
+                self.tails[marks] = ids
+        return ids
+
     def of(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if self.across_space:

@@ -96,3 +96,17 @@ def test_awkward_rows(spark):
     assert sum(r.length for r in rows if r.doc_id == 5) == 2 * sum(r.length for r in rows if r.doc_id == 4)
     assert any(r.doc_id is None for r in rows)
     assert packing.pack_documents(nothing(spark), PATH).count() == 0
+
+
+def test_marks_behind_letters_ask_for_no_word_anew(monkeypatch):
+    from tokenizers import Tokenizer
+
+    library, own = Tokenizer.from_file(PATH), packing.Ids(packing.read_spec(PATH))
+    asked, inner = [], own._ask_words
+    monkeypatch.setattr(own, "_ask_words", lambda words: (asked.extend(words), inner(words))[1])
+    rnd = random.Random(2)
+    texts = [" ".join(w + "".join(rnd.choice(".,!?;:#$%&*") for _ in range(k)) for w in ("alpha", "Beta", "gamma") for k in range(6)) for _ in range(50)]
+    texts += ["a$'s a&'ll 5%%% é!! (x).* x.y.* $$$ a$$b$$ a~.", "a!́ b*́c"]
+    for text, ids in zip(texts, own.of(texts[:50]) + own.of(texts[50:])):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert sorted(asked[:3]) == [b"alpha", b"beta", b"gamma"] and len(asked) <= 16
