@@ -83,6 +83,7 @@ def select_rows(
     order: tuple[str, ...] = ORDER,
     keys: DataFrame | None = None,
     counts: Row | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Resume filter plus content dedup, deciding on keys and moving text at most once.
 
@@ -94,7 +95,8 @@ def select_rows(
     With ``counts``, the row of a funnel, the pick takes the cheapest form: nothing
     when nothing is dropped; a broadcast of the keys kept or dropped when one of the
     two is at most ``BROADCAST_ROWS`` long, and texts stay where they were read;
-    else a shuffle. Needs ``row_key``.
+    else a shuffle. ``rows``, the length of ``df``, serves as well where it is at most
+    ``BROADCAST_ROWS``. Needs ``row_key``.
     """
     keys = selection_keys(df, order) if keys is None else keys
     fresh = keys if ledger is None else resume_filter(keys, ledger)
@@ -103,6 +105,8 @@ def select_rows(
     if known is not None:
         winners = winners.join(known.select(F.col(HASH).alias("_key")), "_key", "left_anti")
     kept = winners.select("row_key")
+    if rows is not None and rows <= BROADCAST_ROWS:
+        return df.join(F.broadcast(kept), "row_key", "left_semi")
     if counts is not None:
         n_kept = counts["after_content_dedup"]
         n_dropped = counts["fetched"] - n_kept

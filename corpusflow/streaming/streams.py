@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.picks import sample_key
 from ..operators import publish
 from ..operators.cache import with_cache
-from ..operators.dedup import HASH, select_rows, with_content_hash
+from ..operators.dedup import BROADCAST_ROWS, HASH, row_funnel, select_rows, with_content_hash
 from ..operators.keys import KeyIndex
 from ..operators.ledger import first_hash, latest, only_for, published_entries
 from ..operators.store import VersionedTable, _read_if_exists, arrival
@@ -143,8 +143,11 @@ class StreamSink:
         if self.retries:
             hashed = hashed.unionByName(self._again(stream, batch_id - 1, hashed))
         arrived = self._stage(f"{stream}/arrived", hashed).select("*", row_key().alias("row_key"))
-        posts, hashes, top = self._known(arrived, arrived.count(), stream, batch_id)
-        fresh = select_rows(arrived, posts, hashes)
+        n = arrived.count()
+        posts, hashes, top = self._known(arrived, n, stream, batch_id)
+        # keys are counted first where that may keep the texts of a large batch in place
+        counts = row_funnel(arrived, posts, hashes).first() if n > BROADCAST_ROWS else None
+        fresh = select_rows(arrived, posts, hashes, counts=counts, rows=n)
         # the transform runs once per row; its failures become results, not lost rows
         ready = with_picks(fresh, self.cfg)
         if self.cache is None:

@@ -123,3 +123,18 @@ def test_texts_stay_put_when_little_is_dropped(spark, sf_dir):
     distinct = df.dropDuplicates(["content_hash"])
     same = row_funnel(distinct).first()
     assert select_rows(distinct, counts=same) is distinct
+
+
+def test_texts_of_a_batch_of_known_length_stay_put(spark, monkeypatch):
+    """Up to the bound keys are broadcast without being counted; beyond it, and without a
+    length, the same rows are kept by a shuffle."""
+    rows = spark.range(40).selectExpr("cast(id as string) source_id", "cast(id % 7 as string) content_hash", "cast(id as string) row_key", "'text' body")
+    known = spark.createDataFrame([("3",)], "content_hash string")
+    ways = [dedup.select_rows(rows, None, known, rows=n) for n in (40, None)]
+    monkeypatch.setattr(dedup, "BROADCAST_ROWS", 39)
+    ways.append(dedup.select_rows(rows, None, known, rows=40))
+    kept = [sorted(r.source_id for r in w.collect()) for w in ways]
+    assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 6
+    # only the logical plan tells: such small sides are broadcast anyway
+    hinted = [w._jdf.queryExecution().analyzed().toString().count("Hint") + w._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast") for w in ways]
+    assert hinted[0] > 0 and hinted[1] == hinted[2] == 0
