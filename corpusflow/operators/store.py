@@ -23,7 +23,8 @@ def _read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        # known to be empty when planned, so that joins with it move no rows of the other side
+        return spark.createDataFrame([], schema).limit(0)
 
 
 class VersionedTable:

@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from corpusflow.operators.cache import CACHE_TABLE, with_cache
+from corpusflow.operators.cache import CACHE_TABLE, split_by_cache, with_cache
 from corpusflow.operators.store import VersionedTable
 from corpusflow.schemas import POST_FIELDS
 
@@ -56,3 +56,12 @@ def test_one_job_and_a_file_per_task(spark, tmp_path):
     assert made.count() == 500 and 20 <= len(files) <= 50
     _, made = with_cache(rows, cache, "S", transform(str(calls), None), "two", 10)
     assert made.count() == 0 and (calls / "r3").read_text() == "x"
+
+
+def test_rows_stay_put_beside_a_table_that_is_not_there_yet(spark, tmp_path):
+    """A fresh stage has no results, so no row is moved to look for some."""
+    table = VersionedTable(spark, str(tmp_path / "fresh"), CACHE_TABLE)
+    rows = spark.range(9).selectExpr("cast(id as string) source_id", "'' content_hash")
+    hits, misses = split_by_cache(rows, table.read(), "S")
+    assert "Join" not in misses._jdf.queryExecution().optimizedPlan().toString()
+    assert hits.count() == 0 and misses.count() == 9 and table.read().schema == CACHE_TABLE
