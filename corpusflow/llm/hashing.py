@@ -11,9 +11,12 @@ import numpy as np
 
 #: Bytes of the character grams and words of the word grams.
 CHAR_GRAMS, WORD_GRAMS = (3, 5), (1, 2)
+KINDS = len(CHAR_GRAMS) + len(WORD_GRAMS)
 BUCKET_BITS = 18
-#: Texts are taken together up to so many bytes; a longer one is taken alone.
+#: Sums run over texts of up to so many bytes together; a longer one is taken alone.
 CHUNK = 1 << 20
+#: Of these so many bytes are laid out at once, as arrays take a multiple of them.
+PIECE = 1 << 17
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, dtype=bool)
@@ -26,7 +29,7 @@ class _Powers:
 
     def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, CHUNK + 1)
+            size = max(n, PIECE + 1)
             factors = np.full(size, _BASE, dtype=np.uint64)
             factors[0] = 1
             self.up = np.multiply.accumulate(factors)
@@ -79,61 +82,88 @@ def grams(data: np.ndarray, borders: np.ndarray, bits: int = BUCKET_BITS):
     yield _bucket(pair[~ends_text[:-1]], 102, bits), np.concatenate([[0], np.cumsum(np.maximum(np.diff(at) - 1, 0))])
 
 
-def chunks(texts: list[bytes]):
-    """(first text, data, borders) of runs of texts of up to ``CHUNK`` bytes."""
-    low = 0
-    while low < len(texts):
-        high, size = low + 1, len(texts[low])
-        while high < len(texts) and size + len(texts[high]) <= CHUNK:
-            size += len(texts[high])
+def runs(texts: list[bytes], size: int, low: int, end: int):
+    """(first, end) of runs of texts of up to ``size`` bytes."""
+    while low < end:
+        high, n = low + 1, len(texts[low])
+        while high < end and n + len(texts[high]) <= size:
+            n += len(texts[high])
             high += 1
-        some = texts[low:high]
-        yield low, np.frombuffer(b"".join(some), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in some])])
+        yield low, high
         low = high
 
 
+def chunks(texts: list[bytes]):
+    """For each run of texts of up to ``CHUNK`` bytes, (first text, data, borders) of its
+    pieces of up to ``PIECE``, laid out one after the other."""
+
+    def pieces(low: int, end: int):
+        for first, high in runs(texts, PIECE, low, end):
+            some = texts[first:high]
+            yield first, np.frombuffer(b"".join(some), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in some])])
+
+    for low, end in runs(texts, CHUNK, 0, len(texts)):
+        yield pieces(low, end)
+
+
 def mean_weights(texts: list[bytes], weights: np.ndarray) -> np.ndarray:
     """For each text, the sum over kinds of the mean weight of its grams."""
     bits = int(np.log2(len(weights)))
     out = np.zeros(len(texts))
-    for low, data, borders in chunks(texts):
-        for buckets, at in grams(data, borders, bits):
-            running = np.concatenate([[0.0], np.cumsum(weights[buckets], dtype=np.float64)])
-            counts = np.diff(at)
-            out[low : low + len(counts)] += np.diff(running[at]) / np.maximum(counts, 1)
+    for pieces in chunks(texts):
+        sums = [0.0] * KINDS  # run on over the pieces
+        for low, data, borders in pieces:
+            for kind, (buckets, at) in enumerate(grams(data, borders, bits)):
+                running = np.cumsum(np.concatenate([[sums[kind]], weights[buckets]]), dtype=np.float64)
+                sums[kind] = running[-1]
+                counts = np.diff(at)
+                out[low : low + len(counts)] += np.diff(running[at]) / np.maximum(counts, 1)
     return out
 
 
-def rows_of(texts: list[bytes], bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The same features as sparse rows (text, bucket, value), buckets of a text once per kind."""
-    row, col, val = [], [], []
-    for low, data, borders in chunks(texts):
-        for buckets, at in grams(data, borders, bits):
-            counts = np.diff(at)
-            owner = np.repeat(np.arange(len(counts)), counts)
-            key, n = np.unique(owner << bits | buckets, return_counts=True)
-            r = key >> bits
-            row.append((r + low).astype(np.int32))
-            col.append((key & (1 << bits) - 1).astype(np.int32))
-            val.append((n / counts[r]).astype(np.float32))
-    return np.concatenate(row), np.concatenate(col), np.concatenate(val)
-
-
-def fit_logistic(row, col, val, label, weight, dim: int, l2: float = 1e-6, steps: int = 40) -> tuple[np.ndarray, float]:
-    """Weights and bias of a weighted logistic regression by L-BFGS. Only columns that
-    occur take part."""
-    used, inner = np.unique(col, return_inverse=True)
+def rows_of(texts: list[bytes], bits: int = BUCKET_BITS, scale: float = 1.0) -> list[tuple]:
+    """The same features, times ``scale``, as sparse rows in parts of some texts and one
+    kind: (first text, buckets of each, buckets, values), buckets of a text once per kind."""
+    parts: list[tuple] = []
+    for pieces in chunks(texts):
+        kinds: list[list[tuple]] = [[] for _ in range(KINDS)]
+        for low, data, borders in pieces:
+            for kind, (buckets, at) in zip(kinds, grams(data, borders, bits)):
+                counts = np.diff(at)
+                owner = np.repeat(np.arange(len(counts)), counts)
+                key, n = np.unique(owner << bits | buckets, return_counts=True)
+                r = key >> bits
+                val = (n / counts[r]).astype(np.float32) * np.float32(scale)
+                kind.append((low, np.bincount(r, minlength=len(counts)), (key & (1 << bits) - 1).astype(np.int32), val))
+        parts += [x for kind in kinds for x in kind]
+    return parts
+
+
+def fit_logistic(parts: list[tuple], label, weight, dim: int, l2: float = 1e-6, steps: int = 40) -> tuple[np.ndarray, float]:
+    """Weights and bias of a weighted logistic regression by L-BFGS over the parts of
+    ``rows_of``, so that what a step takes besides them is that of one part. Only columns
+    that occur take part."""
+    occurs = np.zeros(dim, dtype=bool)
+    for _, _, col, _ in parts:
+        occurs[col] = True
+    used = np.flatnonzero(occurs)
     n, d = len(label), len(used)
     sign = np.where(label > 0, 1.0, -1.0)
     weight = weight / weight.sum()
 
     def value(w):
-        z = np.bincount(row, val * w[inner], n) + w[d]
+        full, z, sums = np.zeros(dim), np.zeros(n), np.zeros(dim)
+        full[used] = w[:d]
+        for low, sizes, col, val in parts:
+            np.add.at(z, np.repeat(np.arange(low, low + len(sizes)), sizes), val * full[col])
+        z += w[d]
         m = sign * z
         loss = (weight * np.logaddexp(0, -m)).sum() + 0.5 * l2 * (w[:d] @ w[:d])
         g = -weight * sign / (1 + np.exp(np.clip(m, -500, 500)))
+        for low, sizes, col, val in parts:
+            np.add.at(sums, col, val * np.repeat(g[low : low + len(sizes)], sizes))
         grad = np.empty(d + 1)
-        grad[:d] = np.bincount(inner, val * g[row], d) + l2 * w[:d]
+        grad[:d] = sums[used] + l2 * w[:d]
         grad[d] = g.sum()
         return loss, grad
 

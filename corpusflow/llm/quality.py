@@ -85,10 +85,11 @@ def fit(texts: list[str], labels: np.ndarray, share: float) -> QualityModel:
         held[at[:: HELD_BACK] if len(at) >= HELD_BACK else at] = True
     few = (~held).sum() < 2 or len(set(labels[~held].tolist())) < 2
     learn = np.ones(len(texts), dtype=bool) if few else ~held
-    row, col, val = hashing.rows_of([d for d, x in zip(data, learn) if x])
     kept = labels[learn]
     balance = np.where(kept > 0, 0.5 / max(kept.sum(), 1), 0.5 / max((1 - kept).sum(), 1))
-    weights, _ = hashing.fit_logistic(row, col, val * np.float32(30), kept, balance, 1 << hashing.BUCKET_BITS)
+    parts = hashing.rows_of([d for d, x in zip(data, learn) if x], scale=30)
+    weights, _ = hashing.fit_logistic(parts, kept, balance, 1 << hashing.BUCKET_BITS)
+    del parts  # not held while texts are scored
     weights *= 30
     held_labels = labels[held]
     prior = np.where(held_labels > 0, share / max(held_labels.sum(), 1), (1 - share) / max((1 - held_labels).sum(), 1))

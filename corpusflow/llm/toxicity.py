@@ -278,15 +278,20 @@ def learn_words(texts: list[str], labels: np.ndarray, ordinary: list[str] = [])
     whole = {0: Counter(), 1: Counter()}
     total = np.bincount(labels, minlength=2)
     places: set[int] = set()
-    for text, label in zip(texts, labels.tolist()):
+    asked = starts = None
+    for text, label in sorted(zip(texts, labels.tolist()), key=lambda x: -x[1]):
+        if not label and asked is None:  # of clean texts only what toxic ones say often
+            asked = {w for w, n in whole[1].items() if n >= STEM_TEXTS}.union(INSULTS)
+            starts = {s for s, n in counts[1].items() if n >= STEM_TEXTS}
         said = [_EDGE.sub("", t).replace("'", "").replace("’", "") for t in text.lower().split()]
         words = set(said)
         if label:
             met = [hash(place) for place in zip(["", *said], said, [*said[1:], ""])]
             words = {w for w, place in zip(said, met) if place not in places}
             places.update(met)
-        whole[label].update(words)
-        counts[label].update({w[:n] for w in words for n in STEMS if len(w) >= n})
+        begun = {w[:n] for w in words for n in STEMS if len(w) >= n}
+        whole[label].update(words if label else words & asked)
+        counts[label].update(begun if label else begun & starts)
 
     def odds(n1: int, n0: int) -> float:
         return math.log((n1 + 0.5) / (total[1] + 1)) - math.log((n0 + 0.5) / (total[0] + 1))
